@@ -1,6 +1,6 @@
 """kinseek: deterministic record linkage and ranked retrieval as Spark DataFrame jobs."""
 
-
+from kinseek.plans.cascade import cascade
 from kinseek.plans.identity import resolve
 
-__all__ = ["resolve"]
+__all__ = ["cascade", "resolve"]

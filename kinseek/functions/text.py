@@ -51,9 +51,12 @@ def diagnosis_key(lowered: Column, terms: Sequence[str] = DIAGNOSIS_KEY_TERMS) -
 
 
 def record_diagnoses(lowered: Column, phrases: Sequence[str] = RECORD_DIAGNOSES) -> Column:
-    """The phrases found in an already lower-cased text, as a sorted array."""
+    """The phrases found in an already lower-cased text, as a sorted array.
+
+    Joined and split again because that, unlike filtering an array, is compiled.
+    """
     found = [F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in sorted(phrases)]
-    return F.array_compact(F.array(*found))
+    return F.array_remove(F.split(F.concat_ws("|", *found), r"\|"), "")
 
 
 def triplet_key(dob: Column, sex: Column, diagnosis: Column) -> Column:

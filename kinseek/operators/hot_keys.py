@@ -32,12 +32,18 @@ def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     weight: str | None = None,
+    total: int | None = None,
     share: float = SHARE,
     floor: int = FLOOR,
 ) -> HotKeys:
-    """Keys of `df` holding more than `share` of its rows; `weight` counts rows where given."""
+    """Keys of `df` holding more than `share` of its rows.
+
+    `weight` is the number of rows each row of `df` stands for, `total` their sum where
+    it is known already.
+    """
     amount = F.lit(1) if weight is None else F.col(weight)
-    total = df.agg(F.sum(amount)).first()[0] or 0
+    if total is None:
+        total = df.agg(F.sum(amount)).first()[0] or 0
     limit = max(floor, int(total * share))
     if total <= limit:
         return HotKeys(tuple(keys), None)

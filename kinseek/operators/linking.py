@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinseek.fixed_values import DIAGNOSIS_KEY_TERMS, RECORD_DIAGNOSES, SOURCE_PREFIXES
 from kinseek.functions import text as tx
 from kinseek.operators.hot_keys import find_hot_keys, lookup_join
-from kinseek.operators.matching import CHAIN_AFTER, distinct_pairs, founding_pairs
+from kinseek.operators.matching import CHAIN_AFTER, distinct_pairs, founding_pairs, hot_sides
 from kinseek.runtime import cut_lineage
 
 
@@ -67,10 +67,8 @@ def link_notes(
     triplet, else the note is the founder.
     """
     pairs = cut_lineage(distinct_pairs(keyed))
-    hot = {
-        side: find_hot_keys(pairs.where(F.col(side) != ""), [side])
-        for side in ("mrn_key", "triplet")
-    }
+    sizes = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum("notes"), F.lit(0))).first()
+    hot = hot_sides(pairs, total=sizes[0])
     founders = founding_pairs(pairs, hot, chain_after).withColumn(
         "uid", tx.patient_uid(F.col("mrn_key"), F.col("triplet"), hex_len=hex_len)
     )
@@ -85,7 +83,7 @@ def link_notes(
         decided.select("mrn_key", "triplet", "notes", "m_ord", "m_uid", "t_ord", "t_uid")
     )
 
-    hot_pairs = find_hot_keys(decided, ["mrn_key", "triplet"], weight="notes")
+    hot_pairs = find_hot_keys(decided, ["mrn_key", "triplet"], weight="notes", total=sizes[1])
     linked = lookup_join(keyed, decided.drop("notes"), hot_pairs, "left", ["note_uid", "ord"])
     rule = (
         F.when(F.col("m_ord") < F.col("ord"), "mrn_match")

@@ -129,6 +129,14 @@ def _without_keys_of(
     return undecided.select(*_PAIR)
 
 
+def hot_sides(pairs: DataFrame, total: int | None = None) -> dict[str, HotKeys]:
+    """The hot keys of either kind, by the number of pairs they are in."""
+    return {
+        side: find_hot_keys(pairs.where(F.col(side) != ""), [side], total=total)
+        for side in _SIDES
+    }
+
+
 def founding_pairs(
     pairs: DataFrame, hot: dict[str, HotKeys] | None = None, chain_after: int = CHAIN_AFTER
 ) -> DataFrame:
@@ -138,7 +146,7 @@ def founding_pairs(
     read by every key count and by the first round.
     """
     if hot is None:
-        hot = {side: find_hot_keys(pairs.where(F.col(side) != ""), [side]) for side in _SIDES}
+        hot = hot_sides(pairs)
     found, undecided, rounds = [], pairs.select(*_PAIR), 0
     while True:
         rounds += 1

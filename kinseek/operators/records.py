@@ -78,46 +78,43 @@ def patient_records(
     return records
 
 
-def _conflicts_on(linked: DataFrame, side: str, kind: str) -> DataFrame:
+def link_conflicts(linked: DataFrame) -> DataFrame:
+    """Keys that span several patients.
+
+    One row per later patient of such a key: patient_1 is the key's earliest patient,
+    patient_2 the other one, note_uid that one's first note with the key.
+    """
+    keys = F.array(
+        F.struct(F.lit("mrn").alias("kind"), F.col("mrn_key").alias("key")),
+        F.struct(F.lit("triplet").alias("kind"), F.col("triplet").alias("key")),
+    )
     holders = cut_lineage(
-        linked.where(F.col(side) != "")
-        .groupBy(side, "patient_uid")
+        linked.select(F.explode(keys).alias("k"), "patient_uid", "ord", "note_uid")
+        .where("k.key <> ''")
+        .groupBy("k.kind", "k.key", "patient_uid")
         .agg(F.min(F.struct("ord", "note_uid")).alias("seen"))
     )
     shared = (
-        holders.groupBy(side)
+        holders.groupBy("kind", "key")
         .agg(
             F.min(F.struct("seen", "patient_uid")).alias("earliest"),
             F.count(F.lit(1)).alias("patients"),
         )
         .where("patients > 1")
-        .select(side, F.col("earliest.patient_uid").alias("patient_1"))
+        .select("kind", "key", F.col("earliest.patient_uid").alias("patient_1"))
     )
-    hot = find_hot_keys(holders, [side])
+    hot = find_hot_keys(holders, ["kind", "key"])
     spread = lookup_join(holders, shared, hot, "inner", ["patient_uid"])
-    value = F.col(side)
-    none = F.lit(None).cast("string")
     return spread.where("patient_uid <> patient_1").select(
-        F.lit(f"{kind}_conflict").alias("type"),
-        (value if kind == "mrn" else none).alias("mrn"),
-        (value if kind == "triplet" else none).alias("triplet"),
+        F.concat("kind", F.lit("_conflict")).alias("type"),
+        F.when(F.col("kind") == "mrn", F.col("key")).alias("mrn"),
+        F.when(F.col("kind") == "triplet", F.col("key")).alias("triplet"),
         "patient_1",
         F.col("patient_uid").alias("patient_2"),
         F.col("seen.note_uid").alias("note_uid"),
     )
 
 
-def link_conflicts(linked: DataFrame) -> DataFrame:
-    """Keys that span several patients.
-
-    One row per later patient of such a key: patient_1 is the key's earliest patient,
-    patient_2 the other one, note_uid that one's first note with the key.
-    """
-    return _conflicts_on(linked, "mrn_key", "mrn").unionByName(
-        _conflicts_on(linked, "triplet", "triplet")
-    )
-
-
 def patient_conflict_sets(conflicts: DataFrame) -> DataFrame:
     """The other patients each patient is in conflict with."""
     both_ways = conflicts.select(

@@ -37,7 +37,14 @@ NOTE_COLUMNS = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table, its rows spread over all cores where it has fewer splits than cores.
+
+    A small file has a single row group, which one task reads; with as many splits as
+    cores or more the scan is left as it is.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def notes(spark: SparkSession, folder: str) -> DataFrame:
