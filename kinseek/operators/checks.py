@@ -55,7 +55,7 @@ def violations(df: DataFrame, table: str, rules=LINK_RULES) -> DataFrame:
         note(field, "missing", F.col(field).isNull() if present else F.lit(True))
     for field, declared in types.items():
         actual = _field_type(df.schema, field)
-        if actual is None or actual == declared:
+        if actual is None or actual.simpleString() == declared.simpleString():
             continue
         value = F.col(field)
         castable = actual.typeName() in ("string", "integer", "short", "byte", "long", "double")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinseek.functions.text import occurrences
+
 CHUNK_WORDS = 20
 QUERY_TEXTS = (
     (0, "thanedble wherthe license tionhere"),
@@ -84,3 +86,59 @@ def text_queries(spark: SparkSession) -> DataFrame:
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark passage is a query."""
     return table(spark, folder, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+
+
+def vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vector")
+    )
+
+
+def _mean_vectors(df: DataFrame, by: list[str]) -> DataFrame:
+    """The mean vector of each group, aggregated per dimension."""
+    width = df.agg(F.max(F.size("embedding"))).first()[0] or 0
+    means = [F.avg(F.col("embedding")[i].cast("double")).alias(f"d{i}") for i in range(width)]
+    return (
+        df.groupBy(*by)
+        .agg(*means)
+        .select(*by, F.array(*[F.col(f"d{i}") for i in range(width)]).alias("vector"))
+    )
+
+
+def label_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """One query per label: the mean of its vectors."""
+    by_label = _mean_vectors(table(spark, folder, "embeddings"), ["label"])
+    return by_label.select(F.col("label").cast("long").alias("query_id"), "vector")
+
+
+def label_multi_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Three vectors per label: the means of a three-way split of its vectors."""
+    split = table(spark, folder, "embeddings").withColumn("query_pos", F.col("vec_id") % 3)
+    return _mean_vectors(split, ["label", "query_pos"]).select(
+        F.col("label").cast("long").alias("query_id"), "query_pos", "vector"
+    )
+
+
+def _in_tens(df: DataFrame) -> DataFrame:
+    return df.withColumn("chunk_id", F.floor(F.col("vec_id") / 10).cast("long"))
+
+
+def multi_vector_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten consecutive vectors make one multi-vector chunk."""
+    return _in_tens(table(spark, folder, "embeddings")).select(
+        "chunk_id", F.col("embedding").alias("vector")
+    )
+
+
+def mean_vector_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return _mean_vectors(_in_tens(table(spark, folder, "embeddings")), ["chunk_id"])
+
+
+def scored_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Every labelled document with how often "the" occurs in it, and its quality."""
+    documents = table(spark, folder, "documents").select(
+        "doc_id", occurrences(F.lower("text"), "the").cast("double").alias("score")
+    )
+    return documents.join(table(spark, folder, "labels"), "doc_id").select(
+        "doc_id", "score", F.col("quality").alias("label")
+    )
