@@ -16,7 +16,7 @@ from kinseek.fixed_values import BM25_B, BM25_K1, K_A
 from kinseek.functions.text import tokens
 from kinseek.operators.lexical import CARRY
 from kinseek.operators.query_batch import blocks, distinct_terms
-from kinseek.operators.ranking import SCORE_DIGITS, top_k
+from kinseek.operators.ranking import SCORE_DIGITS, SPREAD, top_k
 from kinseek.operators.score_blocks import TermWeights, best_rows, rows_per_block
 from kinseek.runtime import cut_lineage
 
@@ -108,5 +108,5 @@ def bm25_top_k(
         found.append(empty.selectExpr("*", "0L AS query_id", "0D AS score"))
     order = [F.desc("score"), F.asc("chunk_id")]
     return top_k(
-        reduce(DataFrame.unionByName, found), ["query_id"], order, k, spread_on="chunk_id"
+        reduce(DataFrame.unionByName, found), ["query_id"], order, k, spread=SPREAD
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kinseek.fixed_values import K_A
 from kinseek.functions.text import dot
 from kinseek.operators.query_batch import small_or_plain
-from kinseek.operators.ranking import top_k
+from kinseek.operators.ranking import SPREAD, top_k
 from kinseek.operators.score_blocks import best_rows, rows_per_block
 from kinseek.runtime import cut_lineage
 
@@ -85,7 +85,7 @@ def cosine_top_k(
         )
     order = [F.desc("score"), F.asc("chunk_id")]
     return top_k(
-        reduce(DataFrame.unionByName, found), ["query_id"], order, k, spread_on="chunk_id"
+        reduce(DataFrame.unionByName, found), ["query_id"], order, k, spread=SPREAD
     )
 
 
@@ -132,7 +132,7 @@ def lsh_top_k(
         F.round(1 - F.col("distance") * F.col("distance") / 2, digits).alias("score"),
     )
     return top_k(
-        scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k, spread_on="chunk_id"
+        scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k, spread=SPREAD
     )
 
 

@@ -1,7 +1,7 @@
 """Joins against a table with one row per key that survive very frequent keys.
 
-A key is hot when it holds more than `share` of all rows (and at least `floor` rows), so
-there are never more than `1 / share` hot keys: the list of them is safe to broadcast
+A key is hot when it holds more than `SHARE` of all rows (and at least `FLOOR` rows), so
+there are never more than `1 / SHARE` hot keys: the list of them is safe to broadcast
 whatever the size of the data. Rows of a hot key are spread over many tasks and the one
 matching row is repeated for each of them. Nothing is dropped or capped.
 """
@@ -33,10 +33,8 @@ def find_hot_keys(
     keys: Sequence[str],
     weight: str | None = None,
     total: int | None = None,
-    share: float = SHARE,
-    floor: int = FLOOR,
 ) -> HotKeys:
-    """Keys of `df` holding more than `share` of its rows.
+    """Keys of `df` holding more than `SHARE` of its rows, and at least `FLOOR`.
 
     `weight` is the number of rows each row of `df` stands for, `total` their sum where
     it is known already.
@@ -44,7 +42,7 @@ def find_hot_keys(
     amount = F.lit(1) if weight is None else F.col(weight)
     if total is None:
         total = df.agg(F.sum(amount)).first()[0] or 0
-    limit = max(floor, int(total * share))
+    limit = max(FLOOR, int(total * SHARE))
     if total <= limit:
         return HotKeys(tuple(keys), None)
     hot = (

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from kinseek.fixed_values import K_A, LEXICAL_WEIGHT, PRESENCE_WEIGHT
 from kinseek.functions.text import occurrences, or_empty
 from kinseek.operators.query_batch import Block, blocks, distinct_terms
-from kinseek.operators.ranking import top_k
+from kinseek.operators.ranking import SPREAD, top_k
 from kinseek.operators.score_blocks import TermWeights, best_rows, rows_per_block
 
 try:
@@ -154,7 +154,7 @@ def search(
         )
     hits = reduce(DataFrame.unionByName, found)
     order = [F.desc("hits"), F.asc("chunk_id")]
-    return top_k(hits, ["query_id", "side"], order, k, spread_on="chunk_id")
+    return top_k(hits, ["query_id", "side"], order, k, spread=SPREAD)
 
 
 def _scored(found: DataFrame, weight: float) -> DataFrame:

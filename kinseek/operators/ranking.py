@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPREAD = 32
+SPREAD = 64
 SCORE_DIGITS = 9
 
 
@@ -17,20 +17,21 @@ def top_k(
     order: Sequence[Column],
     k: int,
     rank: str = "rank",
-    spread_on: str | None = None,
-    spread: int = SPREAD,
+    spread: int = 0,
 ) -> DataFrame:
     """Keep the first `k` rows of every group and number them from 1.
 
-    With `spread_on`, each group is first cut down inside `spread` sub-groups, so the
-    task that does the final ranking of a group sees at most `spread * k` rows. Both
-    windows prune map-side, before their shuffles.
+    Every window first prunes each input task's rows to `k` per group. With `spread` the
+    survivors of the tasks are then cut down in `spread` sub-groups, by task, before the
+    final ranking, so that no task ranks more than `spread * k` rows of a group, however
+    many tasks there were. Which sub-group a row passes through does not affect the
+    result; `order` must leave no ties.
     """
-    if spread_on is not None:
-        part = df.withColumn("_part", F.pmod(F.xxhash64(spread_on), F.lit(spread)))
+    if spread:
         inner = Window.partitionBy(*by, "_part").orderBy(*order)
         df = (
-            part.withColumn("_place", F.row_number().over(inner))
+            df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
+            .withColumn("_place", F.row_number().over(inner))
             .where(F.col("_place") <= k)
             .drop("_part", "_place")
         )

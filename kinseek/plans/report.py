@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.fixed_values import REPORT_CONFLICTS, RULE_CONFIDENCE
-from kinseek.operators.ranking import top_k
+from kinseek.operators.ranking import SPREAD, top_k
 
 _RATES = [f"{rule}_rate" for rule in RULE_CONFIDENCE]
 _CONFLICT = ("type", "mrn", "triplet", "patient_1", "patient_2", "note_uid")
@@ -16,7 +16,7 @@ def first_conflicts(conflicts: DataFrame, n: int = REPORT_CONFLICTS) -> DataFram
     """The conflicts a report shows, in a fixed order, numbered from 1."""
     order = [F.col(c).asc_nulls_first() for c in _CONFLICT]
     return top_k(
-        conflicts.withColumn("_all", F.lit(0)), ["_all"], order, n, spread_on="note_uid"
+        conflicts.withColumn("_all", F.lit(0)), ["_all"], order, n, spread=SPREAD
     ).drop("_all")
 
 

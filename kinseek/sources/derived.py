@@ -6,6 +6,8 @@ consecutive 20-word chunks that together hold all of its words.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,14 +97,10 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mean_vectors(df: DataFrame, by: list[str]) -> DataFrame:
-    """The mean vector of each group, aggregated per dimension."""
-    width = df.agg(F.max(F.size("embedding"))).first()[0] or 0
-    means = [F.avg(F.col("embedding")[i].cast("double")).alias(f"d{i}") for i in range(width)]
-    return (
-        df.groupBy(*by)
-        .agg(*means)
-        .select(*by, F.array(*[F.col(f"d{i}") for i in range(width)]).alias("vector"))
-    )
+    """The mean vector of each group."""
+    vector = array_to_vector(F.col("embedding").cast("array<double>"))
+    means = df.groupBy(*by).agg(Summarizer.mean(vector).alias("mean"))
+    return means.select(*by, vector_to_array("mean").alias("vector"))
 
 
 def label_vectors(spark: SparkSession, folder: str) -> DataFrame:
