@@ -8,31 +8,47 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from kinseek.fixed_values import BM25_B, BM25_K1, K_A
 from kinseek.functions.text import tokens
 from kinseek.operators.lexical import CARRY
-from kinseek.operators.query_batch import blocks, distinct_terms
+from kinseek.operators.query_batch import Block, blocks, distinct_terms
 from kinseek.operators.ranking import SCORE_DIGITS, SPREAD, top_k
 from kinseek.operators.score_blocks import TermWeights, best_rows, rows_per_block
 from kinseek.runtime import cut_lineage
 
 
-def _scorer(block, document_counts, n, average_length, k, k1, b, carry, schema):
-    terms = sorted(document_counts)
+def _asked_words(terms: list[str], carry: Sequence[str]):
+    """Words of each chunk to its length and the numbers of those that a query asks for."""
+
+    def run(batches):
+        asked = pa.array(terms, pa.string())
+        for batch in batches:
+            words = batch.column("words")
+            number = pc.index_in(words.flatten(), value_set=asked)
+            inside = np.concatenate([[0], np.cumsum(number.is_valid().to_numpy(False))])
+            length = pc.list_value_length(words)
+            ends = np.cumsum(length.to_numpy(zero_copy_only=False))
+            offsets = inside[np.concatenate([[0], ends])].astype(np.int32)
+            matched = pa.ListArray.from_arrays(pa.array(offsets), number.drop_null())
+            kept = [batch.column(c) for c in ("chunk_id", *carry)]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, length, matched], ["chunk_id", *carry, "length", "matched"]
+            )
+
+    return run
+
+
+def _scorer(block: Block, terms, idf, average_length, k, k1, b, carry, schema):
     number = {term: i for i, term in enumerate(terms)}
-    idf = {
-        t: float(np.log(1 + (n - df + 0.5) / (df + 0.5))) for t, df in document_counts.items()
-    }
     query_ids = np.array([query_id for query_id, _ in block], dtype=np.int64)
     entries = [
-        (number[t], q, times * idf[t])
+        (number[term], q, times * idf.get(number[term], 0.0))
         for q, (_, words) in enumerate(block)
-        for t, times in Counter(words).items()
-        if t in number
+        for term, times in Counter(words).items()
     ]
 
     def run(batches):
@@ -41,15 +57,17 @@ def _scorer(block, document_counts, n, average_length, k, k1, b, carry, schema):
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                ids = part.column("chunk_id").to_pylist()
                 length = part.column("length").to_numpy(zero_copy_only=False)
-                found = [Counter(words) for words in part.column("matched").to_pylist()]
-                rows = np.repeat(np.arange(len(found)), [len(c) for c in found])
-                term = np.array([number[t] for c in found for t in c], dtype=np.int64)
-                tf = np.array([m for c in found for m in c.values()], dtype=np.float64)
+                matched = part.column("matched")
+                found = matched.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = pc.list_value_length(matched).to_numpy(zero_copy_only=False)
+                cells = np.repeat(np.arange(part.num_rows), sizes) * len(terms) + found
+                cells, tf = np.unique(cells, return_counts=True)
+                rows, term = np.divmod(cells, len(terms))
                 norm = k1 * (1 - b + b * length[rows] / average_length)
-                scores = weights.scores(rows, term, tf * (k1 + 1) / (tf + norm), len(ids))
+                scores = weights.scores(rows, term, tf * (k1 + 1) / (tf + norm), part.num_rows)
                 scores = np.round(scores, SCORE_DIGITS)
+                ids = part.column("chunk_id").to_pylist()
                 at, q = best_rows(scores, ids, k, positive=True)
                 taken = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
@@ -61,7 +79,7 @@ def _scorer(block, document_counts, n, average_length, k, k1, b, carry, schema):
                     schema=schema,
                 )
 
-    return run if entries else None
+    return run
 
 
 def bm25_top_k(
@@ -77,32 +95,34 @@ def bm25_top_k(
     One pass over the texts keeps each chunk's length and those of its words that some
     query asks for; corpus statistics and scores come from that slim table. A term
     repeated in a query counts each time. Scores are rounded to 9 digits, so that equal
-    chunks tie, and ties go by chunk id.
+    chunks tie, and ties go by chunk id. `carry` names string columns to keep.
     """
+    kept = ", ".join(f"{c} string" for c in ("chunk_id", *carry))
+    names = [("query_id", pa.int64()), ("score", pa.float64())]
+    arrow = pa.schema([*[(c, pa.string()) for c in ("chunk_id", *carry)], *names])
     found = []
     for block in blocks(queries):
         if not block:
             continue
         terms = distinct_terms(block)
+        words = chunks.select("chunk_id", *carry, tokens(F.col("text")).alias("words"))
         slim = cut_lineage(
-            chunks.select("chunk_id", *carry, tokens(F.col("text")).alias("words")).select(
-                "chunk_id",
-                *carry,
-                F.size("words").alias("length"),
-                F.filter("words", lambda w: w.isin(terms)).alias("matched"),
+            words.mapInArrow(
+                _asked_words(terms, carry), f"{kept}, length int, matched array<int>"
             )
         )
-        n, words = slim.agg(F.count(F.lit(1)), F.sum("length")).first()
-        per_term = slim.select(F.explode(F.array_distinct("matched")).alias("term"))
-        document_counts = dict(per_term.groupBy("term").count().collect())
-        out = StructType([slim.schema[c] for c in ("chunk_id", *carry)])
-        out = out.add("query_id", "long").add("score", "double")
-        names = [("query_id", pa.int64()), ("score", pa.float64())]
-        arrow = pa.schema([*[(c, pa.string()) for c in ("chunk_id", *carry)], *names])
-        average = words / n if n else 1.0
-        run = _scorer(block, document_counts, n, average, k, k1, b, carry, arrow)
-        if run is not None:
-            found.append(slim.where(F.size("matched") > 0).mapInArrow(run, out))
+        n, total = slim.agg(F.count(F.lit(1)), F.sum("length")).first()
+        held = slim.select(F.explode(F.array_distinct("matched")).alias("term"))
+        idf = {
+            term: float(np.log(1 + (n - df + 0.5) / (df + 0.5)))
+            for term, df in held.groupBy("term").count().collect()
+        }
+        average = total / n if total else 1.0
+        run = _scorer(block, terms, idf, average, k, k1, b, carry, arrow)
+        scored = slim.where(F.size("matched") > 0).mapInArrow(
+            run, f"{kept}, query_id long, score double"
+        )
+        found.append(scored)
     if not found:
         empty = chunks.where("false").select("chunk_id", *carry)
         found.append(empty.selectExpr("*", "0L AS query_id", "0D AS score"))

@@ -52,13 +52,14 @@ def best_rows(scores: np.ndarray, ids: list, k: int, positive: bool) -> tuple[np
     """Row and query indexes of each query's `k` best rows; equal scores go by id."""
     by_id = np.array(sorted(range(len(ids)), key=ids.__getitem__), dtype=np.int64)
     ordered = scores[by_id]
+    keep = np.ones(ordered.shape, dtype=bool)
     if len(ids) > k:
-        top = np.argsort(-ordered, axis=0, kind="stable")[:k]
-        queries = np.broadcast_to(np.arange(scores.shape[1]), top.shape)
-        rows, queries = by_id[top].ravel(), queries.ravel()
-    else:
-        rows, queries = (a.ravel() for a in np.indices(scores.shape))
+        last = len(ids) - k
+        cut = np.partition(ordered, last, axis=0)[last]
+        above, level = ordered > cut, ordered == cut
+        room = k - above.sum(axis=0)
+        keep = above | (level & (np.cumsum(level, axis=0) <= room))
     if positive:
-        keep = scores[rows, queries] > 0
-        rows, queries = rows[keep], queries[keep]
-    return rows, queries
+        keep &= ordered > 0
+    rows, queries = np.nonzero(keep)
+    return by_id[rows], queries
