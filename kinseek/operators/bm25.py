@@ -17,7 +17,12 @@ from kinseek.functions.text import tokens
 from kinseek.operators.lexical import CARRY
 from kinseek.operators.query_batch import Block, blocks, distinct_terms
 from kinseek.operators.ranking import SCORE_DIGITS, SPREAD, top_k
-from kinseek.operators.score_blocks import TermWeights, best_rows, rows_per_block
+from kinseek.operators.score_blocks import (
+    BestRows,
+    TermWeights,
+    queries_per_block,
+    rows_per_block,
+)
 from kinseek.runtime import cut_lineage
 
 
@@ -42,7 +47,7 @@ def _asked_words(terms: list[str], carry: Sequence[str]):
     return run
 
 
-def _scorer(block: Block, terms, idf, average_length, k, k1, b, carry, schema):
+def _scorer(block: Block, terms, idf, average_length, k, k1, b, carry):
     number = {term: i for i, term in enumerate(terms)}
     query_ids = np.array([query_id for query_id, _ in block], dtype=np.int64)
     entries = [
@@ -53,6 +58,7 @@ def _scorer(block: Block, terms, idf, average_length, k, k1, b, carry, schema):
 
     def run(batches):
         weights = TermWeights.build(entries, len(terms), len(block))
+        best = BestRows(query_ids, k, positive=True)
         step = rows_per_block(len(block))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
@@ -66,18 +72,9 @@ def _scorer(block: Block, terms, idf, average_length, k, k1, b, carry, schema):
                 rows, term = np.divmod(cells, len(terms))
                 norm = k1 * (1 - b + b * length[rows] / average_length)
                 scores = weights.scores(rows, term, tf * (k1 + 1) / (tf + norm), part.num_rows)
-                scores = np.round(scores, SCORE_DIGITS)
-                ids = part.column("chunk_id").to_pylist()
-                at, q = best_rows(scores, ids, k, positive=True)
-                taken = part.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[taken.column(c) for c in ("chunk_id", *carry)],
-                        pa.array(query_ids[q]),
-                        pa.array(scores[at, q]),
-                    ],
-                    schema=schema,
-                )
+                rows_kept = part.select(["chunk_id", *carry])
+                best.add(rows_kept, np.round(scores, SCORE_DIGITS))
+        yield from best.batches(pa.float64(), {})
 
     return run
 
@@ -98,10 +95,8 @@ def bm25_top_k(
     chunks tie, and ties go by chunk id. `carry` names string columns to keep.
     """
     kept = ", ".join(f"{c} string" for c in ("chunk_id", *carry))
-    names = [("query_id", pa.int64()), ("score", pa.float64())]
-    arrow = pa.schema([*[(c, pa.string()) for c in ("chunk_id", *carry)], *names])
     found = []
-    for block in blocks(queries):
+    for block in blocks(queries, max_queries=queries_per_block(k)):
         if not block:
             continue
         terms = distinct_terms(block)
@@ -118,7 +113,7 @@ def bm25_top_k(
             for term, df in held.groupBy("term").count().collect()
         }
         average = total / n if total else 1.0
-        run = _scorer(block, terms, idf, average, k, k1, b, carry, arrow)
+        run = _scorer(block, terms, idf, average, k, k1, b, carry)
         scored = slim.where(F.size("matched") > 0).mapInArrow(
             run, f"{kept}, query_id long, score double"
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from kinseek.fixed_values import K_A
 from kinseek.functions.text import dot
 from kinseek.operators.query_batch import small_or_plain
 from kinseek.operators.ranking import SPREAD, top_k
-from kinseek.operators.score_blocks import best_rows, rows_per_block
+from kinseek.operators.score_blocks import BestRows, queries_per_block, rows_per_block
 from kinseek.runtime import cut_lineage
 
 BLOCK_VALUES = 16_000_000
@@ -27,8 +28,9 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _cosines(query_ids, query_matrix, k, digits, schema):
+def _cosines(query_ids: np.ndarray, query_matrix: np.ndarray, k: int, digits: int):
     def run(batches):
+        best = BestRows(query_ids, k, positive=False)
         step = rows_per_block(len(query_ids))
         unit_queries = _unit(query_matrix)
         for batch in batches:
@@ -37,16 +39,8 @@ def _cosines(query_ids, query_matrix, k, digits, schema):
                 values = part.column("vector").flatten().to_numpy(zero_copy_only=False)
                 vectors = values.astype(np.float64).reshape(part.num_rows, -1)
                 scores = np.round(_unit(vectors) @ unit_queries.T, digits)
-                ids = part.column("chunk_id").to_pylist()
-                at, q = best_rows(scores, ids, k, positive=False)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("chunk_id").take(pa.array(at)),
-                        pa.array(query_ids[q]),
-                        pa.array(scores[at, q]),
-                    ],
-                    schema=schema,
-                )
+                best.add(part.select(["chunk_id"]), scores)
+        yield from best.batches(pa.float64(), {})
 
     return run
 
@@ -62,13 +56,10 @@ def cosine_top_k(
     """
     query_vectors = cut_lineage(query_vectors.select("query_id", "vector"))
     width = query_vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    parts = max(1, -(-width[0] * (width[1] or 1) // BLOCK_VALUES))
-    kind = vectors.schema["chunk_id"].dataType
-    out = f"chunk_id {kind.simpleString()}, query_id long, score double"
-    id_type = pa.int64() if kind.simpleString() == "bigint" else pa.string()
-    arrow = pa.schema(
-        [("chunk_id", id_type), ("query_id", pa.int64()), ("score", pa.float64())]
+    parts = max(
+        1, ceil(width[0] * (width[1] or 1) / BLOCK_VALUES), ceil(width[0] / queries_per_block(k))
     )
+    kind = vectors.schema["chunk_id"].dataType.simpleString()
     found = []
     for part in range(parts):
         chosen = F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
@@ -77,7 +68,8 @@ def cosine_top_k(
             ids = np.array([row["query_id"] for row in rows], dtype=np.int64)
             matrix = np.array([row["vector"] for row in rows], dtype=np.float64)
             scored = vectors.select("chunk_id", "vector").mapInArrow(
-                _cosines(ids, matrix, k, digits, arrow), out
+                _cosines(ids, matrix, k, digits),
+                f"chunk_id {kind}, query_id long, score double",
             )
             found.append(scored)
     if not found:

@@ -36,22 +36,20 @@ def find_hot_keys(
 ) -> HotKeys:
     """Keys of `df` holding more than `SHARE` of its rows, and at least `FLOOR`.
 
-    `weight` is the number of rows each row of `df` stands for, `total` their sum where
-    it is known already.
+    With `weight`, `df` has one row per key already and that column says how many rows
+    the key stands for. `total` is the number of rows where it is known.
     """
-    amount = F.lit(1) if weight is None else F.col(weight)
-    if total is None:
-        total = df.agg(F.sum(amount)).first()[0] or 0
+    counted = df
+    if weight is None:
+        weight, counted = "_rows", df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        total = df.count() if total is None else total
+    elif total is None:
+        total = df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     limit = max(FLOOR, int(total * SHARE))
     if total <= limit:
         return HotKeys(tuple(keys), None)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.sum(amount).alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_fan"))
-    )
-    hot = cut_lineage(hot.coalesce(1))
+    fan = F.ceil(F.col(weight) / limit).cast("int").alias("_fan")
+    hot = cut_lineage(counted.where(F.col(weight) > limit).select(*keys, fan).coalesce(1))
     return HotKeys(tuple(keys), None if hot.isEmpty() else hot)
 
 

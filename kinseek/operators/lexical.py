@@ -18,13 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from kinseek.fixed_values import K_A, LEXICAL_WEIGHT, PRESENCE_WEIGHT
 from kinseek.functions.text import occurrences, or_empty
-from kinseek.operators.query_batch import Block, blocks, distinct_terms
+from kinseek.operators.query_batch import BLOCK_TERMS, Block, blocks, distinct_terms
 from kinseek.operators.ranking import SPREAD, top_k
-from kinseek.operators.score_blocks import TermWeights, best_rows, rows_per_block
+from kinseek.operators.score_blocks import (
+    BestRows,
+    TermWeights,
+    queries_per_block,
+    rows_per_block,
+)
 
 try:
     import ahocorasick
@@ -63,7 +67,7 @@ def _inline_hits(chunks: DataFrame, block: Block, carry, sides) -> DataFrame:
     return counted.select("chunk_id", *carry, F.inline(F.array(*hits))).where("hits > 0")
 
 
-def _matcher(block: Block, k: int, carry, sides, schema: pa.Schema):
+def _matcher(block: Block, k: int, carry, sides):
     """A function over Arrow batches (chunk_id, carried columns, lower-cased text)."""
     terms = distinct_terms(block)
     number = {term: i for i, term in enumerate(terms)}
@@ -89,41 +93,31 @@ def _matcher(block: Block, k: int, carry, sides, schema: pa.Schema):
                     used[i] = end
             return counts
 
+        best = {side: BestRows(query_ids, k, positive=True) for side in sides}
         step = rows_per_block(len(block))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                ids = part.column("chunk_id").to_pylist()
                 found = [count(text) for text in part.column("_lowered").to_pylist()]
                 rows = np.repeat(np.arange(len(found)), [len(c) for c in found])
                 term = np.array([i for c in found for i in c], dtype=np.int64)
                 times = np.array([n for c in found for n in c.values()], dtype=np.float64)
                 for side in sides:
                     values = times if side == LEXICAL else np.ones_like(times)
-                    scores = weights.scores(rows, term, values, len(ids))
-                    at, q = best_rows(scores, ids, k, positive=True)
-                    taken = part.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *[taken.column(c) for c in ("chunk_id", *carry)],
-                            pa.array(query_ids[q]),
-                            pa.array([side] * len(at), pa.string()),
-                            pa.array(scores[at, q].astype(np.int64)),
-                        ],
-                        schema=schema,
-                    )
+                    scores = weights.scores(rows, term, values, part.num_rows)
+                    best[side].add(part.select(["chunk_id", *carry]), scores)
+        for side in sides:
+            yield from best[side].batches(pa.int64(), {"side": side})
 
     return run
 
 
 def _matched_hits(chunks: DataFrame, block: Block, k: int, carry, sides) -> DataFrame:
     source = chunks.select("chunk_id", *carry, F.lower(or_empty(F.col("text"))).alias("_lowered"))
-    kept = source.schema
-    out = StructType([kept[c] for c in ("chunk_id", *carry)])
-    out = out.add("query_id", "long").add("side", "string").add("hits", "long")
-    names = [("query_id", pa.int64()), ("side", pa.string()), ("hits", pa.int64())]
-    arrow = pa.schema([*[(c, pa.string()) for c in ("chunk_id", *carry)], *names])
-    return source.mapInArrow(_matcher(block, k, carry, sides, arrow), out)
+    kept = ", ".join(f"{c} string" for c in ("chunk_id", *carry))
+    return source.mapInArrow(
+        _matcher(block, k, carry, sides), f"{kept}, query_id long, side string, hits long"
+    )
 
 
 def search(
@@ -138,9 +132,9 @@ def search(
 
     Equal scores are ranked by chunk id. `carry` names string columns of `chunks` to keep.
     """
-    limit = {"max_terms": inline_terms} if ahocorasick is None else {}
+    max_terms = inline_terms if ahocorasick is None else BLOCK_TERMS
     found = []
-    for block in blocks(queries, **limit):
+    for block in blocks(queries, max_terms, queries_per_block(k)):
         if not block:
             continue
         if ahocorasick is None or len(distinct_terms(block)) <= inline_terms:

@@ -38,12 +38,19 @@ def blocks(
 ) -> Iterator[Block]:
     """The queries with their terms, in blocks of about `max_terms` terms."""
     parsed = query_tokens(queries)
-    sizes = parsed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
-    parts = max(1, ceil(sizes[0] / max_queries), ceil(sizes[1] / max_terms))
+    rows = parsed.limit(max_queries + 1).collect()
+    if len(rows) <= max_queries and sum(len(row["terms"]) for row in rows) <= max_terms:
+        yield _block(rows)
+        return
+    count, terms = parsed.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
+    parts = max(1, ceil(count / max_queries), ceil(terms / max_terms))
     for part in range(parts):
-        chosen = F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
-        rows = (parsed.where(chosen) if parts > 1 else parsed).collect()
-        yield [(row["query_id"], list(row["terms"])) for row in rows if row["terms"]]
+        yield _block(parsed.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).collect())
+
+
+def _block(rows: list) -> Block:
+    """Queries without terms find nothing and are left out."""
+    return [(row["query_id"], list(row["terms"])) for row in rows if row["terms"]]
 
 
 def distinct_terms(block: Block) -> list[str]:
@@ -51,5 +58,5 @@ def distinct_terms(block: Block) -> list[str]:
 
 
 def small_or_plain(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a materialised table for broadcast if it has at most `limit` rows."""
+    """Mark a materialised or cheap table for broadcast if it has at most `limit` rows."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

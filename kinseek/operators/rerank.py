@@ -98,7 +98,8 @@ def rescore(
     words = tokens(F.col("text"))
     if max_len is not None:
         words = F.slice(words, 1, max_len)
-    both = taken.join(query_tokens(queries), "query_id").withColumn("words", words)
+    asked = small_or_plain(query_tokens(queries))
+    both = taken.join(asked, "query_id").withColumn("words", words)
     scored = both.withColumn("s_li", interaction_score(F.col("terms"), F.col("words")))
     if evidence:
         scored = scored.withColumn(
@@ -151,10 +152,10 @@ def judge(
     """
     taken = _with_text(rescored.where(F.col("rank") <= (depth or k)), chunks)
     if scorer is None:
-        asked = taken.join(query_tokens(queries), "query_id")
+        asked = taken.join(small_or_plain(query_tokens(queries)), "query_id")
         raw = cross_score(F.col("terms"), F.col("text"), clip)
     else:
-        asked = taken.join(queries.select("query_id", "query"), "query_id")
+        asked = taken.join(small_or_plain(queries.select("query_id", "query")), "query_id")
         raw = _as_udf(scorer)(or_empty(F.col("query")), or_empty(F.col("text")))
     scored = calibrate(asked.withColumn("raw_xenc_score", raw), calibration, labels)
     order = [F.round("calibrated_score", SCORE_DIGITS).desc(), F.asc("_before")]

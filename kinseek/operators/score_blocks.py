@@ -1,16 +1,26 @@
 """Scores of a block of rows against a batch of queries, as numpy matrices inside tasks.
 
-Only a task's best rows per query leave it, so a batch of Q queries over N chunks never
-turns into N x Q rows. Spark still does the scan, the partitioning and the final ranking.
+Only a task's best `k` rows per query leave it, so a batch of Q queries over N chunks
+never turns into N x Q rows. Spark still does the scan, the partitioning and the final
+ranking.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CELLS = 8_000_000
+CELLS = 8_000_000  # scores held at once, per task
+KEPT = 2_000_000  # best rows held at once, per task
+
+
+def queries_per_block(k: int) -> int:
+    """How many queries a task can hold the `k` best rows of."""
+    return max(1, KEPT // k)
 
 
 @dataclass(frozen=True)
@@ -63,3 +73,66 @@ def best_rows(scores: np.ndarray, ids: list, k: int, positive: bool) -> tuple[np
         keep &= ordered > 0
     rows, queries = np.nonzero(keep)
     return by_id[rows], queries
+
+
+class BestRows:
+    """The `k` best rows per query over all blocks of a task.
+
+    A row that ties with a query's k-th best is kept until ids have decided.
+    """
+
+    def __init__(self, query_ids: np.ndarray, k: int, positive: bool):
+        self.query_ids, self.k, self.positive = query_ids, k, positive
+        self.floor = np.full(len(query_ids), -np.inf)
+        self.held: list[pa.RecordBatch] = []
+        self.size = 0
+
+    def add(self, rows: pa.RecordBatch, scores: np.ndarray) -> None:
+        """`rows` carry a chunk_id; `scores` has a column per query."""
+        ids = rows.column("chunk_id").to_pylist()
+        at, query = best_rows(scores, ids, self.k, self.positive)
+        value = scores[at, query]
+        keep = value >= self.floor[query]
+        at, query, value = at[keep], query[keep], value[keep]
+        if not len(at):
+            return
+        taken = rows.take(pa.array(at))
+        self.held.append(
+            pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(query), pa.array(value)],
+                [*rows.schema.names, "_query", "_score"],
+            )
+        )
+        self.size += len(at)
+        if self.size > 2 * max(self.k * len(self.query_ids), 10_000):
+            self._prune()
+
+    def _prune(self) -> None:
+        table = pa.Table.from_batches(self.held)
+        keys = [("_query", "ascending"), ("_score", "descending"), ("chunk_id", "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=keys))
+        query = table.column("_query").to_numpy()
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        full = place == self.k - 1
+        self.floor[query[full]] = table.column("_score").to_numpy()[full]
+        self.held = table.filter(pa.array(place < self.k)).combine_chunks().to_batches()
+        self.size = sum(batch.num_rows for batch in self.held)
+
+    def batches(self, score_type: pa.DataType, extra: dict) -> Iterator[pa.RecordBatch]:
+        """The kept rows: their own columns, query_id, the constants of `extra`, the score."""
+        if not self.held:
+            return
+        self._prune()
+        for batch in self.held:
+            query, score = batch.column("_query").to_numpy(), batch.column("_score")
+            constants = [pa.array([v] * batch.num_rows) for v in extra.values()]
+            names = [n for n in batch.schema.names if not n.startswith("_")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(n) for n in names],
+                    pa.array(self.query_ids[query]),
+                    *constants,
+                    score.cast(score_type),
+                ],
+                [*names, "query_id", *extra, "hits" if extra else "score"],
+            )

@@ -16,6 +16,8 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
+        # Recording the call site of every column operator dominates small plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("kinseek")

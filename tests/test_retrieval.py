@@ -172,7 +172,7 @@ def test_search_in_several_query_blocks(random_case, monkeypatch):
     chunks, queries, *_ = random_case
     whole = sorted(lexical.search(chunks, queries, 5).collect())
     real = lexical.blocks
-    monkeypatch.setattr(lexical, "blocks", lambda q, **_: real(q, max_terms=15, max_queries=3))
+    monkeypatch.setattr(lexical, "blocks", lambda q, *_, **__: real(q, max_terms=15, max_queries=3))
     assert sorted(lexical.search(chunks, queries, 5).collect()) == whole
 
 

@@ -126,3 +126,24 @@ def test_methods_without_labels_are_min_max(labels):
     assert min(values) == 0 and max(values) == 1
     with pytest.raises(ValueError):
         calibrate.calibrate(frame, "beta", score="score")
+
+
+def test_best_rows_over_many_blocks():
+    import pyarrow as pa
+
+    from kinseek.operators.score_blocks import BestRows
+
+    rng = np.random.default_rng(6)
+    scores = rng.integers(0, 6, size=(30_000, 7)).astype(float)
+    names = [f"c{i}" for i in rng.permutation(30_000)]
+    best = BestRows(np.arange(7) * 10, 9, positive=True)
+    for at in range(0, 30_000, 500):
+        rows = pa.RecordBatch.from_arrays([pa.array(names[at : at + 500])], ["chunk_id"])
+        best.add(rows, scores[at : at + 500])
+    got = [tuple(r.values()) for b in best.batches(pa.float64(), {}) for r in b.to_pylist()]
+    want = [
+        (names[i], q * 10, scores[i, q])
+        for q in range(7)
+        for i in sorted(range(30_000), key=lambda i: (-scores[i, q], names[i]))[:9]
+    ]
+    assert sorted(got) == sorted(want)
