@@ -49,7 +49,7 @@ def find_hot_keys(
     if total <= limit:
         return HotKeys(tuple(keys), None)
     fan = F.ceil(F.col(weight) / limit).cast("int").alias("_fan")
-    hot = cut_lineage(counted.where(F.col(weight) > limit).select(*keys, fan).coalesce(1))
+    hot = cut_lineage(counted.where(F.col(weight) > limit).select(*keys, fan))
     return HotKeys(tuple(keys), None if hot.isEmpty() else hot)
 
 
