@@ -340,6 +340,12 @@ ORACLES = {
     "patient_records_founder": f"""WITH RECURSIVE {LINKED}, founding AS (
         SELECT * FROM linked WHERE rule = 'new_patient'), """
     + _patients("founding"),
+    "uid_collisions": f"""WITH RECURSIVE {LINKED}
+        SELECT substr(patient_uid, 1, 3) AS patient_uid, count(*) AS founders,
+          arg_min(note_uid, ord) AS first_note
+        FROM linked WHERE rule = 'new_patient' GROUP BY 1 HAVING count(*) > 1""",
+    "chunk_patients": f"""WITH RECURSIVE {LINKED}, {CHUNKS}
+        SELECT chunk_id, patient_uid FROM chunks LEFT JOIN linked USING (note_uid)""",
     "link_conflicts": f"WITH RECURSIVE {LINKED}, {CONFLICTS} SELECT * FROM conflicts",
     "patient_conflict_sets": f"WITH RECURSIVE {LINKED}, {CONFLICTS} SELECT * FROM conflict_sets",
     "report_summary": _REPORT,

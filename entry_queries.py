@@ -105,6 +105,17 @@ def patient_records_founder(spark, folder):
     return _flat_patients(records.patient_records(_linked(spark, folder), founder_only=True))
 
 
+def uid_collisions(spark, folder):
+    """With uids of two hex digits, so that there are collisions to report."""
+    keyed = cut_lineage(_keyed(spark, folder))
+    return records.uid_collisions(linking.link_notes(keyed, hex_len=2))
+
+
+def chunk_patients(spark, folder):
+    links = linking.link_table(_linked(spark, folder))
+    return linking.chunk_links(derived.chunks(spark, folder), links)
+
+
 def link_conflicts(spark, folder):
     return records.link_conflicts(_linked(spark, folder))
 
@@ -381,6 +392,8 @@ QUERIES = {
     "rule_counts": rule_counts,
     "patient_records": patient_records,
     "patient_records_founder": patient_records_founder,
+    "uid_collisions": uid_collisions,
+    "chunk_patients": chunk_patients,
     "link_conflicts": link_conflicts,
     "patient_conflict_sets": patient_conflict_sets,
     "report_summary": report,

@@ -29,9 +29,14 @@ def prepare_notes(
     `require_identifiers` a note lacking birth date, sex and diagnosis has no triplet.
     """
     order = [F.col(c) for c in order_by]
+    if len(order) == 1:
+        missing = F.raise_error(F.lit(f"{order_by[0]} orders the notes and must not be null"))
+        position = F.coalesce(order[0], missing)
+    else:
+        position = F.struct(*order)
     first = notes.where((F.col("uid").isNotNull()) & (F.col("uid") != "")).select(
         F.col("uid").alias("note_uid"),
-        (order[0] if len(order) == 1 else F.struct(*order)).alias("ord"),
+        position.alias("ord"),
         tx.or_empty(F.col("mrn")).alias("mrn"),
         tx.or_empty(F.col("source_id")).alias("source_id"),
         F.col("demographics.dob").alias("dob"),
@@ -109,3 +114,17 @@ def link_notes(
 def link_table(linked: DataFrame) -> DataFrame:
     """The note-to-patient link rows that are written out."""
     return linked.select("note_uid", "patient_uid", "rule", "mrn", "source_id", "confidence")
+
+
+def chunk_links(chunks: DataFrame, links: DataFrame, order: str | None = None) -> DataFrame:
+    """Patient of every chunk through the note it comes from, null where there is none.
+
+    Of several links of a note the last in `order` counts (the largest patient uid where
+    no order is given). A note may have any number of chunks.
+    """
+    last = F.max("patient_uid") if order is None else F.max_by("patient_uid", order)
+    per_note = links.groupBy("note_uid").agg(last.alias("patient_uid"))
+    slim = chunks.select("chunk_id", "note_uid")
+    hot = find_hot_keys(slim, ["note_uid"])
+    joined = lookup_join(slim, per_note, hot, "left", ["chunk_id"])
+    return joined.select("chunk_id", "patient_uid")

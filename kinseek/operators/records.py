@@ -132,6 +132,24 @@ def patient_conflict_sets(conflicts: DataFrame) -> DataFrame:
     )
 
 
+def uid_collisions(linked: DataFrame) -> DataFrame:
+    """Patient uids that several founders share: hash collisions, which merge patients.
+
+    Eight hex digits make them likely from some 65,000 patients on; use a larger
+    `hex_len` there.
+    """
+    return (
+        linked.where("rule = 'new_patient'")
+        .groupBy("patient_uid")
+        .agg(
+            F.count(F.lit(1)).alias("founders"),
+            F.min(F.struct("ord", "note_uid")).alias("first"),
+        )
+        .where("founders > 1")
+        .select("patient_uid", "founders", F.col("first.note_uid").alias("first_note"))
+    )
+
+
 def rule_statistics(linked: DataFrame) -> DataFrame:
     """One row: totals, count and rate of each rule. Rates are lines per distinct note."""
     rules = list(RULE_CONFIDENCE)

@@ -219,3 +219,36 @@ def test_empty_input(spark):
     assert run.links.isEmpty() and run.patients.isEmpty() and run.conflicts.isEmpty()
     stats = run.statistics.first()
     assert stats["total_notes"] == 0 and stats["mrn_match_rate"] == 0
+
+
+def test_default_order_without_timestamps(spark):
+    rules = {r["note_uid"]: r["rule"] for r in resolve(spark.createDataFrame(NOTES, schemas.NOTES)).links.collect()}
+    assert rules == {"note_1": "new_patient", "note_2": "mrn_match", "note_3": "new_patient"}
+
+
+def test_missing_order_is_an_error(spark):
+    with pytest.raises(Exception, match="must not be null"):
+        resolve(spark.createDataFrame(NOTES, schemas.NOTES), ["encounter.ts"])
+
+
+def test_chunks_of_hot_notes_get_their_patients(spark, monkeypatch):
+    monkeypatch.setattr(hot_keys, "FLOOR", 10)
+    chunks = spark.range(200).select(
+        F.concat(F.lit("c"), "id").alias("chunk_id"),
+        F.when(F.col("id") < 90, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 30)).alias("note_uid"),
+    )
+    links = spark.createDataFrame(
+        [("hot", "p0", 1), ("hot", "p1", 2), ("n3", "p3", 1)], "note_uid string, patient_uid string, o int"
+    )
+    rows = linking.chunk_links(chunks, links, "o").collect()
+    assert len(rows) == 200
+    assert sum(r["patient_uid"] == "p1" for r in rows) == 90
+    assert sum(r["patient_uid"] == "p3" for r in rows) == 4
+
+
+def test_uid_collisions(spark):
+    keys = [(f"m{i}", f"t{i}") for i in range(40)]
+    linked = linking.link_notes(keyed_frame(spark, keys), hex_len=1)
+    shared = records.uid_collisions(linked).collect()
+    assert shared and sum(r["founders"] - 1 for r in shared) == 40 - linked.select("patient_uid").distinct().count()
+    assert records.uid_collisions(linking.link_notes(keyed_frame(spark, keys))).isEmpty()
