@@ -4,23 +4,24 @@ A term may occur inside a word. Two scores come from one scan: the lexical score
 occurrences, the presence score counts the terms that occur at all; a term repeated in
 the query counts each time. Only positive scores are results.
 
-Small batches become plain column expressions. Larger ones are matched in one pass over
-each text with an Aho-Corasick automaton of all terms.
+Small batches become plain column expressions. Larger ones are matched in one pass by an
+Aho-Corasick automaton of all terms.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.fixed_values import K_A, LEXICAL_WEIGHT, PRESENCE_WEIGHT
-from kinseek.functions.text import occurrences, or_empty
+from kinseek.functions.text import occurrences, or_empty, tokens
 from kinseek.operators.query_batch import BLOCK_TERMS, Block, blocks, distinct_terms
 from kinseek.operators.ranking import SPREAD, top_k
 from kinseek.operators.score_blocks import (
@@ -28,6 +29,7 @@ from kinseek.operators.score_blocks import (
     TermWeights,
     queries_per_block,
     rows_per_block,
+    spread,
 )
 
 try:
@@ -36,6 +38,7 @@ except ImportError:  # large batches then take several passes of column expressi
     ahocorasick = None
 
 INLINE_TERMS = 64
+CACHED_WORDS = 200_000
 CARRY = ("source_id", "note_uid")
 LEXICAL, PRESENCE = "lexical", "presence"
 
@@ -68,7 +71,11 @@ def _inline_hits(chunks: DataFrame, block: Block, carry, sides) -> DataFrame:
 
 
 def _matcher(block: Block, k: int, carry, sides):
-    """A function over Arrow batches (chunk_id, carried columns, lower-cased text)."""
+    """A function over Arrow batches (chunk_id, carried columns, words).
+
+    No term holds white space, so its occurrences in a text are those in the words. The
+    automaton therefore only reads the distinct words of a batch.
+    """
     terms = distinct_terms(block)
     number = {term: i for i, term in enumerate(terms)}
     query_ids = np.array([query_id for query_id, _ in block], dtype=np.int64)
@@ -85,23 +92,35 @@ def _matcher(block: Block, k: int, carry, sides):
             automaton.add_word(term, (i, len(term)))
         automaton.make_automaton()
 
-        def count(text):
+        @lru_cache(CACHED_WORDS)
+        def count(word):
             counts, used = {}, {}
-            for end, (i, length) in automaton.iter(text):
+            for end, (i, length) in automaton.iter(word):
                 if used.get(i, -1) <= end - length:
                     counts[i] = counts.get(i, 0) + 1
                     used[i] = end
             return counts
 
+        def occurrences_in(words: pa.ListArray):
+            """Row, term and number of occurrences, one entry per row and term."""
+            coded = words.flatten().dictionary_encode()
+            found = [count(word) for word in coded.dictionary.to_pylist()]
+            starts = np.concatenate([[0], np.cumsum([len(c) for c in found], dtype=np.int64)])
+            term = np.array([i for c in found for i in c], dtype=np.int64)
+            times = np.array([n for c in found for n in c.values()], dtype=np.float64)
+            sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+            at, per_word = spread(starts, coded.indices.to_numpy().astype(np.int64))
+            row = np.repeat(np.repeat(np.arange(len(sizes)), sizes), per_word)
+            cells, place = np.unique(row * len(terms) + term[at], return_inverse=True)
+            rows, of_term = np.divmod(cells, len(terms))
+            return rows, of_term, np.bincount(place, weights=times[at], minlength=len(cells))
+
         best = {side: BestRows(query_ids, k, positive=True) for side in sides}
         step = rows_per_block(len(block))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                found = [count(text) for text in part.column("_lowered").to_pylist()]
-                rows = np.repeat(np.arange(len(found)), [len(c) for c in found])
-                term = np.array([i for c in found for i in c], dtype=np.int64)
-                times = np.array([n for c in found for n in c.values()], dtype=np.float64)
+                rows, term, times = occurrences_in(part.column("words"))
                 for side in sides:
                     values = times if side == LEXICAL else np.ones_like(times)
                     scores = weights.scores(rows, term, values, part.num_rows)
@@ -113,7 +132,7 @@ def _matcher(block: Block, k: int, carry, sides):
 
 
 def _matched_hits(chunks: DataFrame, block: Block, k: int, carry, sides) -> DataFrame:
-    source = chunks.select("chunk_id", *carry, F.lower(or_empty(F.col("text"))).alias("_lowered"))
+    source = chunks.select("chunk_id", *carry, tokens(F.col("text")).alias("words"))
     kept = ", ".join(f"{c} string" for c in ("chunk_id", *carry))
     return source.mapInArrow(
         _matcher(block, k, carry, sides), f"{kept}, query_id long, side string, hits long"

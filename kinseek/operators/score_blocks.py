@@ -23,6 +23,14 @@ def queries_per_block(k: int) -> int:
     return max(1, KEPT // k)
 
 
+def spread(starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions starts[i] .. starts[i + 1] for every i of `index`, and how many each has."""
+    counts = starts[index + 1] - starts[index]
+    ends = np.cumsum(counts)
+    inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+    return np.repeat(starts[index], counts) + inside, counts
+
+
 @dataclass(frozen=True)
 class TermWeights:
     """Sparse terms x queries matrix in compressed row form."""
@@ -42,11 +50,7 @@ class TermWeights:
 
     def scores(self, rows, terms, values, n_rows: int) -> np.ndarray:
         """rows x queries sums of values[i] * weight[terms[i], query]."""
-        terms = np.asarray(terms, dtype=np.int64)
-        counts = self.starts[terms + 1] - self.starts[terms]
-        ends = np.cumsum(counts)
-        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
-        at = np.repeat(self.starts[terms], counts) + inside
+        at, counts = spread(self.starts, np.asarray(terms, dtype=np.int64))
         cells = np.repeat(np.asarray(rows, dtype=np.int64), counts) * self.n_queries
         cells += self.columns[at]
         amounts = np.repeat(np.asarray(values, dtype=np.float64), counts) * self.weights[at]
