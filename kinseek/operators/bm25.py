@@ -30,9 +30,9 @@ def _asked_words(terms: list[str], carry: Sequence[str]):
     """Words of each chunk to its length and the numbers of those that a query asks for."""
 
     def run(batches):
-        asked = pa.array(terms, pa.string())
         for batch in batches:
             words = batch.column("words")
+            asked = pa.array(terms, words.type.value_type)
             number = pc.index_in(words.flatten(), value_set=asked)
             inside = np.concatenate([[0], np.cumsum(number.is_valid().to_numpy(False))])
             length = pc.list_value_length(words)

@@ -54,7 +54,10 @@ def cosine_top_k(
     each. A task multiplies whole Arrow batches and passes on its best rows per query
     only. Scores are rounded before ranking so that equal vectors tie; ties go by id.
     """
-    query_vectors = cut_lineage(query_vectors.select("query_id", "vector"))
+    vectors = vectors.where(F.col("vector").isNotNull())
+    query_vectors = cut_lineage(
+        query_vectors.where(F.col("vector").isNotNull()).select("query_id", "vector")
+    )
     width = query_vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     parts = max(
         1, ceil(width[0] * (width[1] or 1) / BLOCK_VALUES), ceil(width[0] / queries_per_block(k))

@@ -114,5 +114,6 @@ def report_summary(report: DataFrame, shown: int = REPORT_CONFLICTS) -> DataFram
     # A saved report may list more conflicts than its count says, or only the first few.
     known_total = F.greatest(F.coalesce(s["conflict_count"], F.lit(0)), F.size("conflicts"))
     rest = F.array(line(9 + shown, "more_conflicts", (known_total - shown).cast("string")))
-    lines = F.concat(fixed, F.coalesce(items, F.array()), F.when(known_total > shown, rest).otherwise(F.array()))
+    more = F.when(known_total > shown, rest).otherwise(F.array())
+    lines = F.concat(fixed, F.coalesce(items, F.array()), more)
     return report.select(F.explode(lines).alias("l")).select("l.*")

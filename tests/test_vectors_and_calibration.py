@@ -45,6 +45,12 @@ def test_cosine_in_several_query_blocks(case, monkeypatch):
     assert ranked(dense.cosine_top_k(v, q, 10)) == whole
 
 
+def test_missing_vectors_are_left_out(spark, case):
+    v, q, *_ = case
+    bare = spark.createDataFrame([(999, None)], v.schema)
+    assert ranked(dense.cosine_top_k(v.unionByName(bare), q, 10)) == ranked(dense.cosine_top_k(v, q, 10))
+
+
 def test_lsh_recall(case):
     v, q, *_ = case
     exact, near = ranked(dense.cosine_top_k(v, q, 10)), ranked(dense.lsh_top_k(v, q, 10))
