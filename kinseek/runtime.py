@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,20 +34,55 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
+    context.setCheckpointDir(shared_folder(spark))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the session's checkpoint folder and go on from the written copy.
+
+    The copy lives on shared storage, so it outlives the executors that wrote it.
+    """
+    _ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names; the driver and all executors reach it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder that every executor can reach"
             )
         folder = os.path.join(tempfile.gettempdir(), f"kinseek-checkpoints-{os.getpid()}")
-    context.setCheckpointDir(folder)
+    return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the session's checkpoint folder and go on from the written copy.
+def stage(df: DataFrame) -> DataFrame:
+    """Write `df` as Parquet below the shared folder and go on from the written table.
 
-    The copy lives on shared storage, so it outlives the executors that wrote it.
+    Later reads of it prune columns and rows. Its files go when the driver's Python ends,
+    or earlier by `drop_staged`.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
+    if not _staged:
+        atexit.register(drop_staged)
+    _staged.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(keep: int = 0) -> None:
+    """Delete staged tables but for the first `keep`; no frame that reads them may be in use."""
+    while len(_staged) > keep:
+        spark, path = _staged.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session may have ended before
+            continue
+
+
+_staged: list[tuple[SparkSession, str]] = []
