@@ -66,23 +66,24 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
-    if not _staged:
-        atexit.register(drop_staged)
-    _staged.append((spark, path))
+    if not _staged(spark):
+        atexit.register(drop_staged, spark)
+    _staged(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(keep: int = 0) -> None:
-    """Delete staged tables but for the first `keep`; no frame that reads them may be in use."""
-    while len(_staged) > keep:
-        spark, path = _staged.pop()
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables staged so far; no frame that reads them may be in use."""
+    while _staged(spark):
+        path = _staged(spark).pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         except Exception:  # noqa: BLE001 - the session may have ended before
             continue
 
 
-_staged: list[tuple[SparkSession, str]] = []
+def _staged(spark: SparkSession) -> list[str]:
+    # Kept on the session: functions sent to tasks take this module's globals with them.
+    return spark.__dict__.setdefault("_kinseek_staged", [])
