@@ -33,9 +33,9 @@ from kinseek.llm import graph, words
 from kinseek.runtime import stage
 
 BUCKETS = 1 << 16
-CELLS = 64
+CELLS, WALK_CELLS = 64, 256
 GROUP_ROWS = 2048  # rows of one shingle compared in one go
-BLOCK_SHINGLES = 2_000_000  # shingles of one trie
+BLOCK_SHINGLES = 4_000_000  # shingles of one trie
 BROADCAST_IDS = 200_000  # ids that are broadcast; more are joined by a shuffle
 
 
@@ -200,17 +200,17 @@ def _edges(pairs) -> Iterator[pa.RecordBatch]:
 
 
 class _Node:
-    """A compressed trie node: shingles all its sets go on with, and the sets below it."""
+    """A compressed trie node: shingles that sets `lo` to `hi` go on with."""
 
-    __slots__ = ("children", "depth", "hi", "last", "least", "lo", "most", "one", "segment")
+    __slots__ = ("children", "depth", "hi", "last", "lo", "most", "segment")
 
-    def __init__(self, lo, hi, depth, segment, last, least, most):
-        self.lo, self.hi, self.depth, self.segment, self.last = lo, hi, depth, segment, last
-        self.least, self.most, self.children, self.one = least, most, [], hi - lo == 1
+    def __init__(self, lo: int, hi: int, depth: int, segment: np.ndarray, last: int, most: int) -> None:
+        self.lo, self.hi, self.depth, self.segment, self.last, self.most = lo, hi, depth, segment, last, most
+        self.children: list[_Node] = []
 
 
 def _trie(sets: list[np.ndarray]) -> _Node:
-    """The trie of sets in lexicographic order; no two sets are equal."""
+    """The trie of sets in lexicographic order."""
     shared = np.zeros(len(sets) + 1, np.int64)
     for i in range(1, len(sets)):
         m = min(len(sets[i]), len(sets[i - 1]))
@@ -220,9 +220,8 @@ def _trie(sets: list[np.ndarray]) -> _Node:
 
     def node(lo: int, hi: int, above: int) -> _Node:
         depth = len(sets[lo]) if hi - lo == 1 else int(shared[lo + 1 : hi].min())
-        segment = sets[lo][above:depth]
         last = int(sets[lo][depth - 1]) if depth else -1
-        return _Node(lo, hi, depth, segment, last, int(sizes[lo:hi].min()), int(sizes[lo:hi].max()))
+        return _Node(lo, hi, depth, sets[lo][above:depth], last, int(sizes[lo:hi].max()))
 
     top = node(0, len(sets), 0)
     todo = [top]
@@ -236,50 +235,68 @@ def _trie(sets: list[np.ndarray]) -> _Node:
     return top
 
 
-def trie_links(sets: list[np.ndarray], nodes: list[int], home: list[int], limit: Threshold, met: graph.Forest) -> None:
-    """Joins in `met` all `nodes` whose sets link; `home` tells which are linked before.
+def _upto(rows: np.ndarray, size: int) -> np.ndarray:
+    """How many of `rows` are below 0, 1, ... `size`."""
+    marks = np.zeros(size + 1, np.int64)
+    marks[rows + 1] = 1
+    return np.cumsum(marks)
 
-    `sets` hold distinct numbers. Inside, shingles are numbered by how many of these sets
-    have them, so sets share long paths from the root.
+
+def trie_links(stored: list[tuple], walking: list[tuple] | None, limit: Threshold, met: graph.Forest) -> None:
+    """Joins in `met` the nodes whose sets link; items are (node, node it is joined with
+    already, set). `walking` sets meet all `stored` ones, or these each other if it is None.
+
+    Shingles are numbered by how many of the sets have them, so sets share long paths from
+    the root. What no other set has is left out of the trie and counts as a difference.
     """
-    found, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    items = stored + (walking or [])
+    for node, home, _ in items:
+        met.join(home, node)
+    found, number, count = np.unique(np.concatenate([x[2] for x in items]), return_inverse=True, return_counts=True)
     place = np.empty(len(found), np.int64)
     place[np.argsort(-count, kind="stable")] = np.arange(len(found))
-    cut = np.cumsum([len(s) for s in sets])[:-1]
-    own = [np.sort(s) for s in np.split(place[number], cut)]
-    order = sorted(range(len(own)), key=lambda i: own[i].astype(">u4").tobytes())
-    own, nodes, home = [own[i] for i in order], [nodes[i] for i in order], [home[i] for i in order]
-    top = _trie(own)
-    for i in range(len(home)):
-        met.join(home[i], nodes[i])
-    mask = np.zeros(len(found), bool)
-    for i, walker in enumerate(own):
-        n = len(walker)
+    common = int((count > 1).sum())
+    cut = np.cumsum([len(x[2]) for x in items])[:-1]
+    own = [np.sort(s[s < common]) for s in np.split(place[number], cut)]
+    full = np.array([len(x[2]) for x in items])
+    order = np.array(sorted(range(len(stored)), key=lambda i: own[i].astype(">u4").tobytes()))
+    walkers = order if walking is None else np.arange(len(stored), len(items))
+    # Differing cells are differing shingles, so they bound the overlap from above.
+    cells = np.stack([np.bincount(s % WALK_CELLS, minlength=WALK_CELLS) for s in own]).astype(np.int32)
+    alone = full - np.array([len(s) for s in own])
+    sets, sizes, stored_cells, stored_alone = [own[i] for i in order], full[order], cells[order], alone[order]
+    roots = np.array([met.root(items[i][0]) for i in order])
+    top, mask = _trie(sets), np.zeros(common, bool)
+    for step, i in enumerate(walkers):
+        upto = step if walking is None else len(sets)
+        n, walker, mine = int(full[i]), own[i], met.root(items[i][0])
+        total = n + sizes[:upto]
+        most_apart = total - 2 * limit.overlap(total)
+        near = np.flatnonzero((roots[:upto] != mine) & (np.abs(total - 2 * n) <= most_apart) & (stored_alone[:upto] + alone[i] <= most_apart))
+        if len(near):
+            apart = np.abs(stored_cells[near] - cells[i]).sum(1) + stored_alone[near] + alone[i]
+            near = near[apart <= most_apart[near]]
+        if not len(near):
+            continue
+        open_ = _upto(near, len(sets))
         mask[walker] = True
-        mine = met.root(nodes[i])
         todo = [(top, 0)]
         while todo:
             at, overlap = todo.pop()
-            if at.lo >= i:  # the sets before this one have walked to it themselves
-                continue
-            if at.one and met.root(nodes[at.lo]) == mine:
+            if open_[at.hi] == open_[at.lo]:
                 continue
             overlap += int(np.count_nonzero(mask[at.segment]))
-            left = n - int(np.searchsorted(walker, at.last, "right"))
-            size = min(max(at.depth + left, at.least), at.most)
-            if (overlap + min(left, size - at.depth)) * (limit.den + limit.num) < limit.num * (n + size):
-                continue
-            if at.hi - at.lo == 1:
-                if limit.den * overlap >= limit.num * (n + at.depth - overlap) and met.join(nodes[i], nodes[at.lo]):
-                    mine = met.root(nodes[i])
-                continue
-            if not at.one:
-                roots = {met.root(c) for c in nodes[at.lo : min(at.hi, at.lo + 2)]}
-                if len(roots) == 1 and len({met.root(c) for c in nodes[at.lo : at.hi]}) == 1:
-                    at.one = True
-                    if mine in roots:
-                        continue
-            todo += [(child, overlap) for child in at.children]
+            left = len(walker) - int(np.searchsorted(walker, at.last, "right"))
+            if at.hi - at.lo > 1:
+                if (overlap + min(left, at.most - at.depth)) * (limit.den + limit.num) >= limit.num * (n + int(sizes[at.lo : at.hi].min())):
+                    todo += [(child, overlap) for child in at.children]
+            elif limit.den * overlap >= limit.num * (n + int(sizes[at.lo]) - overlap):
+                met.join(items[i][0], items[order[at.lo]][0])
+                joined = (roots == mine) | (roots == roots[at.lo])
+                mine = met.root(mine)
+                roots[joined] = mine
+                near = near[roots[near] != mine]
+                open_ = _upto(near, len(sets))
         mask[walker] = False
 
 
@@ -292,12 +309,15 @@ def _verify(limit: Threshold):
             for a, b in zip(cut, cut[1:]):
                 part = table.slice(a, b - a).combine_chunks()
                 batch = part.to_batches(max_chunksize=part.num_rows)[0]
-                rep, home = batch.column("rep").to_pylist(), batch.column("home").to_pylist()
-                by = {}
+                rep, home, block = (batch.column(c).to_pylist() for c in ("rep", "home", "block"))
+                by: dict = {}
                 for row, own in _sets(batch, limit.size):
-                    by.setdefault(rep[row], (own, home[row]))
-                if len(by) > 1:
-                    trie_links([s for s, _ in by.values()], list(by), [h for _, h in by.values()], limit, met)
+                    by.setdefault((block[row], rep[row]), (rep[row], home[row], own))
+                low, high = batch.column("lo")[0].as_py(), batch.column("hi")[0].as_py()
+                stored = [x for (k, _), x in by.items() if k == low]
+                walking = [x for (k, _), x in by.items() if k != low] if low != high else None
+                if stored and (len(stored) > 1 if walking is None else walking):
+                    trie_links(stored, walking, limit, met)
         yield from _edges(met.pairs())
 
     return verify
@@ -309,14 +329,14 @@ def _blocks(members: DataFrame, weight: str, key: str, most: int, pairs: bool) -
     count = F.ceil(F.col(weight) / F.lit(most)).cast("int")
     own = F.pmod(F.xxhash64(key), F.greatest(count, F.lit(1))).cast("int")
     if not pairs:
-        return members.withColumn("lo", own).withColumn("hi", own).drop(weight)
+        return members.withColumn("block", own).withColumn("lo", own).withColumn("hi", own).drop(weight)
     others = F.explode(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1))
     return (
-        members.withColumn("_own", own)
+        members.withColumn("block", own)
         .withColumn("_other", others)
-        .withColumn("lo", F.least("_own", "_other"))
-        .withColumn("hi", F.greatest("_own", "_other"))
-        .drop("_own", "_other", weight)
+        .withColumn("lo", F.least("block", "_other"))
+        .withColumn("hi", F.greatest("block", "_other"))
+        .drop("_other", weight)
     )
 
 
@@ -392,10 +412,27 @@ def _join_blocks(docs: DataFrame, members: DataFrame, links: DataFrame, limit: T
         found = graph.components(links).select(F.col("node").alias("rep"), F.col("component").alias("_found"))
         now = large.join(found, "rep", "left").withColumn("home", F.coalesce("_found", "rep")).drop("_found")
         apart = now.groupBy("component").agg(F.min("home").alias("_x"), F.max("home").alias("_y")).where("_x < _y").select("component")
-        now = stage(now.join(apart, "component", "left_semi"))
-        if not pairs:
-            now = now.where("rep = home")
-        weight = now.groupBy("component").agg(F.sum("n").alias("_weight"))
-        now = now.drop("_weight", "n").join(weight, "component")
-        links = stage(links.union(_linked(docs, _blocks(now, "_weight", "rep", block, pairs=pairs), limit)))
+        now = now.join(apart, "component", "left_semi")
+        if pairs:  # in the blocks of before, which have met themselves
+            split = _blocks(now.drop("n"), "_weight", "rep", block, pairs=True).where("lo < hi")
+        else:
+            now = stage(now.where("rep = home").drop("_weight"))
+            weight = now.groupBy("component").agg(F.sum("n").alias("_weight"))
+            split = _blocks(now.drop("n").join(weight, "component"), "_weight", "rep", block, pairs=False)
+        links = stage(links.union(_linked(docs, split, limit)))
     return links
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of `docs` that no row of a smaller id, or equal row, links to; all columns stay.
+
+    Of rows with one id a single one stays; rows with a null id all stay.
+    """
+    groups = jaccard_groups(docs, size, num, den)
+    gone = stage(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    kept = docs.join(F.broadcast(gone) if graph.small_enough(gone, BROADCAST_IDS) else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = stage(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if again.isEmpty():
+        return kept
+    listed = F.broadcast(again) if graph.small_enough(again, BROADCAST_IDS) else again
+    return kept.join(listed, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(listed, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
