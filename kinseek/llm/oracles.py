@@ -1,3 +1,101 @@
-"""SQL that DuckDB runs for the registered queries it can express."""
+"""SQL that DuckDB runs for the registered queries it can express.
 
-ORACLES: dict[str, str] = {}
+The others are tested against brute force: they need a checksum, a tokenizer, a trained model
+or hashes that DuckDB does not have.
+"""
+
+#: Reachability over links `e` (a, b), both ways, from every node of `v` (id).
+REACH = """reach AS (
+  SELECT id, id AS node FROM v
+  UNION
+  SELECT reach.id, e.b FROM reach JOIN e ON e.a = reach.node
+), found AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id)"""
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [ws]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i:i + 3]) END) AS g FROM w
+), n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), shared AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM (SELECT * FROM s SEMI JOIN shared USING (g)) x JOIN s y USING (g)
+  WHERE x.doc_id < y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), v AS (SELECT doc_id AS id FROM documents
+), {REACH}
+SELECT doc_id, n AS n_shingles, component_id FROM n JOIN found ON id = doc_id
+"""
+
+OP5 = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS h
+  FROM w, unnest(range(1, len(ws) - 11)) AS t(i)
+), d AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS least FROM g) WHERE least < doc_id
+), gone AS (SELECT doc_id, list(DISTINCT j) AS places FROM (SELECT doc_id, unnest(range(i, i + 13)) AS j FROM d) GROUP BY doc_id
+), k AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(len(places), 0) AS n_removed,
+    array_to_string(list_filter(ws, lambda x, i: NOT coalesce(list_contains(places, i), false)), ' ') AS kept
+  FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k
+"""
+
+OP6 = f"""
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS q FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM x a JOIN x b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE list_cosine_similarity(a.q, b.q) >= 0.93
+), v AS (SELECT vec_id AS id FROM embeddings
+), {REACH}
+SELECT vec_id, (SELECT count(*) FROM e WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN found ON id = vec_id
+"""
+
+OP8 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len({WORDS}) AS size,
+    ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM d GROUP BY source
+), t AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS budget FROM s
+), fill AS (
+  SELECT 0 AS round, source, source_size, weight, false AS held, 0.0::DOUBLE AS target FROM s
+  UNION ALL
+  SELECT round + 1, source, source_size, weight, target >= 2 * source_size AS held, target FROM (
+    SELECT round, source, source_size, weight,
+      CASE WHEN held THEN (2 * source_size)::DOUBLE ELSE weight * (
+        (SELECT budget FROM t) - coalesce(sum(CASE WHEN held THEN 2 * source_size END) OVER (), 0)::DOUBLE
+      ) / sum(CASE WHEN NOT held THEN weight END) OVER () END AS target FROM fill
+  ) WHERE round < 60
+), g AS (
+  SELECT source, source_size, CASE WHEN target >= 2 * source_size THEN (2 * source_size)::DOUBLE ELSE target END AS target
+  FROM fill WHERE round = 60
+), b AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM g
+), c AS (SELECT source, h, sum(size) AS size FROM d GROUP BY source, h
+), k AS (
+  SELECT c.source, c.h, c.size, target - passes * source_size AS rest,
+    sum(c.size) OVER (PARTITION BY c.source ORDER BY c.h) - c.size AS before
+  FROM c JOIN b ON b.source IS NOT DISTINCT FROM c.source
+), m AS (
+  SELECT source, h, before + size <= rest OR (before <= rest AND rest - before > before + size - rest) AS once FROM k
+)
+SELECT d.doc_id, d.size::BIGINT AS size, b.source_size, b.target,
+  (d.size * (b.passes + CASE WHEN m.once AND d.size > 0 THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN b ON b.source IS NOT DISTINCT FROM d.source JOIN m ON m.source IS NOT DISTINCT FROM d.source AND m.h = d.h
+"""
+
+ORACLES = {"op1_ngram_jaccard": OP1, "op5_substring_dedup": OP5, "op6_embedding_dedup": OP6, "op8_mixing": OP8}
