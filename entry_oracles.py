@@ -9,7 +9,14 @@ from kinseek.fixed_values import (
     RECORD_DIAGNOSES,
     SOURCE_PREFIXES,
 )
-from kinseek.sources.derived import CHUNK_WORDS, NOTE_COLUMNS, QUERY_TEXTS
+from kinseek.sources.derived import (
+    BARE_COLUMNS,
+    CHUNK_WORDS,
+    LINE_SQL,
+    NOTE_COLUMNS,
+    QUERY_TEXTS,
+    REPEATED_COLUMNS,
+)
 
 
 def _found(terms) -> str:
@@ -22,22 +29,31 @@ _PREFIX = " ".join(
     for s, p in SOURCE_PREFIXES.items()
 )
 _UID = (
-    "concat('P', upper(substr(sha256(concat(CASE WHEN mrn_key <> '' THEN "
-    "concat('mrn:', mrn_key, '|') ELSE '' END, 'triplet:', triplet)), 1, 8)))"
+    "concat('P', upper(substr(sha256(CASE WHEN mrn_key = '' AND triplet = '' THEN concat('note:', note_uid) "
+    "ELSE concat_ws('|', CASE WHEN mrn_key <> '' THEN concat('mrn:', mrn_key) END, "
+    "CASE WHEN triplet <> '' THEN concat('triplet:', triplet) END) END), 1, 8)))"
 )
 
 # --- notes and keys -----------------------------------------------------------
 
-NOTES = f"""notes AS (
-  SELECT {", ".join(f"{sql} AS {name}" for name, sql in NOTE_COLUMNS.items())} FROM documents
-), lowered AS (SELECT *, uid AS note_uid, lower(raw_text) AS low FROM notes
+_TIE = "substr(md5(concat_ws('|', coalesce(uid, ''), coalesce(mrn, ''), coalesce(source_id, ''), coalesce(dob, ''), coalesce(sex, ''), coalesce(raw_text, ''))), 1, 16)"
+
+
+def _notes(columns: dict[str, str]) -> str:
+    return f"""notes AS (
+  SELECT {", ".join(f"{sql} AS {name}" for name, sql in columns.items())} FROM documents
+), lowered AS (
+  SELECT *, uid AS note_uid, lower(coalesce(raw_text, '')) AS low, {_TIE} AS tie FROM notes WHERE uid <> ''
 ), keys AS (
-  SELECT ord, note_uid, mrn, source_id, dob, sex, {_found(RECORD_DIAGNOSES)} AS phrases,
+  SELECT ord, tie, note_uid, mrn, source_id, dob, sex, {_found(RECORD_DIAGNOSES)} AS phrases,
     {_found(DIAGNOSIS_KEY_TERMS)} AS dx,
     CASE {_PREFIX} ELSE upper(trim(mrn)) END AS mrn_key
   FROM lowered
 ), keyed AS (SELECT *, concat(dob, '|', sex, '|', dx) AS triplet FROM keys
-), numbered AS (SELECT *, {_UID} AS own_uid, row_number() OVER (ORDER BY ord) AS rn FROM keyed)"""
+), numbered AS (SELECT *, {_UID} AS own_uid, row_number() OVER (ORDER BY ord, tie) AS rn FROM keyed)"""
+
+
+NOTES = _notes(NOTE_COLUMNS)
 
 LINKED = f"""{NOTES}, walk AS (
   SELECT 0::BIGINT AS rn, ''::VARCHAR AS patient_uid, ''::VARCHAR AS rule,
@@ -62,6 +78,18 @@ LINKED = f"""{NOTES}, walk AS (
   SELECT n.*, w.patient_uid, w.rule FROM numbered n JOIN walk w USING (rn)
 )"""
 
+LINKED_REPEATED = LINKED.replace(NOTES, _notes(REPEATED_COLUMNS))
+
+# Without identifiers there is no triplet to look up or to hold.
+LINKED_STRICT = (
+    LINKED.replace(NOTES, _notes(BARE_COLUMNS).replace("concat(dob, '|', sex, '|', dx) AS triplet", "CASE WHEN dob IS NULL AND sex IS NULL AND dx = '' THEN '' ELSE concat(dob, '|', sex, '|', dx) END AS triplet"))
+    .replace("WHEN rule = 'new_patient'\n      THEN map_concat(by_triplet", "WHEN rule = 'new_patient' AND triplet <> ''\n      THEN map_concat(by_triplet")
+    .replace("w.by_triplet[n.triplet] AS t", "CASE WHEN n.triplet <> '' THEN w.by_triplet[n.triplet] END AS t")
+)
+_LINK_ROWS = """SELECT note_uid, patient_uid, rule, mrn, source_id,
+        CASE rule WHEN 'mrn_match' THEN 0.9::DOUBLE WHEN 'triplet_match' THEN 0.7 ELSE 1.0 END AS confidence
+        FROM linked"""
+
 _SORTED = (
     "coalesce(array_to_string(list_sort(list_distinct(list({0}) FILTER (WHERE {0} <> ''))), '|'), '')"
 )
@@ -83,6 +111,13 @@ SELECT patient_uid, mrn_set, dob, sex, coalesce(diagnoses, '') AS diagnoses, not
 FROM per_patient LEFT JOIN phrase_sets USING (patient_uid) {extra}"""
 
 
+# A uid that repeats has the content of its last line, whatever patient a line went to.
+MEMBERS = """members AS (
+  SELECT f.patient_uid, note_uid, f.rn, l.mrn, l.source_id, l.dob, l.sex, l.phrases
+  FROM (SELECT patient_uid, note_uid, min(rn) AS rn FROM linked GROUP BY ALL) f
+  JOIN (SELECT * FROM linked QUALIFY row_number() OVER (PARTITION BY note_uid ORDER BY rn DESC) = 1) l USING (note_uid)
+)"""
+
 CONFLICTS = """held AS (
   SELECT 'mrn' AS kind, mrn_key AS key, patient_uid, min(ord) AS seen, arg_min(note_uid, ord) AS note_uid
   FROM linked WHERE mrn_key <> '' GROUP BY ALL
@@ -327,6 +362,16 @@ ORACLES = {
     "link_notes": f"""WITH RECURSIVE {LINKED} SELECT note_uid, patient_uid, rule, mrn, source_id,
         CASE rule WHEN 'mrn_match' THEN 0.9::DOUBLE WHEN 'triplet_match' THEN 0.7 ELSE 1.0 END AS confidence
         FROM linked""",
+    "link_notes_repeated": f"WITH RECURSIVE {LINKED_REPEATED} {_LINK_ROWS}",
+    "link_notes_strict": f"WITH RECURSIVE {LINKED_STRICT} {_LINK_ROWS}",
+    "patient_records_repeated": (
+        f"WITH RECURSIVE {LINKED_REPEATED}, {CONFLICTS}, {MEMBERS}, "
+        + _patients("members", "LEFT JOIN conflict_sets USING (patient_uid)")
+    ).replace("min(ord)", "min(rn)").replace(", ord)", ", rn)"),
+    "parse_notes": f"""WITH lines AS (SELECT doc_id, {LINE_SQL} AS line FROM documents)
+        SELECT doc_id, CASE WHEN ok THEN line ->> '$.uid' END AS uid, CASE WHEN ok THEN line ->> '$.mrn' END AS mrn,
+          CASE WHEN ok THEN line ->> '$.demographics.dob' END AS dob, ok AS parses
+        FROM (SELECT *, json_valid(line) AND starts_with(line, '{{') AS ok FROM lines)""",
     "rule_stats": f"""WITH RECURSIVE {LINKED}, {STATS} SELECT *,
         round(mrn_match_count / total_notes, 6) AS mrn_match_rate,
         round(triplet_match_count / total_notes, 6) AS triplet_match_rate,

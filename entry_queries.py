@@ -21,7 +21,7 @@ from kinseek.operators import (
 from kinseek.plans import cascade as retrieval
 from kinseek.plans.identity import resolve
 from kinseek.plans.report import report_summary
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 from kinseek.sources import derived, readers
 
 ORDER = ["ord"]
@@ -40,8 +40,8 @@ def _keyed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _linked(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = cut_lineage(_keyed(spark, folder))
-    return cut_lineage(linking.link_notes(keyed))
+    keyed = _keyed(spark, folder)
+    return stage(linking.link_notes(keyed))
 
 
 def mrn_normalize(spark, folder):
@@ -71,6 +71,24 @@ def link_notes(spark, folder):
     return linking.link_table(_linked(spark, folder))
 
 
+def link_notes_repeated(spark, folder):
+    """Uids that repeat or are missing, and notes that tie in their order."""
+    keyed = linking.prepare_notes(derived.notes(spark, folder, derived.REPEATED_COLUMNS), ORDER)
+    return linking.link_table(linking.link_notes(keyed))
+
+
+def link_notes_strict(spark, folder):
+    """Notes without identifiers have no triplet."""
+    bare = derived.notes(spark, folder, derived.BARE_COLUMNS)
+    keyed = linking.prepare_notes(bare, ORDER, require_identifiers=True)
+    return linking.link_table(linking.link_notes(keyed))
+
+
+def patient_records_repeated(spark, folder):
+    run = resolve(derived.notes(spark, folder, derived.REPEATED_COLUMNS), ORDER)
+    return _flat_patients(run.patients)
+
+
 def rule_stats(spark, folder):
     stats = records.rule_statistics(_linked(spark, folder))
     rates = [c for c in stats.columns if c.endswith("_rate")]
@@ -107,10 +125,17 @@ def patient_records_founder(spark, folder):
 
 def uid_collisions(spark, folder):
     """With uids of two hex digits, so that there are collisions to report."""
-    keyed = cut_lineage(_keyed(spark, folder))
+    keyed = _keyed(spark, folder)
     return records.uid_collisions(linking.link_notes(keyed, hex_len=2))
 
 
+def parse_notes(spark, folder):
+    """Notes written as JSON lines, some broken and some with a field of another kind."""
+    lines = derived.note_lines(spark, folder)
+    parsed = readers.parse_notes(lines, "line")
+    return parsed.select("doc_id", "uid", "mrn", F.col("demographics.dob").alias("dob"), "parses")
+
+
 def chunk_patients(spark, folder):
     links = linking.link_table(_linked(spark, folder))
     return linking.chunk_links(derived.chunks(spark, folder), links)
@@ -339,7 +364,7 @@ def calibrated_minmax(spark, folder):
 
 
 def _calibrated(spark, folder, method):
-    labels = cut_lineage(derived.scored_labels(spark, folder))
+    labels = stage(derived.scored_labels(spark, folder))
     scored = labels.withColumnRenamed("score", "raw")
     return calibrate.calibrate(scored, method, labels, "raw", "calibrated")
 
@@ -388,6 +413,10 @@ QUERIES = {
     "triplet_key": triplet_key,
     "patient_uid": patient_uid,
     "link_notes": link_notes,
+    "link_notes_repeated": link_notes_repeated,
+    "link_notes_strict": link_notes_strict,
+    "patient_records_repeated": patient_records_repeated,
+    "parse_notes": parse_notes,
     "rule_stats": rule_stats,
     "rule_counts": rule_counts,
     "patient_records": patient_records,

@@ -18,6 +18,8 @@ separate pieces; an empty table gives no rows; extra columns do not matter; null
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -35,36 +37,69 @@ from kinseek.runtime import stage
 CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # fillings looked at for one pattern before the incumbent is taken
-CACHED_WORDS, CACHED_BYTES = 400_000, 48
+CACHED_WORDS, CACHED_BYTES = 500_000, 48
+
+
+MARKS = b".,;:!?"
+COMBINING = re.compile(rb"[\xcc\xcd]")
+ENDS = re.compile(rb"(?:[A-Za-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")  # in a letter or digit
+BREAK = "\x01"  # a token of its own between words that are coded together
 
 
 class _Words(dict):
-    """Ids of words as little-endian bytes; the tokenizer sees every distinct word once."""
+    """Ids of words as little-endian bytes; the tokenizer sees every distinct word once.
+
+    White space always ends a token of this tokenizer, so a text's ids are its words' ids.
+    Marks after a letter or digit are a token of their own. The tokenizer folds case itself,
+    but before combining marks it matters when, so texts with such marks are not folded here.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.encode = Tokenizer.from_file(path).encode
+        self.break_id = self.encode(BREAK, add_special_tokens=False).ids
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Ids of every text. White space always ends a token of this tokenizer, so a
-        text's ids are its words' ids."""
-        split = [t.split() for t in texts]
+        split = [(t if COMBINING.search(t) else t.lower()).split() for t in texts]
         fresh: set[bytes] = set()
         for words in split:
             fresh.update(words)
         if len(self) > CACHED_WORDS:
             self.clear()
         fresh.difference_update(self)
-        words = list(fresh)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            coded = self.encode([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded))
+        self._learn(fresh)
         for words in split:
             yield b"".join(map(self.__getitem__, words))
-        for w in [w for w in fresh if len(w) > CACHED_BYTES]:
-            del self[w]
+        for w in fresh:
+            if len(w) > CACHED_BYTES:
+                del self[w]
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        marked, plain = [], set()
+        for w in fresh:
+            core = w.rstrip(MARKS)
+            if len(core) < len(w) and ENDS.search(core):
+                marked.append((w, core))
+                plain.update((core, w[len(core) :]))
+            else:
+                plain.add(w)
+        own = {w: self[w] for w in plain if w in self}
+        todo = [w for w in plain if w not in own]
+        for at in range(0, len(todo), 1024):
+            part = todo[at : at + 1024]
+            texts = [w.decode("utf-8", "replace") for w in part]
+            joined = f" {BREAK} ".join(texts)
+            ids = np.array(self.encode(joined, add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == self.break_id[0])
+            if len(self.break_id) == 1 and len(ends) == len(part) - 1:
+                coded = [c[1:].tobytes() if k else c.tobytes() for k, c in enumerate(np.split(ids, ends))]
+            else:  # a word holds the break itself
+                coded = [np.array(self.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+            own.update(zip(part, coded))
+        self.update((w, own[w]) for w in fresh if w in own)
+        self.update((w, own[core] + own[w[len(core) :]]) for w, core in marked)
 
 
 def _pieces(path: str, capacity: int, end: int, keep: bool):

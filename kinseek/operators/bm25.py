@@ -23,7 +23,7 @@ from kinseek.operators.score_blocks import (
     queries_per_block,
     rows_per_block,
 )
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 
 def _asked_words(terms: list[str], carry: Sequence[str]):
@@ -101,7 +101,7 @@ def bm25_top_k(
             continue
         terms = distinct_terms(block)
         words = chunks.select("chunk_id", *carry, tokens(F.col("text")).alias("words"))
-        slim = cut_lineage(
+        slim = stage(
             words.mapInArrow(
                 _asked_words(terms, carry), f"{kept}, length int, matched array<int>"
             )

@@ -7,6 +7,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from kinseek.functions.text import dot
 from kinseek.operators.query_batch import small_or_plain
 from kinseek.operators.ranking import SPREAD, top_k
 from kinseek.operators.score_blocks import BestRows, queries_per_block, rows_per_block
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 BLOCK_VALUES = 16_000_000
 VECTOR_DIGITS = 6
@@ -28,6 +29,15 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """The rows of a column of vectors, which must all have `width` elements; null ones are NaN."""
+    sizes = pc.list_value_length(column)
+    if len(sizes) and pc.any(pc.not_equal(sizes, width)).as_py():
+        raise ValueError(f"vectors must have {width} elements, as the queries' do")
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values.astype(np.float64).reshape(len(column), width)
+
+
 def _cosines(query_ids: np.ndarray, query_matrix: np.ndarray, k: int, digits: int):
     def run(batches):
         best = BestRows(query_ids, k, positive=False)
@@ -36,9 +46,9 @@ def _cosines(query_ids: np.ndarray, query_matrix: np.ndarray, k: int, digits: in
         for batch in batches:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                values = part.column("vector").flatten().to_numpy(zero_copy_only=False)
-                vectors = values.astype(np.float64).reshape(part.num_rows, -1)
+                vectors = _matrix(part.column("vector"), query_matrix.shape[1])
                 scores = np.round(_unit(vectors) @ unit_queries.T, digits)
+                scores[~np.isfinite(vectors).all(1)] = np.nan
                 best.add(part.select(["chunk_id"]), scores)
         yield from best.batches(pa.float64(), {})
 
@@ -52,10 +62,11 @@ def cosine_top_k(
 
     Query vectors go to the tasks in blocks of bounded size, one pass over the vectors
     each. A task multiplies whole Arrow batches and passes on its best rows per query
-    only. Scores are rounded before ranking so that equal vectors tie; ties go by id.
+    only. Scores are rounded before ranking so that equal vectors tie; ties go by id. A
+    vector with a null or non-finite element has no score; one of another length raises.
     """
     vectors = vectors.where(F.col("vector").isNotNull())
-    query_vectors = cut_lineage(
+    query_vectors = stage(
         query_vectors.where(F.col("vector").isNotNull()).select("query_id", "vector")
     )
     width = query_vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
@@ -143,7 +154,7 @@ def maxsim_rescore(
     its queries' vectors and the maxima are combined map-side, so a chunk with very many
     vectors is spread over tasks like any other rows. Ties keep the candidates' order.
     """
-    wanted = cut_lineage(candidates.select("query_id", "chunk_id", F.col("rank").alias("_before")))
+    wanted = stage(candidates.select("query_id", "chunk_id", F.col("rank").alias("_before")))
     asked = query_vectors.groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("query_pos", "vector"))).alias("asked")
     )

@@ -1,8 +1,8 @@
 """Joins against a table with one row per key that survive very frequent keys.
 
-A key is hot when it holds more than `SHARE` of all rows (and at least `FLOOR` rows), so
-there are never more than `1 / SHARE` hot keys: the list of them is safe to broadcast
-whatever the size of the data. Rows of a hot key are spread over many tasks and the one
+A key is hot when it holds more rows than a shuffle partition should (the mean of all
+partitions, and at least `FLOOR` rows), so there are never more hot keys than partitions:
+the list of them is safe to broadcast whatever the size of the data. Rows of a hot key are spread over many tasks and the one
 matching row is repeated for each of them. Nothing is dropped or capped.
 """
 
@@ -14,9 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
-SHARE = 1e-3
 FLOOR = 200_000
 
 
@@ -34,7 +33,7 @@ def find_hot_keys(
     weight: str | None = None,
     total: int | None = None,
 ) -> HotKeys:
-    """Keys of `df` holding more than `SHARE` of its rows, and at least `FLOOR`.
+    """Keys of `df` holding more rows than a partition should, and at least `FLOOR`.
 
     With `weight`, `df` has one row per key already and that column says how many rows
     the key stands for. `total` is the number of rows where it is known.
@@ -42,14 +41,16 @@ def find_hot_keys(
     counted = df
     if weight is None:
         weight, counted = "_rows", df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        total = df.count() if total is None else total
+    if total is None and weight == "_rows":
+        total = df.count()
     elif total is None:
         total = df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
-    limit = max(FLOOR, int(total * SHARE))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(FLOOR, total // max(partitions, 1))
     if total <= limit:
         return HotKeys(tuple(keys), None)
     fan = F.ceil(F.col(weight) / limit).cast("int").alias("_fan")
-    hot = cut_lineage(counted.where(F.col(weight) > limit).select(*keys, fan))
+    hot = stage(counted.where(F.col(weight) > limit).select(*keys, fan))
     return HotKeys(tuple(keys), None if hot.isEmpty() else hot)
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.fixed_values import DIAGNOSIS_KEY_TERMS, RECORD_DIAGNOSES, SOURCE_PREFIXES
 from kinseek.functions import text as tx
 from kinseek.operators.hot_keys import find_hot_keys, lookup_join
 from kinseek.operators.matching import CHAIN_AFTER, distinct_pairs, founding_pairs, hot_sides
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 
 def prepare_notes(
@@ -24,16 +24,22 @@ def prepare_notes(
 ) -> DataFrame:
     """The slim form of the notes: keys and record fields, no text.
 
-    The text is read once, here. `order_by` names the columns that say which note came
-    first; together they must be unique per note. Missing values count as empty. With
-    `require_identifiers` a note lacking birth date, sex and diagnosis has no triplet.
+    The text is read once, here, and the result is written to the shared folder. `order_by`
+    names the columns that say which note came first. Notes that tie in them are ordered
+    by `tie_breaker`, a digest of their content, and equal notes by their place in the
+    scan, so every note has a place of its own; nulls come first, but a single order column
+    must not be null. Missing values count as empty. With `require_identifiers` a note lacking birth date, sex and diagnosis has no
+    triplet.
     """
     order = [F.col(c) for c in order_by]
     if len(order) == 1:
         missing = F.raise_error(F.lit(f"{order_by[0]} orders the notes and must not be null"))
-        position = F.coalesce(order[0], missing)
-    else:
-        position = F.struct(*order)
+        order = [F.coalesce(order[0], missing)]
+    position = F.struct(
+        *[c.alias(f"o{i}") for i, c in enumerate(order)],
+        tie_breaker().alias("tie"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     first = notes.where((F.col("uid").isNotNull()) & (F.col("uid") != "")).select(
         F.col("uid").alias("note_uid"),
         position.alias("ord"),
@@ -59,7 +65,13 @@ def prepare_notes(
         keyed = keyed.withColumn(
             "triplet", F.when(F.col("triplet") == "||", "").otherwise(F.col("triplet"))
         )
-    return keyed
+    return stage(keyed)
+
+
+def tie_breaker() -> Column:
+    """Orders notes that tie by what they say."""
+    fields = ("uid", "mrn", "source_id", "demographics.dob", "demographics.sex", "content.raw_text")
+    return F.substring(F.md5(F.concat_ws("|", *[tx.or_empty(F.col(f)) for f in fields])), 1, 16)
 
 
 def link_notes(
@@ -71,7 +83,7 @@ def link_notes(
     earlier founder with the note's record number wins, then an earlier founder with its
     triplet, else the note is the founder.
     """
-    pairs = cut_lineage(distinct_pairs(keyed))
+    pairs = stage(distinct_pairs(keyed))
     sizes = pairs.agg(F.count(F.lit(1)), F.coalesce(F.sum("notes"), F.lit(0))).first()
     hot = hot_sides(pairs, total=sizes[0])
     founders = founding_pairs(pairs, hot, chain_after).withColumn(
@@ -84,7 +96,7 @@ def link_notes(
             side, F.col("ord").alias(f"{tag}_ord"), F.col("uid").alias(f"{tag}_uid")
         )
         decided = lookup_join(decided, by_key, hot[side], "left", ["ord"])
-    decided = cut_lineage(
+    decided = stage(
         decided.select("mrn_key", "triplet", "notes", "m_ord", "m_uid", "t_ord", "t_uid")
     )
 
@@ -124,7 +136,7 @@ def chunk_links(chunks: DataFrame, links: DataFrame, order: str | None = None) -
     """
     last = F.max("patient_uid") if order is None else F.max_by("patient_uid", order)
     per_note = links.groupBy("note_uid").agg(last.alias("patient_uid"))
-    slim = chunks.select("chunk_id", "note_uid")
+    slim = stage(chunks.select("chunk_id", "note_uid"))
     hot = find_hot_keys(slim, ["note_uid"])
     joined = lookup_join(slim, per_note, hot, "left", ["chunk_id"])
     return joined.select("chunk_id", "patient_uid")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.operators.hot_keys import HotKeys, find_hot_keys, lookup_join
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 CHAIN_AFTER = 6
 _SIDES = ("mrn_key", "triplet")
@@ -85,14 +85,14 @@ def _settled_by_chains(undecided: DataFrame, hot: dict[str, HotKeys]) -> DataFra
     for side in _SIDES:
         placed = _position(placed, side, hot[side])
     waits = sum(F.col(f"before_{side}") for side in _SIDES)
-    placed = cut_lineage(placed.withColumn("waits", waits))
+    placed = stage(placed.withColumn("waits", waits))
     earliest = placed.where("waits = 0").select(*_PAIR)
 
     # Each single waiter is a founder exactly when the pair it waits for is not.
     target = F.when(F.col("before_mrn_key") == 1, F.col("first_mrn_key")).otherwise(
         F.col("first_triplet")
     )
-    links = cut_lineage(
+    links = stage(
         placed.where("waits = 1").select("ord", target.alias("target"), F.lit(1).alias("flips"))
     )
     while True:
@@ -101,7 +101,7 @@ def _settled_by_chains(undecided: DataFrame, hot: dict[str, HotKeys]) -> DataFra
             F.col("target").alias("next"),
             F.col("flips").alias("more"),
         )
-        stepped = cut_lineage(
+        stepped = stage(
             links.join(onward, "target", "left").select(
                 "ord",
                 F.coalesce("next", "target").alias("target"),
@@ -151,8 +151,8 @@ def founding_pairs(
     while True:
         rounds += 1
         settle = _settled_now if rounds < chain_after else lambda u: _settled_by_chains(u, hot)
-        founders = cut_lineage(settle(undecided))
+        founders = stage(settle(undecided))
         found.append(founders)
-        undecided = cut_lineage(_without_keys_of(undecided, founders, hot))
+        undecided = stage(_without_keys_of(undecided, founders, hot))
         if undecided.isEmpty():
             return reduce(DataFrame.unionByName, found)

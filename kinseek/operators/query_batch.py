@@ -18,6 +18,7 @@ from kinseek.functions.text import tokens
 BLOCK_TERMS = 200_000
 BLOCK_QUERIES = 20_000
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 << 20
 
 Block = list[tuple[int, list[str]]]
 
@@ -26,26 +27,16 @@ def query_tokens(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", tokens(F.col("query")).alias("terms"))
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """One row per query term, repeats included."""
-    return query_tokens(queries).select(
-        "query_id", F.posexplode("terms").alias("term_idx", "term")
-    )
-
-
 def blocks(
     queries: DataFrame, max_terms: int = BLOCK_TERMS, max_queries: int = BLOCK_QUERIES
 ) -> Iterator[Block]:
     """The queries with their terms, in blocks of about `max_terms` terms."""
     parsed = query_tokens(queries)
-    rows = parsed.limit(max_queries + 1).collect()
-    if len(rows) <= max_queries and sum(len(row["terms"]) for row in rows) <= max_terms:
-        yield _block(rows)
-        return
-    count, terms = parsed.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
+    count, terms = parsed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     parts = max(1, ceil(count / max_queries), ceil(terms / max_terms))
     for part in range(parts):
-        yield _block(parsed.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).collect())
+        chosen = F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
+        yield _block((parsed.where(chosen) if parts > 1 else parsed).collect())
 
 
 def _block(rows: list) -> Block:
@@ -57,6 +48,10 @@ def distinct_terms(block: Block) -> list[str]:
     return sorted({term for _, terms in block for term in terms})
 
 
-def small_or_plain(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a materialised or cheap table for broadcast if it has at most `limit` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small_or_plain(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a materialised or cheap table for broadcast if it is small in rows and in bytes."""
+    if df.limit(limit + 1).count() > limit:
+        return df
+    texts = [F.sum(F.octet_length(F.to_json(F.struct(c)))) for c in df.columns]
+    size = sum(x or 0 for x in df.agg(*texts).first())
+    return F.broadcast(df) if size <= most else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinseek.fixed_values import RULE_CONFIDENCE
 from kinseek.operators.hot_keys import HotKeys, find_hot_keys, lookup_join
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 
 _CONTENT = ("mrn", "source_id", "dob", "sex", "diagnoses")
@@ -15,7 +15,7 @@ _CONTENT = ("mrn", "source_id", "dob", "sex", "diagnoses")
 
 def _last_content(linked: DataFrame) -> tuple[DataFrame, HotKeys] | None:
     """Content of the last line of every note uid that comes more than once."""
-    repeated = cut_lineage(
+    repeated = stage(
         linked.groupBy("note_uid")
         .agg(F.count(F.lit(1)).alias("lines"))
         .where("lines > 1")
@@ -88,7 +88,7 @@ def link_conflicts(linked: DataFrame) -> DataFrame:
         F.struct(F.lit("mrn").alias("kind"), F.col("mrn_key").alias("key")),
         F.struct(F.lit("triplet").alias("kind"), F.col("triplet").alias("key")),
     )
-    holders = cut_lineage(
+    holders = stage(
         linked.select(F.explode(keys).alias("k"), "patient_uid", "ord", "note_uid")
         .where("k.key <> ''")
         .groupBy("k.kind", "k.key", "patient_uid")

@@ -24,7 +24,7 @@ from kinseek.functions.text import contains_either_way, or_empty, tokens
 from kinseek.operators.calibrate import calibrate
 from kinseek.operators.query_batch import query_tokens, small_or_plain
 from kinseek.operators.ranking import SCORE_DIGITS, top_k
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 
 CHUNK_FIELDS = ("text", "offset", "source_file")
 Scorer = Callable[[Iterator[tuple[pd.Series, pd.Series]]], Iterator[pd.Series]]
@@ -36,7 +36,7 @@ def attach_chunks(candidates: DataFrame, chunks: DataFrame) -> DataFrame:
     The candidates are materialised, so their number is known: where it is small they go
     to every task and the chunks are scanned without a shuffle.
     """
-    wanted = cut_lineage(candidates)
+    wanted = stage(candidates)
     found = chunks.select("chunk_id", *CHUNK_FIELDS)
     return found.join(small_or_plain(wanted), "chunk_id").select(*wanted.columns, *CHUNK_FIELDS)
 
@@ -195,7 +195,7 @@ def attach_patients(
     largest patient uid where no order is given).
     """
     key = "chunk_id" if "chunk_id" in links.columns else "note_uid"
-    results = cut_lineage(results)
+    results = stage(results)
     keys = small_or_plain(results.select(key).distinct())
     wanted = links.where(f"{key} <> '' AND patient_uid <> ''").join(keys, key, "left_semi")
     last = F.max("patient_uid") if order is None else F.max_by("patient_uid", order)

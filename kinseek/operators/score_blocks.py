@@ -63,7 +63,15 @@ def rows_per_block(n_queries: int) -> int:
 
 
 def best_rows(scores: np.ndarray, ids: list, k: int, positive: bool) -> tuple[np.ndarray, ...]:
-    """Row and query indexes of each query's `k` best rows; equal scores go by id."""
+    """Row and query indexes of each query's `k` best rows; equal scores go by id.
+
+    Rows that cannot be kept, and scores that are no numbers, take no place.
+    """
+    scores = np.where(np.isfinite(scores), scores, -np.inf)
+    some = np.flatnonzero((scores > (0 if positive else -np.inf)).any(1))
+    if len(some) < len(ids):
+        at, query = best_rows(scores[some], [ids[i] for i in some], k, positive) if len(some) else (some, some)
+        return some[at], query
     by_id = np.array(sorted(range(len(ids)), key=ids.__getitem__), dtype=np.int64)
     ordered = scores[by_id]
     keep = np.ones(ordered.shape, dtype=bool)
@@ -73,8 +81,7 @@ def best_rows(scores: np.ndarray, ids: list, k: int, positive: bool) -> tuple[np
         above, level = ordered > cut, ordered == cut
         room = k - above.sum(axis=0)
         keep = above | (level & (np.cumsum(level, axis=0) <= room))
-    if positive:
-        keep &= ordered > 0
+    keep &= ordered > (0 if positive else -np.inf)
     rows, queries = np.nonzero(keep)
     return by_id[rows], queries
 
@@ -93,6 +100,11 @@ class BestRows:
 
     def add(self, rows: pa.RecordBatch, scores: np.ndarray) -> None:
         """`rows` carry a chunk_id; `scores` has a column per query."""
+        scores = np.where(np.isfinite(scores), scores, -np.inf)
+        some = np.flatnonzero((scores > (0 if self.positive else -np.inf)).any(1) & (scores >= self.floor).any(1))
+        if not len(some):
+            return
+        rows, scores = rows.take(pa.array(some)), scores[some]
         ids = rows.column("chunk_id").to_pylist()
         at, query = best_rows(scores, ids, self.k, self.positive)
         value = scores[at, query]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinseek.fixed_values import K_A, K_B, K_C, W_BM25, W_DENSE
 from kinseek.operators import fusion, lexical, rerank
 from kinseek.operators.lexical import LEXICAL, PRESENCE
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 from kinseek.sources import writers
 
 
@@ -38,8 +38,8 @@ class Cascade:
 
     def write(self, path: str, fmt: str = "json") -> None:
         for name in ("candidates", "rescored", "final"):
-            stage = getattr(self, name)
-            writers.write_stage(stage.drop(*rerank.CHUNK_FIELDS), f"{path}/{name}", fmt)
+            rows = getattr(self, name)
+            writers.write_stage(rows.drop(*rerank.CHUNK_FIELDS), f"{path}/{name}", fmt)
 
 
 def cascade(
@@ -65,13 +65,13 @@ def cascade(
     The chunks are scanned twice: once to search, once to fetch the texts of the
     candidates, which both later stages then carry along.
     """
-    found = cut_lineage(lexical.search(chunks, queries, k_a))
-    fused = cut_lineage(
+    found = stage(lexical.search(chunks, queries, k_a))
+    fused = stage(
         fusion.fuse(fusion.merge_sides(found), k_a, method, w_bm25, w_dense)
     )
     depth = rescore_depth or k_b
     with_text = rerank.attach_chunks(fused.where(F.col("rank") <= depth), chunks)
-    rescored = cut_lineage(
+    rescored = stage(
         rerank.rescore(with_text, queries, k=k_b, depth=depth, max_len=max_len)
     )
     final = rerank.judge(
@@ -85,7 +85,7 @@ def cascade(
         labels=labels,
         scorer=scorer,
     )
-    return Cascade(found, fused, rescored, cut_lineage(final))
+    return Cascade(found, fused, rescored, stage(final))
 
 
 def stage_counts(run: Cascade, chunks: DataFrame, queries: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from kinseek.fixed_values import DIAGNOSIS_KEY_TERMS, RECORD_DIAGNOSES, SOURCE_P
 from kinseek.operators import linking, records
 from kinseek.operators.matching import CHAIN_AFTER
 from kinseek.plans.report import build_report
-from kinseek.runtime import cut_lineage
+from kinseek.runtime import stage
 from kinseek.sources import writers
 
 
@@ -48,13 +48,13 @@ def resolve(
     """Link every note to a patient and build the tables that follow from it.
 
     The notes' text is scanned once; the slim keyed notes and the linked notes are each
-    written to the checkpoint folder, as every later step reads them again.
+    written to the shared folder as Parquet, as every later step reads them again.
     """
-    keyed = cut_lineage(
-        linking.prepare_notes(notes, order_by, prefixes, lexicon, phrases, require_identifiers)
+    keyed = linking.prepare_notes(
+        notes, order_by, prefixes, lexicon, phrases, require_identifiers
     )
-    linked = cut_lineage(linking.link_notes(keyed, hex_len, chain_after))
-    conflicts = cut_lineage(records.link_conflicts(linked))
+    linked = stage(linking.link_notes(keyed, hex_len, chain_after))
+    conflicts = stage(records.link_conflicts(linked))
     patients = records.patient_records(
         linked, founder_only, records.patient_conflict_sets(conflicts)
     )

@@ -30,22 +30,6 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return session
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    context.setCheckpointDir(shared_folder(spark))
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the session's checkpoint folder and go on from the written copy.
-
-    The copy lives on shared storage, so it outlives the executors that wrote it.
-    """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder that `spark.checkpoint.dir` names; the driver and all executors reach it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

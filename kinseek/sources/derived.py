@@ -51,9 +51,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def notes(spark: SparkSession, folder: str) -> DataFrame:
+# Uids repeat, and more than one note has each place in the order; every 13th uid is missing.
+REPEATED_COLUMNS = {
+    **NOTE_COLUMNS,
+    "ord": "doc_id % 7",
+    "uid": "CASE WHEN doc_id % 13 = 5 THEN NULL ELSE concat('note_', (doc_id - doc_id % 3)) END",
+}
+
+
+# Every fifth note has neither birth date nor sex nor diagnosis.
+BARE_COLUMNS = {
+    **NOTE_COLUMNS,
+    "dob": f"CASE WHEN doc_id % 5 = 1 THEN NULL ELSE {NOTE_COLUMNS['dob']} END",
+    "sex": f"CASE WHEN doc_id % 5 = 1 THEN NULL ELSE {NOTE_COLUMNS['sex']} END",
+    "raw_text": f"CASE WHEN doc_id % 5 = 1 THEN NULL ELSE {NOTE_COLUMNS['raw_text']} END",
+}
+
+# JSON lines: an array, a broken object, or a note whose unused field has another kind.
+LINE_SQL = """CASE doc_id % 6 WHEN 0 THEN concat('[', doc_id, ']')
+    WHEN 1 THEN concat('{"uid": "note_', doc_id, '"')
+    ELSE concat('{"uid": "note_', doc_id, '", "mrn": ', doc_id, ', "demographics": {"dob": "19', doc_id, '"}',
+      CASE WHEN doc_id % 6 = 2 THEN ', "validation": "ok"' ELSE '' END, '}') END"""
+
+
+def note_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").selectExpr("doc_id", f"{LINE_SQL} AS line")
+
+
+def notes(spark: SparkSession, folder: str, columns: dict[str, str] = NOTE_COLUMNS) -> DataFrame:
     flat = table(spark, folder, "documents").selectExpr(
-        *[f"{sql} AS {name}" for name, sql in NOTE_COLUMNS.items()]
+        *[f"{sql} AS {name}" for name, sql in columns.items()]
     )
     return flat.select(
         "ord",

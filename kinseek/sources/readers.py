@@ -2,37 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from kinseek import schemas
 
-_BAD = "_bad"
 
+def parse_notes(lines: DataFrame, column: str = "value") -> DataFrame:
+    """`lines` with the fields of a note in place of `column`, and `parses`.
 
-def _raw_notes(spark: SparkSession, folder: str) -> DataFrame:
-    schema = StructType([*schemas.NOTES.fields, StructField(_BAD, StringType(), True)])
-    return (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .option("pathGlobFilter", "*.jsonl")
-        .json(folder)
+    A line parses when it is a JSON object. A field of another kind than the schema's is
+    null; it does not cost the line.
+    """
+    note = F.from_json(column, schemas.NOTES, {"mode": "PERMISSIVE"})
+    fields = F.from_json(column, "map<string,string>", {"mode": "PERMISSIVE"})
+    others = [c for c in lines.columns if c != column]
+    read = lines.select(*others, note.alias("_note"), fields.isNotNull().alias("parses"))
+    return read.select(*others, "_note.*", "parses")
+
+
+def line_order() -> Column:
+    """The place of a line: its file, its split of the file, its row in the split."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def read_notes(spark: SparkSession, folder: str) -> DataFrame:
+def _raw_notes(spark: SparkSession, folder: str) -> DataFrame:
+    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(folder)
+    return parse_notes(lines.select("value", line_order().alias("line")).where("trim(value) <> ''"))
+
+
+def read_notes(spark: SparkSession, folder: str, with_order: bool = False) -> DataFrame:
     """All *.jsonl directly in `folder`, without the lines that do not parse.
 
-    A missing folder raises.
+    `with_order` keeps `line`, the order of files and of lines in them, to pass to
+    `resolve(order_by=["line"])`. A missing folder raises.
     """
-    return _raw_notes(spark, folder).where(F.col(_BAD).isNull()).drop(_BAD)
+    notes = _raw_notes(spark, folder).where("parses").drop("parses")
+    return notes if with_order else notes.drop("line")
 
 
 def note_line_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Lines read, lines that do not parse, and parsed lines without a uid."""
-    good = F.col(_BAD).isNull()
+    good = F.col("parses")
     return _raw_notes(spark, folder).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(~good).alias("bad_lines"),
@@ -46,13 +62,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks from one .jsonl file, or from every chunks.jsonl below a folder.
+    """Chunks from one file of any name, or from every chunks.jsonl below a folder.
 
     `chunk_date` is the yyyy-mm-dd folder a file lies in, empty where there is none. The
-    last record of a chunk id wins: latest date, then last file name.
+    last record of a chunk id wins: latest date, then last file name, then last line.
     """
     reader = spark.read.schema(schemas.CHUNKS).option("mode", "FAILFAST")
-    if not path.endswith(".jsonl"):
+    if not _is_file(spark, path):
         reader = reader.option("recursiveFileLookup", True).option(
             "pathGlobFilter", "chunks.jsonl"
         )
@@ -61,10 +77,16 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         reader.json(path).select(
             "*",
             F.regexp_extract(file, r"/(\d{4}-\d{2}-\d{2})/", 1).alias("chunk_date"),
-            file.alias("_file"),
+            line_order().alias("_line"),
         ),
-        order=("chunk_date", "_file"),
-    ).drop("_file")
+        order=("chunk_date", "_line"),
+    ).drop("_line")
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(target) and files.getFileStatus(target).isFile()
 
 
 def latest_chunks(chunks: DataFrame, order: tuple[str, ...] = ("chunk_date",)) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kinseek import schemas
 from kinseek.operators import hot_keys, linking, matching, records
 from kinseek.plans.identity import resolve
+from kinseek.sources import readers
 from kinseek.plans.report import report_summary
 from samples import NOTES
 
@@ -83,7 +84,8 @@ def test_long_chain_takes_few_rounds(spark, monkeypatch):
 
 def test_hot_keys_are_spread_without_changing_links(spark, monkeypatch):
     monkeypatch.setattr(hot_keys, "FLOOR", 10)
-    monkeypatch.setattr(hot_keys, "SHARE", 0.05)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
     rng = random.Random(5)
     keys = random_keys(rng, 300, 40, 40)
     keys += [("hot" if rng.random() < 0.5 else f"m{rng.randrange(40)}", "||") for _ in range(250)]
@@ -96,10 +98,53 @@ def test_hot_keys_are_spread_without_changing_links(spark, monkeypatch):
             "find_hot_keys",
             lambda *a, **k: spread.append(real(*a, **k)) or spread[-1],
         )
-    check_against_scan(spark, keys, chain_after=2)
+    try:
+        check_against_scan(spark, keys, chain_after=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     assert any(h.frame is not None for h in spread)
 
 
+def tied(spark, rows):
+    fields = "uid string, mrn string, source_id string, dob string, sex string, raw_text string, at int"
+    flat = spark.createDataFrame(rows, fields)
+    return flat.select("uid", "mrn", "source_id", F.struct("dob", "sex").alias("demographics"), F.struct("raw_text").alias("content"), "at")
+
+
+def test_equal_lines_have_one_founder(spark):
+    row = ("n", "7", "S", "1980", "F", "breast", 1)
+    run = resolve(tied(spark, [row, row, row]).repartition(3), ["at"])
+    assert sorted(r["rule"] for r in run.links.collect()) == ["mrn_match", "mrn_match", "new_patient"]
+    stats = run.statistics.first()
+    assert (stats["total_notes"], stats["total_patients"]) == (1, 1)  # uids, not lines
+    assert stats["new_patient_rate"] == 1
+
+
+@pytest.mark.parametrize("chain_after", [1, 6])
+def test_tied_pairs_are_ordered_by_content(spark, chain_after):
+    rows = [("a", "1", "S", "1980", "F", "x", 1), ("b", "1", "S", "1981", "F", "x", 1), ("c", "2", "S", "1980", "F", "x", 1)]
+    got = [sorted(map(tuple, resolve(tied(spark, r), ["at"], chain_after=chain_after).links.collect())) for r in (rows, rows[::-1])]
+    assert got[0] == got[1] and len(got[0]) == 3
+    keyed = linking.prepare_notes(tied(spark, rows), ["at"]).orderBy("ord").collect()
+    want = one_by_one([(r["mrn_key"], r["triplet"]) for r in keyed])
+    rules = {r[0]: r[2] for r in got[0]}
+    assert [rules[r["note_uid"]] for r in keyed] == [w[0] for w in want]
+
+
+def test_a_grid_of_keys(spark):
+    keys = [(f"m{i}", f"t{j}") for i in range(9) for j in range(9)]
+    check_against_scan(spark, keys, chain_after=3)
+
+
+def test_order_of_lines_in_files(spark, tmp_path):
+    line = '{"uid": "%s", "mrn": "%s", "demographics": {"dob": "%s", "sex": "F"}}\n'
+    (tmp_path / "a.jsonl").write_text(line % ("z", "1", "1980") + line % ("y", "2", "1981"))
+    (tmp_path / "b.jsonl").write_text(line % ("a", "2", "1980"))
+    notes = readers.read_notes(spark, str(tmp_path), with_order=True)
+    rules = {r["note_uid"]: r["rule"] for r in resolve(notes, ["line"]).links.collect()}
+    assert rules == {"z": "new_patient", "y": "new_patient", "a": "mrn_match"}
+
+
 def sample_run(spark, **options):
     notes = spark.createDataFrame(NOTES, schemas.NOTES)
     return resolve(notes, ["uid"], run_date="20240101", timestamp="now", **options)

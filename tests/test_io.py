@@ -27,12 +27,30 @@ def test_read_notes(spark, tmp_path):
     assert {r["uid"] for r in notes.collect()} == {"note_1", "note_2", "note_3", "", "z"}
     assert notes.where("uid = 'z'").first()["mrn"] == "1001"
     counts = readers.note_line_counts(spark, str(tmp_path / "n")).first()
-    assert (counts["bad_lines"], counts["without_uid"]) == (2, 1)
+    assert (counts["lines"], counts["bad_lines"], counts["without_uid"]) == (7, 2, 1)
+    assert notes.count() == 5 and notes.select("uid").count() == 5
     assert resolve(notes, ["uid"]).links.count() == 4
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_notes(spark, str(tmp_path / "absent"))
 
 
+def test_a_field_of_another_kind_does_not_cost_the_line(spark, tmp_path):
+    write_lines(tmp_path / "a.jsonl", [{"uid": "q", "mrn": "1", "validation": "ok"}, {"uid": ["x"], "mrn": "2"}])
+    notes = readers.read_notes(spark, str(tmp_path))
+    assert notes.count() == notes.select("uid").count() == len(notes.collect()) == 2
+    assert {r["mrn"]: r["validation"] for r in notes.collect()} == {"1": None, "2": None}
+    assert readers.note_line_counts(spark, str(tmp_path)).first()["bad_lines"] == 0
+
+
+def test_the_last_of_three_copies_in_a_file_wins(spark, tmp_path):
+    lines = [{"chunk_id": "a", "text": t} for t in ("one", "two", "three")]
+    for name in ("data.json", "chunks.v2"):
+        path = write_lines(tmp_path / name, lines)
+        assert [r["text"] for r in readers.read_chunks(spark, path).collect()] == ["three"]
+    write_lines(tmp_path / "deep.jsonl" / "chunks.jsonl", lines)
+    assert readers.read_chunks(spark, str(tmp_path / "deep.jsonl")).first()["text"] == "three"
+
+
 def test_strict_reader(spark, tmp_path):
     good = write_lines(tmp_path / "good.jsonl", [{"chunk_id": "a"}, "", {"chunk_id": "b"}])
     assert readers.read_jsonl(spark, good, schemas.CANDIDATES).count() == 2

@@ -153,3 +153,19 @@ def test_best_rows_over_many_blocks():
         for i in sorted(range(30_000), key=lambda i: (-scores[i, q], names[i]))[:9]
     ]
     assert sorted(got) == sorted(want)
+
+
+def test_vectors_of_another_width_raise(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0, 0.0, 1.0]), ("c", [1.0, 2.0, 3.0])], "chunk_id string, vector array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0, 0.0])], "query_id long, vector array<double>")
+    with pytest.raises(Exception, match="must have 3 elements"):
+        dense.cosine_top_k(vectors, asked, 3).collect()
+
+
+def test_vectors_that_are_no_numbers_take_no_place(spark):
+    nan = float("nan")
+    rows = [(f"c{i:02}", [1.0, i / 10]) for i in range(8)] + [(f"n{i}", [nan, 1.0]) for i in range(6)] + [("z", [None, 1.0])]
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, vector array<double>")
+    for k in (4, 20):
+        got = dense.cosine_top_k(spark.createDataFrame(rows, "chunk_id string, vector array<double>").coalesce(1), asked, k).orderBy("rank").collect()
+        assert [r["chunk_id"] for r in got] == [f"c{i:02}" for i in range(min(k, 8))]
