@@ -2,14 +2,16 @@
 
 A window of w words can only repeat where its sub-windows do. The first level takes windows
 of half the length, and of these only the least of every w-word window (by hash), about a
-quarter of all positions; the w-word windows whose half-length window occurs in another
-document are the candidates of the next level, which hashes just them. `longest_repeats`
+quarter of all positions. Neighbouring w-word windows with the same least one are a run. A run
+whose half-length window and whose words are those of another document's run repeats as a
+whole. Where only the half-length window is the same, the runs' first holders are
+extended to w words on the next level and compared window by window. `longest_repeats`
 goes on doubling, from windows that repeat at one length alone, until none survives.
 
-A task first combines what it holds: of all documents with a window only the smallest id goes
-to the window's group, the others are known to repeat. So a passage in a third of all
-documents sends a row for each batch of documents to its group, not a row for each one.
-Texts are shuffled once, by id; both joins with them use the same exchange.
+A task first combines what it holds: of all documents with a run only the smallest id goes to
+the run's group, the others are known to repeat. So a passage in a third of all documents
+sends a row for each batch of documents to its group, not a row for each one. Texts
+are shuffled once, by id; all joins with them use the same exchange.
 
 Defined results: a null text has no words; a row with a null id keeps all its words and
 takes part in nothing; rows with equal ids are one document, so they do not repeat each
@@ -23,54 +25,53 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinseek.llm import words
 from kinseek.runtime import stage
 
-HIT = "hash long, salt long, doc_id long, _text long, a int, b int, shared boolean"
-SPANS = "array<struct<a:int,b:int>>"
+HIT = "hash long, variant long, doc_id long, at long, _text long"
+RUN = 13  # windows of a run at most: its first and last ones then hold all its words
+NO_SPANS = "array<bigint>"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    """`doc_id, _text, text`; `_text` tells rows of one id apart where their texts differ."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (
-        docs.where("doc_id is not null")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_text"), text.cast("binary").alias("text"))
-    )
-
-
-def _combined(h, row, a, b, ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One batch's windows: `salt` 0 for those of the smallest id that has them here, with
-    `shared` if another id has them too; the others, merged to runs, each a group of its own."""
+    given = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    hashed = given.select("doc_id", F.xxhash64("text").alias("_h")).groupBy("doc_id").agg(F.min("_h").alias("a"), F.max("_h").alias("b"))
+    differ = not hashed.where("a <> b").isEmpty()
+    # Not a literal: the optimizer would plan the joins on it differently, with an exchange each.
+    mark = F.xxhash64("text") if differ else F.pmod("doc_id", F.lit(1)).cast("long")
+    return given.select("doc_id", mark.alias("_text"), F.col("text").cast("binary").alias("text"))
+
+
+def _combined(h, variant, row, a, b, ids: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    """One batch's runs: of all ids with the same (hash, variant) the smallest stays in the
+    group, marked if others share it; the others are known to repeat and, merged
+    where they follow each other, get groups of their own."""
     doc = ids[row]
-    order = np.lexsort((doc, h))
-    h, row, a, b, doc = h[order], row[order], a[order], b[order], doc[order]
-    new = np.append(True, h[1:] != h[:-1])
-    group = np.cumsum(new) - 1
-    at = np.flatnonzero(new)
+    order = np.lexsort((doc, variant, h))
+    h, variant, row, a, b, doc = h[order], variant[order], row[order], a[order], b[order], doc[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (variant[1:] != variant[:-1]))
+    group, at = np.cumsum(new) - 1, np.flatnonzero(new)
     least, most = doc[at], doc[np.append(at[1:], len(h)) - 1]
     later = doc != least[group]
-    shared = (least != most)[group]
-    first = ~later
     run = np.flatnonzero(later)
     run = run[np.lexsort((a[run], row[run]))]
-    if len(run):
-        start = np.append(True, (row[run][1:] != row[run][:-1]) | (a[run][1:] > b[run][:-1] + 1))
-        head, tail = run[start], run[np.append(start[1:], True)]
-    else:
-        head = tail = run
-    both = np.concatenate([np.flatnonzero(first), head])
-    last = np.concatenate([np.flatnonzero(first), tail])
-    salt = np.where(later[both], words.mix(doc[both].astype(np.uint64)) | np.uint64(1), np.uint64(0)).view(np.int64)
+    start = np.append(True, (row[run][1:] != row[run][:-1]) | (a[run][1:] > b[run][:-1] + 1))[: len(run)]
+    head, tail = run[start], run[np.append(start[1:], True)[: len(run)]]
+    first = np.flatnonzero(~later)
+    both, last = np.concatenate([first, head]), np.concatenate([first, tail])
+    alone = words.mix(h[head] ^ words.mix(doc[head].astype(np.uint64)))
+    hashes = np.concatenate([h[first], alone]).view(np.int64)
+    packed = (a[both] << 30) | ((b[last] - a[both]) << 2) | (((least != most)[group][both]).astype(np.int64) << 1) | later[both]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(h[both].view(np.int64)), pa.array(salt), pa.array(doc[both]), pa.array(hashes[row[both]]),
-            pa.array(a[both].astype(np.int32)), pa.array(b[last].astype(np.int32)), pa.array(shared[both]),
-        ],
-        ["hash", "salt", "doc_id", "_text", "a", "b", "shared"],
-    )
+        [pa.array(hashes), pa.array(variant[both].view(np.int64)), pa.array(doc[both]), pa.array(packed.astype(np.int64)), pa.array(marks[row[both]])],
+        ["hash", "variant", "doc_id", "at", "_text"],
+    )
 
 
 def _least(h: np.ndarray, span: int) -> np.ndarray:
@@ -83,35 +84,48 @@ def _least(h: np.ndarray, span: int) -> np.ndarray:
     return out
 
 
+def _rolled(hashed: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all `size` neighbouring words, across rows as well."""
+    total = hashed[: len(hashed) - size + 1] * words._PLACE[0]
+    for k in range(1, size):
+        total = total + hashed[k : len(hashed) - size + 1 + k] * words._PLACE[k]
+    return words.mix(total)
+
+
+def _hashed(batch: pa.RecordBatch) -> Iterator[tuple]:
+    data, offsets = words.buffers(batch.column("text"))
+    for lo, hi in words.chunks(offsets):
+        starts, _, counts = words.word_spans(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        yield lo, hi, counts, words.word_hashes(data[offsets[lo] : offsets[hi]], starts, fold=False)
+
+
 def _anchors(window: int, half: int):
-    """Runs of `window`-word windows with the same least half-length window, by its hash."""
+    """Runs of `window`-word windows with the same least half-length window: its hash, and
+    as variant a hash of all the run's words."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = words.buffers(batch.column("text"))
             found = []
-            for lo, hi in words.chunks(offsets):
-                starts, _, counts = words.word_spans(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                hashed = words.word_hashes(data[offsets[lo] : offsets[hi]], starts, fold=False)
+            for lo, _, counts, hashed in _hashed(batch):
                 if len(hashed) < window:
                     continue
-                total = hashed[: len(hashed) - half + 1] * words._PLACE[0]
-                for k in range(1, half):
-                    total = total + hashed[k : len(hashed) - half + 1 + k] * words._PLACE[k]
-                least = _least(words.mix(total), window - half + 1)
-                begin = np.cumsum(counts) - counts
+                least = _least(_rolled(hashed, half), window - half + 1)
+                whole = _rolled(hashed, window)
                 row = words.row_of(counts)[: len(least)]
-                place = np.arange(len(least)) - begin[row]
+                place = np.arange(len(least)) - (np.cumsum(counts) - counts)[row]
                 inside = place + window <= counts[row]
-                new = np.append(True, (least[1:] != least[:-1]) | (row[1:] != row[:-1]))
-                head = np.flatnonzero(new)
-                last = np.minimum(place[np.append(head[1:], len(least)) - 1], counts[row[head]] - window)
-                keep = inside[head]
-                head, last = head[keep], last[keep]
-                found.append((least[head], row[head] + lo, place[head], last))
+                head = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (row[1:] != row[:-1])) & inside)
+                size = np.diff(np.append(head, len(least)))
+                size = np.minimum(size, counts[row[head]] - window - place[head] + 1)
+                parts = -(-size // min(RUN, window))
+                step = min(RUN, window) * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+                end = np.repeat(head + size, parts)
+                head = np.repeat(head, parts) + step
+                last = np.minimum(head + min(RUN, window), end) - 1
+                variant = words.mix(whole[head] + np.uint64(3) * whole[last] + (last - head).astype(np.uint64))
+                found.append((least[head], variant, row[head] + lo, place[head], place[last]))
             if found:
-                ids = batch.column("doc_id").to_numpy(), batch.column("_text").to_numpy()
-                yield _combined(*[np.concatenate(c) for c in zip(*found)], *ids)
+                yield _combined(*[np.concatenate(c) for c in zip(*found)], batch.column("doc_id").to_numpy(), batch.column("_text").to_numpy())
 
     return anchors
 
@@ -121,55 +135,61 @@ def _windows(length: int):
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = words.buffers(batch.column("text"))
+            batch = batch.filter(pc.is_valid(batch.column("at")))
             spans = batch.column("at")
-            ends = np.asarray(spans.offsets)
-            a, b = (np.asarray(spans.values.field(c)) for c in ("a", "b"))
+            ends, at = np.asarray(spans.offsets), np.asarray(spans.values)
             found = []
-            for lo, hi in words.chunks(offsets):
-                starts, _, counts = words.word_spans(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                hashed = words.word_hashes(data[offsets[lo] : offsets[hi]], starts, fold=False)
+            for lo, hi, counts, hashed in _hashed(batch):
                 h, first = words.grams(hashed, counts, length)
                 begin = np.cumsum(counts) - counts
-                own = np.arange(ends[lo], ends[hi])
-                row = np.repeat(np.arange(lo, hi), np.diff(ends[lo : hi + 1])) - lo
-                marks = np.zeros(len(hashed) + 1, np.int32)
-                np.add.at(marks, begin[row] + a[own], 1)
-                np.add.at(marks, np.minimum(begin[row] + b[own] + 1, len(hashed)), -1)
-                keep = np.cumsum(marks)[first] > 0
+                own = at[ends[lo] : ends[hi]]
+                row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
+                keep = _marked(begin[row] + (own >> 30), begin[row] + (own >> 30) + (own >> 2 & ((1 << 28) - 1)) + 1, len(hashed))[first]
                 h, first = h[keep], first[keep]
                 row = words.row_of(counts)[first]
-                found.append((h, row + lo, first - begin[row], first - begin[row]))
+                found.append((h, np.zeros(len(h), np.uint64), row + lo, first - begin[row], first - begin[row]))
             if found and sum(len(f[0]) for f in found):
-                ids = batch.column("doc_id").to_numpy(), batch.column("_text").to_numpy()
-                yield _combined(*[np.concatenate(c) for c in zip(*found)], *ids)
+                yield _combined(*[np.concatenate(c) for c in zip(*found)], batch.column("doc_id").to_numpy(), batch.column("_text").to_numpy())
 
     return windows
 
 
-def _spans(hits: DataFrame, later: bool) -> DataFrame:
-    """Per document the spans of windows that another document (with `later`: one of a
-    smaller id) has as well."""
-    group = Window.partitionBy("hash", "salt")
-    met = hits.withColumn("_least", F.min("doc_id").over(group))
-    if later:
-        met = met.where("salt <> 0 or _least < doc_id")
-    else:
-        met = met.withColumn("_most", F.max("doc_id").over(group)).where("salt <> 0 or shared or _least < _most")
-    return met.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("a", "b")).alias("at"))
+def _marked(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Which of `size` places lie in a span."""
+    marks = np.bincount(starts, minlength=size + 1) - np.bincount(np.minimum(ends, size), minlength=size + 1)
+    return np.cumsum(marks)[:size] > 0
 
 
-def repeated_spans(docs: DataFrame, window: int = 13, later: bool = True) -> DataFrame:
-    """`doc_id, _text, at`: spans of starts of `window`-word windows that repeat."""
-    texts = _texts(docs)
-    half = -(-window // 2)
-    candidates = _spans(texts.mapInArrow(_anchors(window, half), HIT), later=False)
-    return _next_level(texts, candidates, window, later)
+def _gathered(hits: DataFrame, later: bool) -> DataFrame:
+    """Per document the spans known to repeat (`sure`; with `later`: in a smaller id), and
+    those that share no more than their half-length window (`open`)."""
+    same, near = Window.partitionBy("hash", "variant"), Window.partitionBy("hash")
+    met = hits.withColumns({"_least": F.min("doc_id").over(same), "_most": F.max("doc_id").over(same)}).withColumns(
+        {"_low": F.min("variant").over(near), "_high": F.max("variant").over(near)}
+    )
+    known = F.col("at").bitwiseAND(1) == 1
+    again = F.col("_least") < F.col("doc_id") if later else (F.col("_least") < F.col("_most")) | (F.col("at").bitwiseAND(2) == 2)
+    sure = known | again
+    unsure = ~sure & (F.col("_low") < F.col("_high"))
+    holder = ~known & (F.col("_low") < F.col("_high")) & (F.col("_least") == F.col("doc_id"))
+    return (
+        met.where(sure | unsure | holder)
+        .groupBy("doc_id", "_text")
+        .agg(F.collect_list(F.when(sure, F.col("at"))).alias("sure"), F.collect_list(F.when(holder | unsure, F.col("at"))).alias("open"))
+    )
 
 
 def _next_level(texts: DataFrame, candidates: DataFrame, length: int, later: bool) -> DataFrame:
-    met = texts.join(candidates, ["doc_id", "_text"]).select("doc_id", "_text", "text", "at")
-    return _spans(met.mapInArrow(_windows(length), HIT), later)
+    # A left join, as the last one is, so that both read one exchange of the texts.
+    met = texts.join(candidates, ["doc_id", "_text"], "left").select("doc_id", "_text", "text", "at")
+    return _gathered(met.mapInArrow(_windows(length), HIT), later).select("doc_id", "_text", F.col("sure").alias("at"))
+
+
+def _repeated(texts: DataFrame, window: int, later: bool) -> tuple[DataFrame, DataFrame]:
+    """Spans (`doc_id, _text, at`) of windows that repeat, in two tables."""
+    runs = stage(_gathered(texts.mapInArrow(_anchors(window, -(-window // 2)), HIT), later))
+    unsure = runs.select("doc_id", "_text", F.col("open").alias("at")).where(F.size("at") > 0)
+    return runs.select("doc_id", "_text", F.col("sure").alias("at")), _next_level(texts, unsure, window, later)
 
 
 def longest_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -178,11 +198,12 @@ def longest_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     Levels follow each other until no window survives one.
     """
     texts, length = _texts(docs), window
-    spans = stage(repeated_spans(docs, window, later=False))
+    one, two = _repeated(texts, window, later=False)
+    spans = stage(one.union(two).groupBy("doc_id", "_text").agg(F.flatten(F.collect_list("at")).alias("at")).where(F.size("at") > 0))
     longest = spans.select("doc_id", F.lit(length).alias("longest"))
     while not spans.isEmpty():
         length *= 2
-        spans = stage(_next_level(texts, spans, length, later=False))
+        spans = stage(_next_level(texts, spans, length, later=False).where(F.size("at") > 0))
         longest = longest.union(spans.select("doc_id", F.lit(length)))
     return longest.groupBy("doc_id").agg(F.max("longest").alias("longest"))
 
@@ -191,15 +212,13 @@ def _cutter(window: int, keep_text: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, gone, digests, texts = [], [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("at")):
                 own = text.split()
                 counts.append(len(own))
-                if spans:
-                    marks = np.zeros(len(own) + 1, np.int32)
-                    for s in spans:
-                        marks[s["a"]] += 1
-                        marks[min(s["b"] + window, len(own))] -= 1
-                    keep = np.cumsum(marks)[: len(own)] == 0
+                if len(spans):
+                    at = np.asarray(spans.values)
+                    start = at >> 30
+                    keep = ~_marked(start, start + (at >> 2 & ((1 << 28) - 1)) + window, len(own))
                     own = [own[i] for i in np.flatnonzero(keep)]
                 gone.append(counts[-1] - len(own))
                 kept = b" ".join(own)
@@ -220,10 +239,12 @@ def dedup_substrings(docs: DataFrame, window: int = 13, keep_text: bool = True)
     smaller id as well. `kept` has the other words, joined by one space.
     """
     texts = _texts(docs)
-    spans = repeated_spans(docs, window)
-    given = texts.join(spans, ["doc_id", "_text"], "left").select("doc_id", "text", F.col("at").cast(SPANS).alias("at"))
+    one, two = _repeated(texts, window, later=True)
+    none = F.array().cast(NO_SPANS)
+    both = F.concat(F.coalesce("at", none), F.coalesce("_more", none))
+    given = texts.join(one, ["doc_id", "_text"], "left").join(two.withColumnRenamed("at", "_more"), ["doc_id", "_text"], "left").select("doc_id", "text", both.alias("at"))
     no_id = docs.where("doc_id is null").select(
-        F.lit(None).cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), F.lit(None).cast(SPANS).alias("at")
+        F.lit(None).cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), none.alias("at")
     )
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     return given.union(no_id).mapInArrow(_cutter(window, keep_text), schema)
