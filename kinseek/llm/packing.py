@@ -38,6 +38,7 @@ CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # fillings looked at for one pattern before the incumbent is taken
 CACHED_WORDS, CACHED_BYTES = 500_000, 48
+TEXTS = 512  # texts whose words are looked up together
 
 
 MARKS = b".,;:!?"
@@ -68,7 +69,7 @@ class _Words(dict):
             fresh.update(words)
         if len(self) > CACHED_WORDS:
             self.clear()
-        fresh.difference_update(self)
+        fresh = {w for w in fresh if w not in self}
         self._learn(fresh)
         for words in split:
             yield b"".join(map(self.__getitem__, words))
@@ -107,10 +108,10 @@ def _pieces(path: str, capacity: int, end: int, keep: bool):
         words, tail = _Words(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), 256):
+            for at in range(0, len(ids), TEXTS):
                 rows = []
-                part = [t or b"" for t in texts.slice(at, 256).to_pylist()]
-                for doc, coded in zip(ids[at : at + 256], words.ids(part)):
+                part = [t or b"" for t in texts.slice(at, TEXTS).to_pylist()]
+                for doc, coded in zip(ids[at : at + TEXTS], words.ids(part)):
                     coded += tail
                     for k, start in enumerate(range(0, len(coded), 4 * capacity)):
                         own = coded[start : start + 4 * capacity]
