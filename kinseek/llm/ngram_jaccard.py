@@ -5,8 +5,11 @@
 2. All shingles get one global order: those of rarer hash buckets first. The counts cover
    the whole corpus and take 65,536 numbers whatever its size.
 3. A pair over the threshold shares one of the first n - ceil(t n) + 1 shingles of both.
-   Classes that share one are compared by length, place and histogram, all of them bounds
-   that no true pair can miss; what remains is joined to candidate groups.
+   Sets of over 512 are compared in 2, 4, ... parts by hash: in one of them at least the two
+   differ by no more than the part's share, so they share one of its first shingles.
+   Classes that share one are compared by length, place and histogram, all of them bounds that
+   no true pair can miss; what remains is joined to candidate groups. (Parts are never nearly
+   empty: they have 256 shingles or more on average, at least a third of which must be there.)
 4. The whole sets of a candidate group are stored in a trie and every set walks it, sharing
    partial overlaps; a subtree goes when the lengths that remain in it cannot reach the
    overlap, or when all its sets are linked with the walking one already.
@@ -33,6 +36,7 @@ from kinseek.llm import graph, words
 from kinseek.runtime import stage
 
 BUCKETS = 1 << 16
+PART = 512  # shingles of a part at most, on average
 CELLS, WALK_CELLS = 64, 256
 GROUP_ROWS = 2048  # rows of one shingle compared in one go
 BLOCK_SHINGLES = 4_000_000  # shingles of one trie
@@ -54,6 +58,26 @@ class Threshold:
         """The least intersection of two sets with `total` shingles together."""
         return -(-self.num * total // (self.den + self.num))
 
+    def apart(self, total):
+        """The most differing shingles of two such sets."""
+        return total - 2 * self.overlap(total)
+
+    def splits(self, n: int) -> list[int]:
+        """Logarithms of the numbers of parts in which a set of `n` is compared: that of its
+        own size, and that of the smallest set it may link with where it differs. A pair meets
+        in the parts of its smaller set."""
+        return sorted({_log_parts(n), _log_parts(-(-self.num * n // self.den))})
+
+    def heads(self, n: int, log: int) -> int:
+        """How many first shingles of a part to post."""
+        if log == 0:
+            return self.prefix(n)
+        return (self.apart(n + n * self.den // self.num) >> log) + 1
+
+
+def _log_parts(n: int) -> int:
+    return max(0, (n - 1).bit_length() - PART.bit_length() + 1)
+
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -82,16 +106,22 @@ def _signature(own: np.ndarray) -> bytes:
     return np.array([one, two], np.uint64).tobytes()
 
 
-def _profiler(size: int):
+def _cells(own: np.ndarray, log: int) -> bytes:
+    """CELLS counts for each of 2 ** log parts, one byte each."""
+    part = (own >> np.uint64(40)) & np.uint64((1 << log) - 1)
+    at = (part * np.uint64(CELLS) + (own >> np.uint64(58))).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=CELLS << log), 255).astype(np.uint8).tobytes()
+
+
+def _profiler(limit: Threshold):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             rows = batch.num_rows
             n, sig, hist = np.zeros(rows, np.int64), [None] * rows, [None] * rows
-            for row, own in _sets(batch, size):
+            for row, own in _sets(batch, limit.size):
                 n[row], sig[row] = len(own), _signature(own)
-                cells = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=CELLS)
-                hist[row] = np.minimum(cells, 255).astype(np.uint8).tobytes()
+                hist[row] = b"".join(_cells(own, log) for log in limit.splits(len(own)))
                 np.add.at(seen, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
             none = pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())
             yield _profile_batch(batch.column("doc_id"), n, pa.array(sig, pa.binary()), pa.array(hist, pa.binary()), *none)
@@ -122,21 +152,31 @@ def _postings(limit: Threshold, rank: np.ndarray):
         key, met = _ranker(rank), set()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            tokens, docs, sizes, places = [], [], [], []
+            tokens, docs, sizes, spots = [], [], [], []
             for row, own in _sets(batch, limit.size, key):
                 sig = _signature(own)
                 if sig in met:  # one of the equal sets of a task stands for all of them
                     continue
                 met.add(sig)
-                p = limit.prefix(len(own))
-                tokens.append(own[:p])
-                docs.append(np.full(p, ids[row], np.int64))
-                sizes.append(np.full(p, len(own), np.int32))
-                places.append(np.arange(p, dtype=np.int32))
+                cell, count = 0, 0
+                for log in limit.splits(len(own)):
+                    heads = limit.heads(len(own), log)
+                    part = ((own >> np.uint64(24)) & np.uint64((1 << log) - 1)).astype(np.int64)
+                    order = np.argsort(part, kind="stable")
+                    part = part[order]
+                    place = np.arange(len(own)) - np.searchsorted(part, part)
+                    keep = place < heads
+                    found = own[order[keep]]
+                    tokens.append(words.mix(found + np.uint64(log)) if log else found)
+                    spots.append(((cell + part[keep]) << 36) | (log << 30) | place[keep])
+                    cell += 1 << log
+                    count += len(found)
+                docs.append(np.full(count, ids[row], np.int64))
+                sizes.append(np.full(count, len(own), np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(graph.as_i64(np.concatenate(tokens))), *[pa.array(np.concatenate(x)) for x in (docs, sizes, places)]],
-                    ["token", "doc_id", "n", "place"],
+                    [pa.array(graph.as_i64(np.concatenate(tokens))), *[pa.array(np.concatenate(x)) for x in (docs, sizes, spots)]],
+                    ["token", "doc_id", "n", "spot"],
                 )
 
     return post
@@ -165,9 +205,10 @@ def _candidates(limit: Threshold):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = graph.Forest()
         for table in _groups(batches, ["token", "lo", "hi"]):
-            token, lo, hi, rep, n, place = (table.column(c).to_numpy() for c in ("token", "lo", "hi", "rep", "n", "place"))
-            order = np.lexsort((rep, n, hi, lo, token))
-            token, lo, hi, rep, n, place = (x[order] for x in (token, lo, hi, rep, n, place))
+            columns = [table.column(c).to_numpy() for c in ("token", "lo", "hi", "rep", "n", "spot")]
+            order = np.lexsort((columns[3], columns[4], *columns[2::-1]))
+            token, lo, hi, rep, n, spot = (x[order] for x in columns)
+            log, place = spot >> 30 & 63, spot & ((1 << 30) - 1)
             cells = np.frombuffer(b"".join(table.column("hist").to_pylist()), np.uint8).reshape(-1, CELLS)[order].astype(np.int16)
             group = np.cumsum(np.append(False, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
             live = np.arange(len(rep))
@@ -179,14 +220,13 @@ def _candidates(limit: Threshold):
                 # Sizes ascend inside a group, so a row that fails here fails for all later steps.
                 keep = (group[live] == group[other]) & (n[live] * limit.den >= n[other] * limit.num)
                 live, other = live[keep], other[keep]
-                need = limit.overlap(n[live].astype(np.int64) + n[other])
-                left = 1 + np.minimum(n[live] - place[live], n[other] - place[other]) - 1
-                ok = (left >= need) & (rep[live] != rep[other])
-                a, b, need = live[ok], other[ok], need[ok]
+                total = n[live].astype(np.int64) + n[other]
+                left = np.minimum(n[live] - place[live], n[other] - place[other])
+                ok = ((left >= limit.overlap(total)) | (log[live] > 0)) & (rep[live] != rep[other]) & (log[live] == log[other])
+                a, b, most = live[ok], other[ok], limit.apart(total[ok]) >> log[live[ok]]
                 for at in range(0, len(a), 1 << 16):
                     x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
-                    apart = np.abs(cells[x] - cells[y]).sum(1)
-                    near = apart <= n[x].astype(np.int64) + n[y] - 2 * need[at : at + (1 << 16)]
+                    near = np.abs(cells[x] - cells[y]).sum(1) <= most[at : at + (1 << 16)]
                     for p, q in zip(rep[x[near]].tolist(), rep[y[near]].tolist()):
                         met.join(p, q)
         yield from _edges(met.pairs())
@@ -363,7 +403,7 @@ def jaccard_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     """
     limit = Threshold(size, num, den)
     texts = _texts(docs)
-    profiled = stage(texts.mapInArrow(_profiler(size), "doc_id long, n long, sig binary, hist binary, bucket int, seen long"))
+    profiled = stage(texts.mapInArrow(_profiler(limit), "doc_id long, n long, sig binary, hist binary, bucket int, seen long"))
     slim = profiled.where("bucket is null").select("doc_id", "n", "sig", "hist")
     seen = np.zeros(BUCKETS, np.int64)
     for bucket, count in profiled.where("bucket is not null").groupBy("bucket").agg(F.sum("seen")).collect():
@@ -374,12 +414,12 @@ def jaccard_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     linkable = slim.where("n > 0 and doc_id is not null")
     classes = linkable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     named = stage(linkable.join(classes, "sig").select("doc_id", "n", "hist", "rep"))
-    postings = texts.where("doc_id is not null").mapInArrow(_postings(limit, rank), "token long, doc_id long, n int, place int")
+    postings = texts.where("doc_id is not null").mapInArrow(_postings(limit, rank), "token long, doc_id long, n int, spot long")
     shared = (
         postings.withColumn("_count", F.count(F.lit(1)).over(Window.partitionBy("token")))
         .where("_count > 1")
         .join(named.select("doc_id", "rep", "hist").dropDuplicates(["doc_id"]), "doc_id")
-        .select("token", "rep", "n", "place", "hist", "_count")
+        .select("token", "rep", "n", "spot", F.substring("hist", F.shiftright("spot", 36).cast("int") * CELLS + 1, F.lit(CELLS)).alias("hist"), "_count")
     )
     met = _by_group(_blocks(shared, "_count", "rep", group_rows, pairs=True), ["token", "lo", "hi"]).mapInArrow(_candidates(limit), "a long, b long")
     coarse = graph.components(met)
