@@ -41,7 +41,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
-OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string,gone:boolean>"
 
 
@@ -140,18 +140,17 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT, share: float = SHA
     own = stage(_some(docs.where(F.size("_spans") > 0), texts, ["_text"], "left_semi").select("_text", "text", "_spans").dropDuplicates(["_text"]).select("_text", words.alias("_terms")))
     met = protected.join(own, "_text").select("_text", "_e", "_ne", F.explode("_terms").alias("_t"))
     together = met.groupBy("_t", "_e").agg(F.count(F.lit(1)).alias("_nte"), F.first("_ne").alias("_ne")).where(f"_nte >= {support}")
-    together = stage(together)
-    asked = stage(together.select("_t").distinct())
     total = docs.select("_text").distinct().count()
-    everywhere = docs.select("_text", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("_t"))
-    counts = _some(everywhere, asked, ["_t"], "left_semi").distinct().groupBy("_t").agg(F.count(F.lit(1)).alias("_nt"))
     known = F.log(F.lit(float(max(total, 1))) / F.col("_ne"))
     pmi = F.log(F.col("_nte") * F.lit(float(total)) / (F.col("_nt") * F.col("_ne")))
-    telling = (
-        together.join(counts, "_t")
-        .where((known > 0) & (pmi >= share * known - 1e-9))
-        .select("_t", "_e", (F.col("_nte") >= F.col("_nt")).alias("_gone"))
-    )
+    tells = (known > 0) & (pmi >= share * known - 1e-9)
+    # A term is in no fewer texts than here, so most common words can be left out at once.
+    here = own.select(F.explode("_terms").alias("_t")).groupBy("_t").agg(F.count(F.lit(1)).alias("_nt"))
+    together = stage(together.join(here, "_t").where(tells).drop("_nt"))
+    asked = stage(together.select("_t").distinct())
+    everywhere = docs.select("_text", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("_t"))
+    counts = _some(everywhere, asked, ["_t"], "left_semi").distinct().groupBy("_t").agg(F.count(F.lit(1)).alias("_nt"))
+    telling = together.join(counts, "_t").where(tells).select("_t", "_e", (F.col("_nte") >= F.col("_nt")).alias("_gone"))
     telling = stage(telling)
     return (
         met.join(telling, ["_t", "_e"])
