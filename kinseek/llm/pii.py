@@ -37,7 +37,7 @@ BROADCAST_ROWS = 100_000
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",  # shorter runs are dropped anyway
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"

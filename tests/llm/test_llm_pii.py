@@ -63,7 +63,7 @@ def test_hard_texts(spark):
     rng = random.Random(3)
     signs = ["@", ".", "+", "-", " ", "(", ")", "1", "25", "255.", "256.1", "a", "ab.c", "@x", "é", "\U0001f600", "_", "4111 1111 1111 1111", "4111-1111-1111-1112", "000255"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
-    texts += ["1.2.3.4.5.6.7.8", "a@b.c_d@e.f", "a@b.c@d.e", "a@b..c", "+1", "+12345678", "9" * 30_000, "a" * 40_000, "1 " * 30_000, "+1" * 20_000, "x@" * 20_000, "1." * 20_000]
+    texts += ["1.2.3.4.5.6.7.8", "a@b.c_d@e.f", "a@b.c@d.e", "a@b..c", "+1", "+12345678", "9" * 6_000, "a" * 6_000, "1 " * 6_000, "+1" * 6_000, "x@" * 6_000, "1." * 6_000]
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
