@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,12 @@ from kinseek.runtime import stage
 from kinseek.sources import writers
 
 
+# Searches take (chunks, queries, k) and return query_id, chunk_id, score and rank; a rescorer takes
+# (candidates, queries, k) and returns the candidates with s_li, rank and any other columns.
+Search = Callable[[DataFrame, DataFrame, int], DataFrame]
+Rescorer = Callable[[DataFrame, DataFrame, int], DataFrame]
+
+
 def candidates(
     chunks: DataFrame,
     queries: DataFrame,
@@ -59,21 +66,39 @@ def cascade(
     calibration: str = "minmax",
     labels: DataFrame | None = None,
     scorer: rerank.Scorer | None = None,
+    lexical_search: Search | None = None,
+    dense_search: Search | None = None,
+    rescorer: Rescorer | None = None,
 ) -> Cascade:
     """All three stages for a batch of queries.
 
+    Stage A finds by substrings and by the presence of terms unless other searches are
+    given, such as `bm25.bm25_top_k` or a `dense.cosine_top_k` over the chunks' vectors; stage
+    B counts matching words unless a `rescorer` is given.
+
     The chunks are scanned twice: once to search, once to fetch the texts of the
     candidates, which both later stages then carry along.
     """
-    found = stage(lexical.search(chunks, queries, k_a))
-    fused = stage(
-        fusion.fuse(fusion.merge_sides(found), k_a, method, w_bm25, w_dense)
-    )
+    if lexical_search is None and dense_search is None:
+        found = stage(lexical.search(chunks, queries, k_a))
+        merged = fusion.merge_sides(found)
+    else:
+        first = stage((lexical_search or lexical.lexical_top_k)(chunks, queries, k_a))
+        second = stage((dense_search or lexical.presence_top_k)(chunks, queries, k_a))
+        rows = [
+            df.select("query_id", "chunk_id", "rank", F.lit(side).alias("side"))
+            for df, side in ((first, LEXICAL), (second, PRESENCE))
+        ]
+        found = rows[0].unionByName(rows[1])
+        merged = fusion.merge_lists(first, second)
+    fused = stage(fusion.fuse(merged, k_a, method, w_bm25, w_dense))
     depth = rescore_depth or k_b
     with_text = rerank.attach_chunks(fused.where(F.col("rank") <= depth), chunks)
-    rescored = stage(
-        rerank.rescore(with_text, queries, k=k_b, depth=depth, max_len=max_len)
-    )
+    if rescorer is None:
+        rescored = rerank.rescore(with_text, queries, k=k_b, depth=depth, max_len=max_len)
+    else:
+        rescored = rescorer(with_text, queries, k_b)
+    rescored = stage(rescored)
     final = rerank.judge(
         rescored,
         queries,

@@ -237,3 +237,16 @@ def test_top_k_is_the_same_however_it_is_spread(spark):
     plain = sorted(ranking.top_k(df, ["g"], order, 17).collect())
     assert sorted(ranking.top_k(df.repartition(9), ["g"], order, 17, spread=4).collect()) == plain
     assert len(plain) == 51
+
+
+def test_cascade_with_other_searches(spark):
+    chunks, queries = spark.createDataFrame(chunk_rows(), schemas.CHUNKS), spark.createDataFrame([(0, QUERY)], "query_id long, query string")
+    plain = cascade(chunks, queries)
+    same = cascade(
+        chunks, queries, lexical_search=lexical.lexical_top_k, dense_search=lexical.presence_top_k, rescorer=lambda c, q, k: rerank.rescore(c, q, k=k)
+    )
+    keys = ["query_id", "chunk_id", "rank"]
+    assert sorted(map(tuple, plain.final.select(*keys).collect())) == sorted(map(tuple, same.final.select(*keys).collect()))
+    other = cascade(chunks, queries, lexical_search=bm25.bm25_top_k, k_c=2)
+    assert 0 < other.final.count() <= 2
+    assert other.found.select("side").distinct().count() == 2
