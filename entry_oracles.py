@@ -350,8 +350,8 @@ UNION ALL SELECT 6, 'mrn_match_rate', printf('%.1f%%', 100 * mrn_match_count / t
 UNION ALL SELECT 7, 'triplet_match_rate', printf('%.1f%%', 100 * triplet_match_count / total_notes) FROM stats
 UNION ALL SELECT 8, 'new_patient_rate', printf('%.1f%%', 100 * new_patient_count / total_notes) FROM stats
 UNION ALL SELECT 8 + i, concat('conflict_', i), CASE type
-    WHEN 'mrn_conflict' THEN concat('MRN conflict: ', mrn, ' -> Patients ', patient_1, ', ', patient_2)
-    ELSE concat('Triplet conflict: Patients ', patient_1, ', ', patient_2) END FROM shown
+    WHEN 'mrn_conflict' THEN concat('record number ', mrn, ' is held by ', patient_1, ', ', patient_2)
+    ELSE concat('one triplet is held by ', patient_1, ', ', patient_2) END FROM shown
 UNION ALL SELECT 19, 'more_conflicts', (n - 10)::VARCHAR FROM n WHERE n > 10"""
 
 ORACLES = {

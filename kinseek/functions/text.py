@@ -95,16 +95,6 @@ def occurrences(lowered: Column, term: str) -> Column:
     ).otherwise(0)
 
 
-def _letters(word: Column) -> Column:
-    return F.array_distinct(F.split(word, ""))
-
-
-def letter_overlap(left: Column, right: Column) -> Column:
-    """Jaccard similarity of the two words' character sets."""
-    a, b = _letters(left), _letters(right)
-    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
-
-
 def contains_either_way(term: Column, word: Column) -> Column:
     return F.contains(word, term) | F.contains(term, word)
 

@@ -69,11 +69,11 @@ def _conflict_line(c):
     return (
         F.when(
             c["type"] == "mrn_conflict",
-            F.concat(F.lit("MRN conflict: "), c["mrn"], F.lit(" -> Patients "), patients),
+            F.concat(F.lit("record number "), c["mrn"], F.lit(" is held by "), patients),
         )
         .when(
             c["type"] == "triplet_conflict",
-            F.concat(F.lit("Triplet conflict: Patients "), patients),
+            F.concat(F.lit("one triplet is held by "), patients),
         )
         .otherwise(c["type"])
     )

@@ -121,16 +121,3 @@ RESCORED = StructType(
         StructField("rank", IntegerType(), True),
     ]
 )
-
-FINAL = _struct(
-    query_id=LONG,
-    chunk_id=STRING,
-    calibrated_score=DOUBLE,
-    raw_xenc_score=DOUBLE,
-    s_li=DOUBLE,
-    fusion_score=DOUBLE,
-    source_id=STRING,
-    pointers=_struct(chunk_offset=LONG, file=STRING),
-    patient_uid=STRING,
-    rank=IntegerType(),
-)

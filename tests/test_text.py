@@ -56,9 +56,3 @@ def test_tokens(spark):
 def test_occurrences(spark):
     for text, term in [("aaaaa", "aa"), ("abcabc", "bc"), ("xyz", "q"), ("", "a"), ("été", "é")]:
         assert one(spark, tx.occurrences(F.col("t"), term), t=text) == text.count(term)
-
-
-def test_letter_overlap(spark):
-    got = one(spark, tx.letter_overlap(F.col("a"), F.col("b")), a="folfirinox", b="progression")
-    a, b = set("folfirinox"), set("progression")
-    assert abs(got - len(a & b) / len(a | b)) < 1e-12
