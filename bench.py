@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from entry_queries import QUERIES  # noqa: E402
-from kinseek.runtime import local_session  # noqa: E402
+from kinseek.runtime import drop_staged, local_session  # noqa: E402
 
 HEADLINE = (
     "link_notes",
@@ -39,6 +39,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        drop_staged(spark)
     line = {
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),
