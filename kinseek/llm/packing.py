@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ from kinseek.runtime import stage
 CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # fillings looked at for one pattern before the incumbent is taken
-CACHED_WORDS, CACHED_BYTES = 500_000, 48
+CACHED_WORDS, CACHED_BYTES = 250_000, 48
 TEXTS = 512  # texts whose words are looked up together
 
 
@@ -67,14 +69,13 @@ class _Words(dict):
         fresh: set[bytes] = set()
         for words in split:
             fresh.update(words)
-        if len(self) > CACHED_WORDS:
-            self.clear()
         fresh = {w for w in fresh if w not in self}
         self._learn(fresh)
         for words in split:
             yield b"".join(map(self.__getitem__, words))
+        full = len(self) > CACHED_WORDS  # common words came first, so they stay
         for w in fresh:
-            if len(w) > CACHED_BYTES:
+            if full or len(w) > CACHED_BYTES:
                 del self[w]
 
     def _learn(self, fresh: set[bytes]) -> None:
@@ -103,15 +104,24 @@ class _Words(dict):
         self.update((w, own[core] + own[w[len(core) :]]) for w, core in marked)
 
 
+def _worker_words(path: str) -> _Words:
+    """The words that this Python worker has coded, kept from task to task."""
+    held = sys.modules.setdefault("_kinseek_words", ModuleType("_kinseek_words")).__dict__
+    if path not in held:
+        held[path] = _Words(path)
+    return held[path]
+
+
 def _pieces(path: str, capacity: int, end: int, keep: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tail = _Words(path), np.array([end], "<u4").tobytes()
+        pa.default_memory_pool().release_unused()
+        words, tail = _worker_words(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for at in range(0, len(ids), TEXTS):
                 rows = []
                 part = [t or b"" for t in texts.slice(at, TEXTS).to_pylist()]
-                for doc, coded in zip(ids[at : at + TEXTS], words.ids(part)):
+                for coded, doc in zip(words.ids(part), ids[at : at + TEXTS]):
                     coded += tail
                     for k, start in enumerate(range(0, len(coded), 4 * capacity)):
                         own = coded[start : start + 4 * capacity]
