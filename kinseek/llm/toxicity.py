@@ -31,9 +31,9 @@ SLOTS = 1 << 19
 PREFIXES = (4, 5, 6)
 TOXIC_ROWS, UNLABELLED_ROWS = 3000, 9000  # texts that training looks at, at most
 FEATURES = 4096  # features with a weight, at most
-CERTAINTY = 3.5  # standard errors by which toxic texts must have a feature more often
+CERTAINTY = 5.0  # standard errors by which toxic texts must have a feature more often
 CUT = 0.3
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+STEPS, RATE, DECAY = 400, 0.05, 1e-3
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     toxic = F.col("toxic") / F.lit(float(sizes[1]))
     other = F.col("other") / F.lit(float(sizes[0]))
-    error = F.sqrt(toxic * (1 - toxic) / sizes[1] + other * (1 - other) / sizes[0] + 1e-9)
+    # The error of the difference if both kinds had the feature equally often.
+    pooled = (F.col("toxic") + F.col("other")) / F.lit(float(sizes[1] + sizes[0]))
+    error = F.sqrt(pooled * (1 - pooled) * (1 / sizes[1] + 1 / sizes[0]) + 1e-12)
     found = (
         sample.mapInArrow(_counter, "slot long, toxic long, other long")
         .groupBy("slot")
