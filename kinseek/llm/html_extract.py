@@ -89,15 +89,16 @@ def blocks_of(page: str) -> list[Block]:
     path: list[str] = []
     text: list[str] = []
     linked = links = 0
+    above: tuple[str, ...] | None = None  # the path at the block's first text
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, above
         if text:
             own = " ".join(html.unescape("".join(text)).split())
             if own:
-                out.append(Block(tuple(path), own, min(linked, len(own))))
+                out.append(Block(above or tuple(path), own, min(linked, len(own))))
             text.clear()
-        linked = 0
+        linked, above = 0, None
 
     def pop_to(at: int) -> None:
         nonlocal links
@@ -111,8 +112,9 @@ def blocks_of(page: str) -> list[Block]:
         piece = page[at : found.start() if found else len(page)]
         if piece:
             text.append(piece)
-            if links and not piece.isspace():
-                linked += len(piece)
+            if not piece.isspace():
+                above = above or tuple(path)
+                linked += len(piece) if links else 0
         if not found:
             break
         at = found.end()
@@ -139,20 +141,20 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in BLOCK:
             for i in range(len(path) - 1, -1, -1):  # a paragraph ends where another block begins
-                above = path[i].partition(".")[0]
-                if above == "p":
+                outer = path[i].partition(".")[0]
+                if outer == "p":
                     pop_to(i)
                     break
-                if above in BLOCK:
+                if outer in BLOCK:
                     break
             siblings = CLOSED_BY_SIBLING.get(tag, ())
             if siblings:
                 for i in range(len(path) - 1, -1, -1):
-                    above = path[i].partition(".")[0]
-                    if above in siblings:
+                    outer = path[i].partition(".")[0]
+                    if outer in siblings:
                         pop_to(i)
                         break
-                    if above in ("ul", "ol", "dl", "table", "select"):
+                    if outer in ("ul", "ol", "dl", "table", "select"):
                         break
         name = _name(tag, found[3] or found[6] or "")
         path.append(name)
