@@ -135,7 +135,10 @@ class Graph:
         if not found:
             return np.zeros(0, np.int64)
         # From here on the walk has no beam: it ends when no neighbour is over the threshold.
+        # The beam has dropped vectors over the threshold where there were too many: look anew.
+        self.tick += 1
         links, tick = self.layers[0], self.tick
+        self.seen[found] = tick
         out, todo = [np.array(found, np.int64)], found
         while todo:
             around = np.unique(np.concatenate([links[e] for e in todo]))
@@ -252,7 +255,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, shard_rows: int = SHAR
         .drop("_home")
     )
     keys = [*KEYS, "asks"]
-    asked = placed.repartition(*KEYS).sortWithinPartitions(*keys, "vec_id").select(*keys, "vec_id", "weight", "embedding")
+    # With a number, as otherwise the small shards would be put together again in a few tasks.
+    count = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = placed.repartition(count, *KEYS).sortWithinPartitions(*keys, "vec_id").select(*keys, "vec_id", "weight", "embedding")
     found = stage(asked.mapInArrow(_asker(least), "vec_id long, other long, links long"))
     links = found.where("other is null").groupBy(F.col("vec_id").alias("rep")).agg(F.sum("links").alias("_links"))
     joined = graph.components(found.where("other is not null").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
