@@ -152,53 +152,53 @@ class Pattern:
 
 def _best_fit(room: int, left: list[int], counts: Counter) -> list[int]:
     filling: list[int] = []
-    used: Counter = Counter()
-    while room:
-        at = bisect_right(left, room) - 1
-        while at >= 0 and counts[left[at]] <= used[left[at]]:
-            at -= 1
-        if at < 0:
-            break
-        used[left[at]] += 1
-        filling.append(left[at])
-        room -= left[at]
+    at = bisect_right(left, room) - 1
+    while room and at >= 0:
+        uses = min(counts[left[at]], room // left[at])
+        filling += [left[at]] * uses
+        room -= uses * left[at]
+        at = min(at, bisect_right(left, room)) - 1
     return filling
 
 
-def _complete(room: int, left: list[int], counts: Counter, nodes: int) -> list[int]:
-    """The filling of `room` with the least waste found, large items first."""
+def _reachable(room: int, lengths: list[int], counts: Counter) -> list[int]:
+    """At k, the sums up to `room` of the `k` smallest lengths, as bits of a number."""
+    mask, sums = (1 << (room + 1)) - 1, 1
+    out = [sums]
+    for length in lengths:
+        most, step = min(counts[length], room // length), 1
+        while most > 0:
+            step = min(step, most)
+            sums |= sums << (step * length) & mask
+            most -= step
+            step *= 2
+        out.append(sums)
+    return out
+
+
+def _descend(rest: int, below: int, lengths: list[int], counts: Counter, reach: list[int]) -> list[tuple[int, int]]:
+    """(place, uses) of the `below` smallest lengths that sum to `rest`, the largest multiple first."""
+    taken = []
+    while rest:
+        below = min(below, bisect_right(lengths, rest)) - 1
+        uses = min(counts[lengths[below]], rest // lengths[below])
+        while not reach[below] >> (rest - uses * lengths[below]) & 1:
+            uses -= 1
+        if uses:
+            taken.append((below, uses))
+            rest -= uses * lengths[below]
+    return taken
+
+
+def _complete(room: int, left: list[int], counts: Counter) -> list[int]:
+    """The filling of `room` with the least waste, large items first."""
     best = _best_fit(room, left, counts)
-    waste = room - sum(best)
-    used: Counter = Counter()
-    path: list[int] = []
-    seen = 0
-
-    def search(open_room: int, most: int) -> None:
-        nonlocal best, waste, seen
-        at = bisect_right(left, min(open_room, most)) - 1
-        while at >= 0 and waste and seen < nodes:
-            length = left[at]
-            at -= 1
-            if counts[length] <= used[length]:
-                continue
-            seen += 1
-            # With `length` the largest from here on, the room can at best be filled whole.
-            rest = open_room - length
-            used[length] += 1
-            path.append(length)
-            if rest < waste:
-                best, waste = list(path), rest
-            # Any item that still fits must be small enough to leave less than the incumbent.
-            if rest and left[0] <= rest:
-                search(rest, length)
-            path.pop()
-            used[length] -= 1
-            if at >= 0 and not rest:
-                break
-
-    if waste:
-        search(room, room)
-    return best
+    if sum(best) == room:
+        return best
+    lengths = left[: bisect_right(left, room)]
+    reach = _reachable(room, lengths, counts)
+    taken = _descend(reach[-1].bit_length() - 1, len(lengths), lengths, counts, reach)
+    return [lengths[at] for at, uses in taken for _ in range(uses)]
 
 
 def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[Pattern]:
@@ -215,7 +215,8 @@ def _patterns(histogram: dict[int, int], capacity: int, nodes: int) -> list[Patt
     while left:
         largest = left[-1]
         counts[largest] -= 1
-        filling = _complete(capacity - largest, left, counts, nodes)
+        fill = _complete if nodes else _best_fit
+        filling = fill(capacity - largest, left, counts)
         counts[largest] += 1
         uses = Counter([largest, *filling])
         times = min(counts[k] // n for k, n in uses.items())

@@ -191,3 +191,14 @@ def test_plans_take_every_piece(seed):
 def test_completion_beats_best_fit():
     # Best fit puts 6 beside 4 and wastes; completion finds 5 + 5, 6 + 2 + 2, 4 + 4 + 2.
     assert sum(p.times for p in plan_patterns({5: 2, 6: 1, 4: 2, 2: 3}, 10)) == 3
+
+
+def test_many_short_pieces_fit_one_sequence():
+    plan = plan_patterns({1: 2000}, 4096)
+    assert [(Counter(p.lengths), p.times) for p in plan] == [(Counter({1: 2000}), 1)]
+
+
+def test_many_empty_texts(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    rows = pack_documents(docs, TOKENIZER, capacity=4096).collect()
+    assert check_packed(rows, 4096) == (1, 2000) and len(rows) == 2000
