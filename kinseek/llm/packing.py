@@ -3,11 +3,13 @@
 Documents are tokenized inside tasks and cut into pieces of at most `capacity` tokens. How
 many pieces there are of each length is all that packing needs to know: at most `capacity`
 numbers, whatever the size of the corpus. From them the driver builds patterns: around the
-largest length left it searches the fillings of the remaining room, depth first from large
-to small, starting from the best fit as incumbent and leaving every branch whose waste
-cannot get below the incumbent's, or whose filling is dominated (an item could be swapped
-for a larger one that is left). A pattern is used as often as its lengths last. If plain best-fit
-decreasing needs no more sequences, its patterns are used instead.
+largest length left, the filling of the remaining room that wastes least, found from the sums that
+can be reached, is used as often as its lengths last. Plain best-fit decreasing is planned as
+well, and kept if no plan needs fewer sequences. While a plan needs more than a lower
+bound on sequences, other fillings and uses are tried from its end back, leaving every branch
+whose bound cannot get below the best plan's and every filling that is dominated (an item that
+is left could take the place of smaller ones). SEARCH_NODES bounds how many are looked at; a
+plan that it ends is whole, but may not be the shortest.
 
 Pieces then learn their rank among those of their length from per-partition totals of one
 range-partitioned order, and ranks fall into the intervals that patterns take.
@@ -22,7 +24,7 @@ import os
 import re
 import sys
 import zlib
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +40,7 @@ from kinseek.runtime import stage
 
 CAPACITY = 4096
 END_TOKEN = 1
-SEARCH_NODES = 4000  # fillings looked at for one pattern before the incumbent is taken
+SEARCH_NODES = 4000  # choices looked at behind the first plan before the best plan so far is taken
 CACHED_WORDS, CACHED_BYTES = 250_000, 48
 TEXTS = 512  # texts whose words are looked up together
 
@@ -190,44 +192,191 @@ def _descend(rest: int, below: int, lengths: list[int], counts: Counter, reach:
     return taken
 
 
-def _complete(room: int, left: list[int], counts: Counter) -> list[int]:
-    """The filling of `room` with the least waste, large items first."""
-    best = _best_fit(room, left, counts)
-    if sum(best) == room:
-        return best
+def _fillings(room: int, left: list[int], counts: Counter, least: int, after: list[int] | None = None) -> Iterator[list[int]]:
+    """Fillings of `room` that sum to `least` or more: less waste first, then large items first.
+
+    Given `after`, those behind it. Every branch ends in a filling, as sums are known beforehand.
+    """
     lengths = left[: bisect_right(left, room)]
     reach = _reachable(room, lengths, counts)
-    taken = _descend(reach[-1].bit_length() - 1, len(lengths), lengths, counts, reach)
-    return [lengths[at] for at, uses in taken for _ in range(uses)]
+    target, taken = reach[-1].bit_length() - 1, None
+    if after is not None:
+        target = sum(after)
+        taken = [(bisect_left(lengths, k), n) for k, n in sorted(Counter(after).items(), reverse=True)]
+    while target >= least:
+        if taken is None:
+            taken = _descend(target, len(lengths), lengths, counts, reach)
+            yield [lengths[at] for at, uses in taken for _ in range(uses)]
+        rest, more = 0, None
+        while taken and more is None:
+            at, uses = taken.pop()
+            rest += lengths[at] * uses
+            for fewer in range(uses - 1, -1, -1):
+                own = rest - fewer * lengths[at]
+                if reach[at] >> own & 1:
+                    more = taken + ([(at, fewer)] if fewer else []) + _descend(own, at, lengths, counts, reach)
+                    break
+        if more:
+            taken = more
+            yield [lengths[at] for at, uses in taken for _ in range(uses)]
+        else:
+            target, taken = (reach[-1] & ((1 << target) - 1)).bit_length() - 1, None
+
+
+def _dominated(room: int, filling: list[int], left: list[int], counts: Counter) -> bool:
+    """Whether one item that is left could take the place of none, one or more of `filling`, and is larger or replaces several."""
+    used = Counter(filling)
+    waste = room - sum(filling)
+    free = 0
+    for k in left[: bisect_right(left, room)]:
+        if counts[k] > used[k]:
+            free |= 1 << k
+    some, several = 0, 0  # sums of one or more, and of two or more items
+    for k in filling:
+        several |= several << k | some << k
+        some |= some << k | 1 << k
+    sums, width = some | 1, 1  # those sums with up to `waste` added
+    while width <= waste:
+        step = min(width, waste + 1 - width)
+        sums |= sums << step
+        width += step
+    larger = (some | 1) << 1
+    width = 1
+    while width < waste:
+        step = min(width, waste - width)
+        larger |= larger << step
+        width += step
+    return bool(free & several) or bool(waste and free & larger)
+
+
+def _lower_bound(left: list[int], counts: Counter, capacity: int) -> int:
+    """Sequences that any plan needs: for each size, large items cannot share with what is over the rest."""
+    if not left:
+        return 0
+    size = np.array(left, np.int64)
+    n = np.array([counts[k] for k in left], np.int64)
+    number, total = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(n * size))
+    half = int(np.searchsorted(size, capacity // 2, "right"))  # those from here on are alone with smaller ones
+    cut = np.append(0, size[:half])
+    low = np.searchsorted(size, cut, "left")
+    alone = np.maximum(half, np.searchsorted(size, capacity - cut, "right"))
+    room = capacity * (number[alone] - number[half]) - (total[alone] - total[half])
+    over = np.maximum(0, total[half] - total[low] - room)
+    return int((number[-1] - number[half] + -(-over // capacity)).max())
+
+
+def _taken(left: list[int], counts: Counter, pattern: Pattern, back: bool = False) -> None:
+    for k, n in Counter(pattern.lengths).items():
+        if back and not counts[k]:
+            insort(left, k)
+        counts[k] += n * pattern.times if back else -n * pattern.times
+        if not counts[k]:
+            del left[bisect_left(left, k)]
+
+
+def _times(counts: Counter, lengths: tuple[int, ...]) -> int:
+    return min(counts[k] // n for k, n in Counter(lengths).items())
 
 
 def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[Pattern]:
     """Patterns that take exactly the lengths of `histogram`, in few sequences."""
-    completed = _patterns(histogram, capacity, nodes)
-    plain = _patterns(histogram, capacity, 0)
-    return min(plain, completed, key=lambda p: sum(x.times for x in p))
+    plain = _patterns(histogram, capacity, _best_fit)
+    counts = Counter({k: v for k, v in histogram.items() if v > 0})
+    if not nodes or _used(plain) == _lower_bound(sorted(counts), counts, capacity):
+        return plain
+    return min(plain, _completed(counts, capacity, nodes), key=_used)
+
 
+def _used(patterns: list[Pattern]) -> int:
+    return sum(p.times for p in patterns)
 
-def _patterns(histogram: dict[int, int], capacity: int, nodes: int) -> list[Pattern]:
+
+def _patterns(histogram: dict[int, int], capacity: int, fill) -> list[Pattern]:
     counts = Counter({k: v for k, v in histogram.items() if v > 0})
     left = sorted(counts)
     found = []
     while left:
         largest = left[-1]
         counts[largest] -= 1
-        fill = _complete if nodes else _best_fit
         filling = fill(capacity - largest, left, counts)
         counts[largest] += 1
-        uses = Counter([largest, *filling])
-        times = min(counts[k] // n for k, n in uses.items())
-        found.append(Pattern((largest, *filling), times))
-        for k, n in uses.items():
-            counts[k] -= n * times
-            if not counts[k]:
-                del left[bisect_left(left, k)]
+        lengths = (largest, *filling)
+        found.append(Pattern(lengths, _times(counts, lengths)))
+        _taken(left, counts, found[-1])
     return found
 
 
+def _completed(counts: Counter, capacity: int, nodes: int) -> list[Pattern]:
+    """Branch and bound over undominated fillings and how often each is used.
+
+    The first plan takes the least waste everywhere. From its end back, all other choices are
+    tried that the bound leaves, until a plan meets the bound, none is left to try, or
+    `nodes` choices were looked at; then the best plan so far is taken.
+    """
+    counts = Counter(counts)
+    left = sorted(counts)
+    goal, total = _lower_bound(left, counts, capacity), sum(k * n for k, n in counts.items())
+    path = _patterns(counts, capacity, lambda room, left, counts: next(_fillings(room, left, counts, 0)))
+    best, used = list(path), _used(path)
+    for p in path:
+        _taken(left, counts, p)
+    wasted = capacity * used - total
+    seen = 0
+
+    def undo() -> Pattern:
+        nonlocal used, wasted
+        p = path.pop()
+        _taken(left, counts, p, back=True)
+        used -= p.times
+        wasted -= p.times * (capacity - sum(p.lengths))
+        return p
+
+    def take(lengths: tuple[int, ...], times: int) -> None:
+        nonlocal used, wasted
+        path.append(Pattern(lengths, times))
+        _taken(left, counts, path[-1])
+        used += times
+        wasted += times * (capacity - sum(lengths))
+
+    def other(last: Pattern | None) -> bool:
+        """Takes the choice behind `last` (or the first one); False if there is none."""
+        nonlocal seen
+        seen += 1
+        if last and last.times > 1:
+            take(last.lengths, last.times - 1)
+            return True
+        largest = left[-1]
+        same = path[-1] if path and path[-1].lengths[0] == largest else None
+        spare = capacity * (_used(best) - 1) - total - wasted  # waste that a better plan can have
+        room = capacity - largest
+        counts[largest] -= 1
+        found = None
+        for filling in _fillings(room, left, counts, max(0, room - spare), list(last.lengths[1:]) if last else None):
+            # What the sequence before could have taken once more was tried there.
+            if (not same or tuple(filling) != same.lengths[1:]) and not _dominated(room, filling, left, counts):
+                found = (largest, *filling)
+                break
+            seen += 1
+            if seen >= nodes:
+                break
+        counts[largest] += 1
+        if found:
+            take(found, _times(counts, found))
+        return bool(found)
+
+    while path and _used(best) > goal and seen < nodes:
+        last: Pattern | None = undo()
+        while seen < nodes and other(last):
+            last = None
+            if not left:
+                if used < _used(best):
+                    best = list(path)
+                break
+            if used + _lower_bound(left, counts, capacity) >= _used(best):
+                break
+    return best
+
+
 def _intervals(patterns: list[Pattern]) -> tuple[np.ndarray, ...]:
     """Sorted keys (length, first rank) with first sequence, uses in it, and offset."""
     taken: Counter = Counter()

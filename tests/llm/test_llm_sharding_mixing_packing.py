@@ -202,3 +202,16 @@ def test_many_empty_texts(spark):
     docs = spark.range(2000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
     rows = pack_documents(docs, TOKENIZER, capacity=4096).collect()
     assert check_packed(rows, 4096) == (1, 2000) and len(rows) == 2000
+
+
+@pytest.mark.parametrize(
+    "lengths, capacity",
+    [
+        ((10, 23, 36, 40, 41, 44, 50, 51), 100),
+        ((28, 32, 34, 50, 71, 84, 84, 101, 103), 200),
+        ((40, 56, 58, 70, 75, 85, 86, 94, 98, 120), 200),
+    ],
+)
+def test_plans_meet_the_bound(lengths, capacity):
+    # The fillings that waste least around the largest length need one sequence more.
+    assert sum(p.times for p in plan_patterns(Counter(lengths), capacity)) == -(-sum(lengths) // capacity)
