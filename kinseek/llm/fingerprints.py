@@ -2,12 +2,12 @@
 
 A shared random walk reads a string: at every step it puts out the character it stands on
 and, by a random bit that depends only on step and character, stays or goes on. After an
-edit two walks drift together again, so edit distance becomes Hamming distance of the
-outputs. Long walks cannot run side by side, so a text is cut where its own characters
+edit two walks of a piece drift together again. Long walks cannot run side by side, so a text is cut where its own characters
 say so, an edit moves only the cuts near it, and every piece takes the walk from its start.
 Which steps belong to which bit sample (band) of the walk is random and shared too; a
 band's characters are hashed, and a document keeps in each of its bins the least hash of
-all bands of all pieces. The share of equal bins is the likeness of two fingerprints.
+all bands of all pieces. The share of equal bins is the likeness of two fingerprints. It follows
+the set of pieces that texts share, not their edit distance: order and number of pieces are lost.
 
 Defined results: a null text is an empty one, whose bins are all empty; two fingerprints
 without a filled bin are alike (1.0); repeated rows have equal fingerprints, and follow each
