@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES, SAMPLE_CHARS = 300, 60_000  # pages that training looks at, and the longest of them
-SAMPLE_BLOCKS = 160  # blocks of a page that training looks at
 PATH, WORDS, EXTRA = 96, 48, 8  # widths of the input vector's parts
 INPUT = PATH + WORDS + EXTRA
 HIDDEN = 14
@@ -178,12 +177,27 @@ def _path_slots(path: tuple[str, ...]) -> list[int]:
     return slots
 
 
+class _WordSlots(dict):
+    """The slot of every word, found once for a common one."""
+
+    def __missing__(self, word: str) -> int:
+        slot = zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORDS
+        if len(word) <= 48:
+            if len(self) >= 100_000:
+                self.clear()
+            self[word] = slot
+        return slot
+
+
+_word_slots = _WordSlots()
+
+
 def _vectors(pages: list[list[Block]]) -> np.ndarray:
     """Input vectors of all blocks of all pages."""
     total = sum(map(len, pages))
     x = np.zeros((total, INPUT), np.float32)
     rows, slots, row, paths = [], [], 0, {}
-    word_row, word_slot = [], []
+    word_counts, word_slots = [], []
     for page in pages:
         for k, b in enumerate(page):
             own = paths.get(b.path)
@@ -191,18 +205,19 @@ def _vectors(pages: list[list[Block]]) -> np.ndarray:
                 own = paths[b.path] = sorted(set(_path_slots(b.path)))
             rows += [row] * len(own)
             slots += own
-            split = b.text.split(" ", 24)[:24]  # a block's first words; its text stays whole
-            word_row += [row] * len(split)
-            word_slot += [zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORDS for w in split]
+            split = b.text.split(" ")
+            word_counts.append(len(split))
+            word_slots.append(bytes(map(_word_slots.__getitem__, split)))
             size = len(b.text)
             x[row, -EXTRA:] = (
                 min(len(b.path), 20) / 10, np.log1p(size) / 6, b.linked / size, k / len(page), 1 / (1 + k), 1 / (len(page) - k),
-                b.text[-1] in ".!?", sum(c in ".,;:" for c in b.text[:200]) / 10,
+                b.text[-1] in ".!?", 20 * sum(map(b.text.count, ".,;:")) / (size + 20),
             )
             row += 1
     x[rows, slots] = 1
-    if word_row:
-        counts = np.bincount(np.array(word_row) * WORDS + np.array(word_slot), minlength=total * WORDS).reshape(total, WORDS)
+    if word_counts:
+        word_row = np.repeat(np.arange(total), word_counts)
+        counts = np.bincount(word_row * WORDS + np.frombuffer(b"".join(word_slots), np.uint8), minlength=total * WORDS).reshape(total, WORDS)
         x[:, PATH : PATH + WORDS] = counts / np.maximum(1, np.sqrt((counts * counts).sum(1)))[:, None]
     return x
 
@@ -314,7 +329,7 @@ def fit(pages: list[str]) -> list[np.ndarray]:
     bias = np.zeros(4 * HIDDEN, np.float32)
     bias[HIDDEN : 2 * HIDDEN] = 1
     model = [start(INPUT, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN), bias, start(INPUT, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN), bias.copy(), start(2 * HIDDEN), np.zeros(1, np.float32)]
-    parsed = [b[:SAMPLE_BLOCKS] for b in map(blocks_of, pages) if b]
+    parsed = [b for b in map(blocks_of, pages) if b]
     labels = [named_labels(p) for p in parsed]
     if not parsed:
         return model

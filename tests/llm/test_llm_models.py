@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 from conftest_llm import read
-from kinseek.llm.html_extract import blocks_of, extract_text, fit, label_blocks
+from kinseek.llm.html_extract import EXTRA, PATH, _vectors, blocks_of, extract_text, fit, label_blocks
 from kinseek.llm.toxicity import toxicity, without_toxic
 from pyspark.sql import functions as F
 
@@ -62,6 +62,18 @@ def test_odd_pages(spark, sf):
     assert [r.text for r in extract_text(spark.createDataFrame(rows[:2], PAGES)).collect()] == ["", ""]
 
 
+def test_whole_blocks_are_looked_at():
+    opening = "word " * 60
+    one, other = (_vectors([blocks_of(f"<p>{opening}{tail}</p>")])[0] for tail in ("alpha beta gamma", "aaaaa, bb; c:, ddd"))
+    assert (one[PATH:-EXTRA] != other[PATH:-EXTRA]).any() and one[-1] < other[-1]
+
+
+def test_training_looks_at_whole_pages():
+    menu = "<nav>" + "<p>Home and more</p>" * 160 + "</nav>"
+    page = menu + "<article>" + "<p>Prose that is the main text of it.</p>" * 40 + "</article>"
+    assert any((a != b).any() for a, b in zip(fit([page]), fit([menu])))
+
+
 def auc(score, label):
     rank = np.empty(len(score))
     order = np.argsort(score, kind="stable")
