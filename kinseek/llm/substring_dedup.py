@@ -1,4 +1,4 @@
-"""Substring dedup by level-wise doubling of repeated windows.
+"""Substring dedup by repeated windows: one anchored level, and doubling for the longest repeats.
 
 A window of w words can only repeat where its sub-windows do. The first level takes windows
 of half the length, and of these only the least of every w-word window (by hash), about a
