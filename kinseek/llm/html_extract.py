@@ -43,7 +43,7 @@ BLOCK = frozenset(
     "td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title template".split())
 CLOSED_BY_SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 # Words in tags and classes that tell what a part of a page is.
 MAIN_WORDS = frozenset("article main content post entry story articlebody".split())

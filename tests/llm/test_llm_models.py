@@ -68,6 +68,11 @@ def test_whole_blocks_are_looked_at():
     assert (one[PATH:-EXTRA] != other[PATH:-EXTRA]).any() and one[-1] < other[-1]
 
 
+def test_formulas_and_fallback_texts_are_blocks():
+    page = "<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><noscript><p>Plain form</p></noscript><object data='f'>A figure</object><template>t</template>"
+    assert [b.text for b in blocks_of(page)] == ["As x=2 holds", "Plain form", "A figure"]
+
+
 def test_training_looks_at_whole_pages():
     menu = "<nav>" + "<p>Home and more</p>" * 160 + "</nav>"
     page = menu + "<article>" + "<p>Prose that is the main text of it.</p>" * 40 + "</article>"
