@@ -98,4 +98,75 @@ SELECT d.doc_id, d.size::BIGINT AS size, b.source_size, b.target,
 FROM d JOIN b ON b.source IS NOT DISTINCT FROM d.source JOIN m ON m.source IS NOT DISTINCT FROM d.source AND m.h = d.h
 """
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWER}, '{TERM}') AS ts FROM documents
+), c AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(ts) AS term FROM d) GROUP BY ALL
+), k AS (SELECT lang, term FROM c GROUP BY lang, term HAVING count(*) >= 30
+), g AS (SELECT DISTINCT lang, source FROM d
+), u AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM c SEMI JOIN k USING (lang, term) GROUP BY ALL
+), f AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0::HUGEINT) AS n
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), p AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) //
+    (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source))::HUGEINT AS p FROM f
+), l AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM u GROUP BY ALL
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) //
+    (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang))::HUGEINT AS q FROM l
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), e AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM e QUALIFY part = 'pair' OR rank <= 50
+"""
+
+#: The unsigned CRC-32 of an ASCII string: every byte is added, then takes eight steps (-1).
+CRC = """xor(list_reduce(flatten(list_transform(string_split({}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END) END,
+    4294967295::BIGINT), 4294967295::BIGINT)"""
+
+OP12 = rf"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r, {WORDS} AS ws, {CRC.format("doc_id::VARCHAR")} AS h FROM documents
+), a AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM w
+), t AS (
+  SELECT doc_id, r, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(len(ws)), lambda i:
+    ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(ws) - a) // (3 + (h // 10) % 8)) END]) END AS ws FROM a
+), x AS (SELECT r, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM t
+), m AS (
+  -- Words that repeat q words later; a run of period q is 2 q of them in a row, 16 at least.
+  SELECT p.r, q.i - p.i AS q, p.i FROM x p JOIN x q ON p.r = q.r AND p.word = q.word AND q.i > p.i AND (q.i - p.i) * 3 <= p.n
+), b AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM m) GROUP BY r, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (SELECT r, start, length, min(q) AS period FROM b GROUP BY ALL
+), best AS (
+  SELECT DISTINCT ON (r) * FROM runs
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period::DOUBLE DESC, start, period) = 1
+), gone AS (SELECT r, list(DISTINCT j) AS places FROM (SELECT r, unnest(range(start + period, start + length)) AS j FROM runs) GROUP BY r
+), total AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.period,
+  (1000 * best.length) // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(array_to_string(list_filter(ws, lambda v, i: NOT coalesce(list_contains(places, i - 1), false)), ' '), '')) AS collapsed_sha256
+FROM t LEFT JOIN total USING (r) LEFT JOIN best USING (r) LEFT JOIN gone USING (r)
+"""
+
 ORACLES = {"op1_ngram_jaccard": OP1, "op5_substring_dedup": OP5, "op6_embedding_dedup": OP6, "op8_mixing": OP8}
+ORACLES |= {"op11_source_divergence": OP11, "op12_periodic_runs": OP12}

@@ -10,11 +10,14 @@ import corpus_pipeline
 from kinseek.llm.embedding_dedup import near_vectors
 from kinseek.llm.fingerprints import edited_fingerprints
 from kinseek.llm.html_extract import extract_text
+from kinseek.llm.license_scan import license_summary
 from kinseek.llm.mixing import mix_sources
 from kinseek.llm.ngram_jaccard import jaccard_groups
 from kinseek.llm.packing import pack_documents
+from kinseek.llm.periodic_runs import find_runs, planted, strongest
 from kinseek.llm.pii import find_personal_data
 from kinseek.llm.sharding import shard_documents
+from kinseek.llm.source_divergence import divergence
 from kinseek.llm.substring_dedup import dedup_substrings
 from kinseek.llm.toxicity import toxicity
 
@@ -68,6 +71,29 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence(_table(spark, folder, "documents"), least=30, top=50)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_runs(planted(_table(spark, folder, "documents")), least=24, periods=3)
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("_best", strongest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "_best.start",
+        "_best.length",
+        "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_summary(_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -85,6 +111,9 @@ QUERIES = {
         op8_mixing,
         op9_fingerprints,
         op10_toxicity,
+        op11_source_divergence,
+        op12_periodic_runs,
+        op13_license_scan,
         pipeline,
     )
 }

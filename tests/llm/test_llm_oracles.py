@@ -6,7 +6,7 @@ from kinseek.llm.queries import QUERIES
 
 def test_queries_and_oracles():
     assert set(ORACLES) < set(QUERIES)
-    assert len(QUERIES) == 11
+    assert len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
