@@ -8,11 +8,16 @@ classifier in numpy by the non-negative risk estimate
     prior * loss(toxic, 1) + max(0, loss(unlabelled, 0) - prior * loss(toxic, 0)),
 
 where `prior`, the share of toxic texts, is counted over all labels that may be learned from.
-Every text is then scored whole, in the tasks that read it; nothing is shuffled.
+Steps back (where the second part is below 0) can carry the bias far off, so the weights of the
+least risk of all steps are kept, and the bias is then set so that the unlabelled texts' scores
+have the prior as their mean. Every text is scored whole, in the tasks that read it.
 
 Defined results: a null or empty text gets the score of a text without any feature; without
-a toxic label to learn from all scores are 0; of repeated labels of an id the toxic one
-counts, null labels do not; rows with equal texts get equal scores; extra columns do not matter.
+a toxic label to learn from all scores are 0; with fewer than `LEAST_TOXIC` toxic texts, or
+none that differ from the others in their words, nothing was learned: all texts get the prior, and
+`without_toxic` keeps them all. Of repeated labels of an id the toxic one counts, null labels
+do not, and of repeated rows of an id the first text in order is learned from; rows with equal
+texts get equal scores; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.llm import words
+from kinseek.runtime import stage
 
 SLOTS = 1 << 19
 PREFIXES = (4, 5, 6)
 TOXIC_ROWS, UNLABELLED_ROWS = 3000, 9000  # texts that training looks at, at most
 FEATURES = 4096  # features with a weight, at most
 CERTAINTY = 5.0  # standard errors by which toxic texts must have a feature more often
+LEAST_TOXIC = 5  # toxic texts that a classifier can be learned from
 CUT = 0.3
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
 
@@ -111,7 +118,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     toxic = labels.where("toxic = 1").select("doc_id").orderBy(draw, "doc_id").limit(TOXIC_ROWS)
     other = docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))).select("doc_id").orderBy(draw, "doc_id").limit(UNLABELLED_ROWS)
     chosen = other.select("doc_id", F.lit(0).alias("toxic")).union(toxic.select("doc_id", F.lit(1).alias("toxic")))
-    return docs.join(F.broadcast(chosen), "doc_id").select("toxic", F.col("text").cast("binary").alias("text"))
+    # One text of an id, so that repeated rows cannot pass the bounds.
+    texts = docs.join(F.broadcast(chosen.distinct()), "doc_id").select("toxic", "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.groupBy("toxic", "doc_id").agg(F.min("text").alias("text")).select("toxic", F.col("text").cast("binary").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -121,10 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not share:
         return None
     prior = min(share, 0.9)
-    sample = _sample(docs, labels)
+    unlearned = Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))))
+    sample = stage(_sample(docs, labels))
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes.get(1) or not sizes.get(0):
-        return None
+    if sizes.get(1, 0) < LEAST_TOXIC or not sizes.get(0):
+        return unlearned
     toxic = F.col("toxic") / F.lit(float(sizes[1]))
     other = F.col("other") / F.lit(float(sizes[0]))
     # The error of the difference if both kinds had the feature equally often.
@@ -143,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     )
     slots = np.sort(np.array([r.slot for r in found], np.int64))
     if not len(slots):
-        return None
+        return unlearned
     rows = sample.mapInArrow(_present(slots), "toxic int, at array<int>").collect()
     rows.sort(key=lambda r: (r.toxic, r["at"]))  # task order must not change the sums
     return Model(slots, *_train([r["at"] for r in rows if r.toxic], [r["at"] for r in rows if not r.toxic], len(slots), prior))
@@ -155,12 +165,16 @@ def _train(toxic: list[list[int]], other: list[list[int]], size: int, prior: flo
 
     (pr, pc), (ur, uc) = flat(toxic), flat(other)
     w, b = np.zeros(size), float(np.log(prior / (1 - prior)))
+    least, kept = np.inf, w
     m, v, beta = np.zeros(size + 1), np.zeros(size + 1), (0.9, 0.999)
     for step in range(1, STEPS + 1):
         zp = np.bincount(pr, w[pc], len(toxic)) + b
         zu = np.bincount(ur, w[uc], len(other)) + b
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        risk = prior * np.logaddexp(0, -zp).mean() + max(0.0, negative) + DECAY / 2 * (w @ w)
+        if risk < least:
+            least, kept = risk, w
         # d softplus(z) = sigmoid(z), d softplus(-z) = sigmoid(z) - 1
         gp, gu = prior * (sp - 1) / len(toxic), np.zeros(len(other))
         if negative >= 0:
@@ -173,7 +187,16 @@ def _train(toxic: list[list[int]], other: list[list[int]], size: int, prior: flo
         m, v = beta[0] * m + (1 - beta[0]) * grad, beta[1] * v + (1 - beta[1]) * grad**2
         move = RATE * (m / (1 - beta[0] ** step)) / (np.sqrt(v / (1 - beta[1] ** step)) + 1e-8)
         w, b = w - move[:-1], b - float(move[-1])
-    return w, b
+    return kept, _bias(np.bincount(ur, kept[uc], len(other)), prior)
+
+
+def _bias(z: np.ndarray, mean: float) -> float:
+    """What must be added to `z` for their scores to have this mean."""
+    low, high = -50.0 - np.abs(z).max(), 50.0 + np.abs(z).max()
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (low, middle) if (1 / (1 + np.exp(-np.clip(z + middle, -700, 700)))).mean() > mean else (middle, high)
+    return float(low)
 
 
 def _scorer(model: Model | None):
@@ -183,7 +206,7 @@ def _scorer(model: Model | None):
             listed[model.slots] = True
         for batch in batches:
             z = np.full(batch.num_rows, -np.inf if model is None else model.bias)
-            for lo, hi, slots, rows in _rows(batch) if model is not None else ():
+            for lo, hi, slots, rows in _rows(batch) if listed.any() else ():
                 hit = listed[slots]
                 own = np.unique(rows[hit] * SLOTS + slots[hit])
                 at = np.searchsorted(model.slots, own % SLOTS)
@@ -217,4 +240,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without the rows that `toxicity` predicts to be toxic; all columns stay."""
     model = fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id"))))
+    if model is not None and not len(model.slots):
+        return docs
     return score_documents(docs, model, docs.columns).where(F.col("_score") < CUT).drop("_score")

@@ -37,4 +37,5 @@ def test_stages_one_by_one(spark, tmp_path):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     check_packed(rows, 4096)
+    assert len({r.doc_id for r in rows}) > 100
     assert corpus_pipeline.ORACLE_SQL is None
