@@ -35,8 +35,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 LEAST = 30  # documents of a language that a kept term occurs in
 TOP = 50
 SCALE = 1_000_000_000
-CELLS = 1 << 21  # counts (terms x sources) that one task compares at once
-BROADCAST_BYTES = 16 << 20  # of chunks that a scan looks up; a shuffle join beyond it
+CELLS = 1 << 16  # counts (terms x sources) that one task compares at once
+BROADCAST_BYTES = 16 << 20  # of chunks and terms that a scan looks up; a shuffle join beyond it
 BROADCAST_ROWS = 100_000  # languages, or their sources, that a join broadcasts
 FREQUENT = 100_000  # chunks too frequent to shuffle their rows, at most
 
@@ -45,7 +45,7 @@ def _given(docs: DataFrame) -> DataFrame:
     def plain(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
-    split = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACE), lambda c: c != "")
+    split = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACE)
     return docs.select(plain("lang"), plain("source"), split.alias("chunks"))
 
 
@@ -58,7 +58,9 @@ def _terms(chunks: DataFrame) -> DataFrame:
 
 def _chunks_of_kept_terms(given: DataFrame, least: int) -> DataFrame:
     """`lang, chunk, term, times` of all chunks of terms that `least` documents of `lang` hold."""
-    seen = stage(given.select("lang", F.explode(F.array_distinct("chunks")).alias("chunk")).groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("docs")))
+    # White space at either end of a text leaves an empty chunk there.
+    each = given.select("lang", F.explode(F.array_distinct("chunks")).alias("chunk")).where("chunk <> ''")
+    seen = stage(each.groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("docs")))
     spelled = stage(seen.join(_terms(seen), "chunk").select("lang", "chunk", "term", "times", "docs"))
     bounds = spelled.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     verdict = stage(bounds.where(F.col("high") >= least).select("lang", "term", (F.col("low") >= least).alias("sure")))
@@ -68,13 +70,18 @@ def _chunks_of_kept_terms(given: DataFrame, least: int) -> DataFrame:
     return stage(spelled.join(sure.union(counted), ["lang", "term"]).select("lang", "chunk", "term", "times"))
 
 
+def _fits(df: DataFrame) -> bool:
+    """Whether all bytes of a table of strings are few enough to broadcast."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= BROADCAST_BYTES
+
+
 def _documents(given: DataFrame, open_: DataFrame, seen: DataFrame) -> DataFrame:
     """`lang, term, docs`: exact numbers of documents of the terms in `open_` (lang, chunk, term)."""
-    size, rows = open_.agg(F.coalesce(F.sum(F.octet_length("chunk") + F.octet_length("term") + F.octet_length("lang") + 64), F.lit(0)), F.count(F.lit(1))).first()
     # A number of the row, the same if a task runs again; given before its chunks become rows.
     numbered = given.select("lang", F.monotonically_increasing_id().alias("_row"), "chunks")
     each = numbered.select("lang", "_row", F.explode(F.array_distinct("chunks")).alias("chunk"))
-    if size <= BROADCAST_BYTES:
+    if _fits(open_):
         met = each.join(F.broadcast(open_), ["lang", "chunk"])
     else:
         # Chunks of so many documents that at most FREQUENT can be: their terms are settled.
@@ -90,8 +97,9 @@ def term_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     """All groups (`lang, source, total`), and `lang, source, term, count` of kept terms that occur."""
     given = _given(docs)
     kept = _chunks_of_kept_terms(given, least)
-    per_chunk = given.select("lang", "source", F.explode("chunks").alias("chunk")).groupBy("lang", "source", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    uses = stage(per_chunk.join(kept, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("count")))
+    each = given.select("lang", "source", F.explode("chunks").alias("chunk"))
+    counts = each.groupBy("lang", "source", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    uses = stage(counts.join(kept, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("count")))
     groups = given.select("lang", "source").distinct()
     totals = uses.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     groups = groups.join(totals, ["lang", "source"], "left").na.fill(0, ["total"])
