@@ -9,6 +9,8 @@ from kinseek.fixed_values import (
     RECORD_DIAGNOSES,
     SOURCE_PREFIXES,
 )
+from kinseek.operators.dense import OVERSAMPLE, PLANE_FACTORS, SKETCH_BITS
+from kinseek.operators.dense import PLANE_MODULUS as _M
 from kinseek.sources.derived import (
     BARE_COLUMNS,
     CHUNK_WORDS,
@@ -18,6 +20,8 @@ from kinseek.sources.derived import (
     REPEATED_COLUMNS,
 )
 
+_F1, _F2 = PLANE_FACTORS
+
 
 def _found(terms) -> str:
     cases = ", ".join(f"CASE WHEN contains(low, '{t}') THEN '{t}' END" for t in sorted(terms))
@@ -414,6 +418,21 @@ ORACLES = {
     "dense_cosine_topk": f"""WITH {_means("q", "label::BIGINT AS query_id")}, v AS (
         SELECT vec_id AS chunk_id, embedding::DOUBLE[] AS vector FROM embeddings), {_cosine("v", "q", 50)}
         SELECT query_id, chunk_id, score, rank FROM ranked""",
+    "dense_lsh_topk": f"""WITH {_means("q", "label::BIGINT AS query_id")}, planes AS (
+          SELECT bit, list(((n * n % {_M} * n % {_M}) * {_F1} + n * {_F2}) % {_M} - {_M} // 2 ORDER BY n)::DOUBLE[] AS plane
+          FROM (SELECT bit, bit * 64 + d + 1 AS n FROM range({SKETCH_BITS}) b(bit), range(64) w(d)) GROUP BY bit
+        ), v AS (SELECT vec_id AS chunk_id, embedding::DOUBLE[] AS vector FROM embeddings
+        ), vs AS (SELECT chunk_id, list(list_inner_product(vector, plane) > 0 ORDER BY bit) AS bits FROM v, planes GROUP BY chunk_id
+        ), qs AS (SELECT query_id, list(list_inner_product(vector, plane) > 0 ORDER BY bit) AS bits FROM q, planes GROUP BY query_id
+        ), near AS (
+          SELECT query_id, chunk_id, len(list_filter(list_zip(qs.bits, vs.bits), lambda x: x[1] = x[2])) AS agree FROM qs, vs
+          QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY agree DESC, chunk_id) <= 50 * {OVERSAMPLE}
+        ), scored AS (
+          SELECT query_id, chunk_id, round(list_cosine_similarity(v.vector, q.vector), 6) AS score
+          FROM near JOIN v USING (chunk_id) JOIN q USING (query_id)
+        )
+        SELECT query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
+        FROM scored QUALIFY rank <= 50""",
     "maxsim_rescore": f"""WITH {_means("q", "label::BIGINT AS query_id")},
         {_means("c", "vec_id // 10 AS chunk_id")}, {_means("m", "label::BIGINT AS query_id, vec_id % 3 AS query_pos")},
         {_cosine("c", "q", 20)}, best AS (
@@ -439,7 +458,7 @@ ORACLES = {
     "late_interaction": f"""WITH {_STAGE_A}, {_rescored()}
         SELECT query_id, chunk_id, round(s_li, 6) AS s_li, round(fusion_score, 6) AS fusion_score,
           new_rank AS rank FROM rescored WHERE new_rank <= 50""",
-    "late_interaction_deep": f"""WITH {_STAGE_A}, {_rescored(200, 8)}
+    "late_interaction_deep": f"""WITH {_STAGE_A}, {_rescored(200)}
         SELECT query_id, chunk_id, round(s_li, 6) AS s_li, new_rank AS rank
         FROM rescored WHERE new_rank <= 50""",
     "li_evidence": f"""WITH {_STAGE_A}, {_rescored()}, listed AS (
@@ -474,3 +493,10 @@ ORACLES = {
             AS patient_uid_attached, total_chunks
         FROM queries q, total""",
 }
+
+# Searches through a kept index find what the searches by scan find.
+ORACLES |= {
+    "lexical_topk_indexed": ORACLES["lexical_topk_batch"],
+    "bm25_topk_indexed": ORACLES["bm25_topk_batch"],
+    "presence_topk_indexed": ORACLES["presence_topk"],
+}

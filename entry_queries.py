@@ -17,6 +17,7 @@ from kinseek.operators import (
     ranking,
     records,
     rerank,
+    word_index,
 )
 from kinseek.plans import cascade as retrieval
 from kinseek.plans.identity import resolve
@@ -245,6 +246,22 @@ def bm25_topk_batch(spark, folder):
     return _ranked(bm25.bm25_top_k(derived.chunks(spark, folder), queries))
 
 
+def lexical_topk_indexed(spark, folder):
+    """Through a kept index: words of the corpus matched once, segments skipped by bounds."""
+    index = word_index.build_index(derived.chunks(spark, folder))
+    return _ranked(word_index.search_index(index, derived.benchmark_queries(spark, folder), word_index.LEXICAL))
+
+
+def bm25_topk_indexed(spark, folder):
+    index = word_index.build_index(derived.chunks(spark, folder))
+    return _ranked(word_index.search_index(index, derived.benchmark_queries(spark, folder), word_index.BM25))
+
+
+def presence_topk_indexed(spark, folder):
+    index = word_index.build_index(derived.chunks(spark, folder))
+    return _ranked(word_index.search_index(index, derived.text_queries(spark), word_index.PRESENCE))
+
+
 def dense_cosine_topk(spark, folder):
     return _ranked(
         dense.cosine_top_k(
@@ -325,8 +342,8 @@ def late_interaction(spark, folder):
 
 
 def late_interaction_deep(spark, folder):
-    """All 200 candidates scored, only the first 8 words of each."""
-    return _rescored(spark, folder, depth=200, max_len=8).select(
+    """All 200 candidates scored, with all of their words."""
+    return _rescored(spark, folder, depth=200).select(
         "query_id", "chunk_id", _round("s_li"), "rank"
     )
 
@@ -435,6 +452,9 @@ QUERIES = {
     "lexical_topk_batch": lexical_topk_batch,
     "bm25_topk": bm25_topk,
     "bm25_topk_batch": bm25_topk_batch,
+    "lexical_topk_indexed": lexical_topk_indexed,
+    "bm25_topk_indexed": bm25_topk_indexed,
+    "presence_topk_indexed": presence_topk_indexed,
     "dense_cosine_topk": dense_cosine_topk,
     "dense_lsh_topk": dense_lsh_topk,
     "maxsim_rescore": maxsim_rescore,

@@ -1,4 +1,4 @@
-"""Vector search: exact cosine, locality-sensitive hashing, and MaxSim re-scoring."""
+"""Vector search: exact cosine, sign sketches with exact re-ranking, and MaxSim re-scoring."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +20,10 @@ from kinseek.runtime import stage
 
 BLOCK_VALUES = 16_000_000
 VECTOR_DIGITS = 6
+SKETCH_BITS = 1024
+OVERSAMPLE = 3  # candidates of a sketch search for each row wanted
+PLANE_MODULUS = 1_000_003
+PLANE_FACTORS = (48_271, 16_807)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -96,51 +98,139 @@ def cosine_top_k(
     )
 
 
-def _unit_vector(column: str = "vector"):
-    values = F.transform(column, lambda x: x.cast("double"))
-    norm = F.sqrt(dot(F.col(column), F.col(column)))
-    return array_to_vector(F.transform(values, lambda x: F.try_divide(x, norm)))
+def sign_planes(bits: int, width: int) -> np.ndarray:
+    """`bits` hyperplanes of whole numbers by a fixed rule, so that any engine can repeat them."""
+    n = np.arange(1, bits * width + 1, dtype=np.int64).reshape(bits, width)
+    cube = n * n % PLANE_MODULUS * n % PLANE_MODULUS
+    spread = (cube * PLANE_FACTORS[0] + n * PLANE_FACTORS[1]) % PLANE_MODULUS
+    return (spread - PLANE_MODULUS // 2).astype(np.float64)
+
+
+def _sketch(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """A row of 64-bit words per vector: on which side of each plane it lies."""
+    with np.errstate(invalid="ignore"):
+        bits = matrix @ planes.T > 0
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+def _directed(matrix: np.ndarray) -> np.ndarray:
+    """Which rows have a direction: only finite elements, and not all of them 0."""
+    return np.isfinite(matrix).all(1) & (np.nan_to_num(matrix) != 0).any(1)
+
+
+def sign_sketches(vectors: DataFrame, width: int, bits: int = SKETCH_BITS) -> DataFrame:
+    """`chunk_id, sketch`: one bit for each of `bits` hyperplanes, for vectors with a direction.
+
+    A kept table of sketches serves any number of searches; it holds `bits` / 8 bytes a vector.
+    """
+    if bits <= 0 or bits % 64:
+        raise ValueError("a sketch has a multiple of 64 bits")
+    kind = vectors.schema["chunk_id"].dataType.simpleString()
+
+    def run(batches):
+        planes = sign_planes(bits, width)
+        for batch in batches:
+            matrix = _matrix(batch.column("vector"), width)
+            kept = np.flatnonzero(_directed(matrix))
+            words = _sketch(matrix[kept], planes)
+            offsets = np.arange(len(kept) + 1, dtype=np.int32) * (bits // 8)
+            sketches = pa.Array.from_buffers(
+                pa.binary(), len(kept), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(words))]
+            )
+            ids = batch.column("chunk_id").take(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([ids, sketches], ["chunk_id", "sketch"])
+
+    present = vectors.where(F.col("vector").isNotNull()).select("chunk_id", "vector")
+    return present.mapInArrow(run, f"chunk_id {kind}, sketch binary")
+
+
+def _agreeing_bits(query_ids: np.ndarray, asked: np.ndarray, k: int):
+    """The `k` sketches of every query that agree with its own in most bits."""
+    size = 8 * asked.shape[1]
+
+    def run(batches):
+        best = BestRows(query_ids, k, positive=False)
+        step = rows_per_block(len(query_ids) * asked.shape[1])
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                column = part.column("sketch")
+                begin = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+                words = np.frombuffer(column.buffers()[2], np.uint64, part.num_rows * size // 8, int(begin))
+                other = words.reshape(part.num_rows, 1, -1) ^ asked
+                agree = 8 * size - np.bitwise_count(other).sum(2, dtype=np.int64)
+                best.add(part.select(["chunk_id"]), agree.astype(np.float64))
+        yield from best.batches(pa.float64(), {})
+
+    return run
+
+
+def sketch_top_k(sketches: DataFrame, query_vectors: DataFrame, k: int, bits: int = SKETCH_BITS) -> DataFrame:
+    """`query_id, chunk_id, score, rank`: the `k` sketches that agree in most bits; ties go by id."""
+    asked = stage(query_vectors.where(F.col("vector").isNotNull()).select("query_id", "vector"))
+    count, width = asked.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    kind = sketches.schema["chunk_id"].dataType.simpleString()
+    parts = max(1, ceil(count * max(width or 1, bits // 64) / BLOCK_VALUES), ceil(count / queries_per_block(k)))
+    found = []
+    for part in range(parts):
+        rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).collect()
+        matrix = np.array([[np.nan if x is None else x for x in r["vector"]] for r in rows], np.float64).reshape(len(rows), width or 1)
+        kept = np.flatnonzero(_directed(matrix))
+        if len(kept):
+            ids = np.array([r["query_id"] for r in rows], np.int64)[kept]
+            run = _agreeing_bits(ids, _sketch(matrix[kept], sign_planes(bits, width)), k)
+            found.append(sketches.mapInArrow(run, f"chunk_id {kind}, query_id long, score double"))
+    if not found:
+        found.append(sketches.where("false").selectExpr("chunk_id", "0L AS query_id", "0D AS score"))
+    order = [F.desc("score"), F.asc("chunk_id")]
+    return top_k(reduce(DataFrame.unionByName, found), ["query_id"], order, k, spread=SPREAD)
+
+
+def _pair_cosines(digits: int):
+    def run(batches):
+        for batch in batches:
+            width = max([len(v) for v in batch.column("asked").slice(0, 1).to_pylist()], default=0)
+            left, right = _unit(_matrix(batch.column("asked"), width)), _unit(_matrix(batch.column("vector"), width))
+            score = np.round(np.einsum("ij,ij->i", left, right), digits)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("query_id"), batch.column("chunk_id"), pa.array(score)], ["query_id", "chunk_id", "score"]
+            )
+
+    return run
 
 
 def lsh_top_k(
     vectors: DataFrame,
     query_vectors: DataFrame,
     k: int = K_A,
-    min_cosine: float = 0.0,
-    bucket_length: float = 0.5,
-    tables: int = 8,
-    seed: int = 42,
+    oversample: int = OVERSAMPLE,
+    bits: int = SKETCH_BITS,
     digits: int = VECTOR_DIGITS,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
-    """Approximate top `k` by cosine: only pairs that share a hash bucket are compared.
+    """Approximate top `k` by cosine: exact among the `oversample` * `k` nearest sign sketches.
+
+    The share of hyperplanes that separate two vectors grows with their angle, so sketches
+    that agree in many bits belong to near vectors. One scan of the sketches (128 bytes a
+    vector, whatever its length) keeps each task's best rows per query; only those
+    candidates' vectors are fetched and compared. No vector is shuffled to find them, and
+    no bucket can grow hot. `sketches` may be a kept table of `sign_sketches`.
 
-    On unit vectors the squared distance is 2 - 2 cos, so a distance threshold is a cosine
-    threshold. Vectors of length 0 have no direction and are left out.
+    A vector without a direction (null, no finite numbers, all 0) is neither found nor
+    a query. Ties of bits and of scores go by id; one id stands for one vector.
     """
-    unit = lambda df, key: df.where(
-        dot(F.col("vector"), F.col("vector")) > 0
-    ).select(key, _unit_vector().alias("unit"))
-    model = BucketedRandomProjectionLSH(
-        inputCol="unit",
-        outputCol="hashes",
-        bucketLength=bucket_length,
-        numHashTables=tables,
-        seed=seed,
-    ).fit(unit(vectors, "chunk_id"))
-    near = model.approxSimilarityJoin(
-        unit(vectors, "chunk_id"),
-        unit(query_vectors, "query_id"),
-        float(np.sqrt(2 - 2 * min_cosine)) + 1e-9,
-        distCol="distance",
-    )
-    scored = near.select(
-        F.col("datasetB.query_id").alias("query_id"),
-        F.col("datasetA.chunk_id").alias("chunk_id"),
-        F.round(1 - F.col("distance") * F.col("distance") / 2, digits).alias("score"),
-    )
-    return top_k(
-        scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k, spread=SPREAD
-    )
+    if oversample < 1:
+        raise ValueError("oversample must be at least 1")
+    asked = stage(query_vectors.where(F.col("vector").isNotNull()).select("query_id", F.col("vector").cast("array<double>").alias("vector")))
+    width = asked.agg(F.max(F.size("vector"))).first()[0] or 1
+    if sketches is None:
+        sketches = sign_sketches(vectors, width, bits)
+    near = stage(sketch_top_k(sketches, asked, k * oversample, bits).select("query_id", "chunk_id"))
+    fetched = vectors.select("chunk_id", F.col("vector").cast("array<double>").alias("vector")).join(small_or_plain(near), "chunk_id")
+    pairs = fetched.join(small_or_plain(asked.withColumnRenamed("vector", "asked")), "query_id").select("query_id", "chunk_id", "asked", "vector")
+    kind = vectors.schema["chunk_id"].dataType.simpleString()
+    scored = pairs.mapInArrow(_pair_cosines(digits), f"query_id long, chunk_id {kind}, score double")
+    return top_k(scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k, spread=SPREAD)
 
 
 def maxsim_rescore(

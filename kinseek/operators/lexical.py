@@ -60,14 +60,14 @@ def _inline_hits(chunks: DataFrame, block: Block, carry, sides) -> DataFrame:
             PRESENCE: sum(F.when(column[w] > 0, 1).otherwise(0) for w in words),
         }
         for side in sides:
-            hits.append(
-                F.struct(
-                    F.lit(query_id).cast("long").alias("query_id"),
-                    F.lit(side).alias("side"),
-                    amounts[side].cast("long").alias("hits"),
-                )
+            hit = F.struct(
+                F.lit(query_id).cast("long").alias("query_id"),
+                F.lit(side).alias("side"),
+                amounts[side].cast("long").alias("hits"),
             )
-    return counted.select("chunk_id", *carry, F.inline(F.array(*hits))).where("hits > 0")
+            hits.append(F.when(amounts[side] > 0, hit))
+    # Only what was found becomes a row, not each chunk with each query.
+    return counted.select("chunk_id", *carry, F.inline(F.array_compact(F.array(*hits))))
 
 
 def _matcher(block: Block, k: int, carry, sides):

@@ -43,11 +43,27 @@ class TermWeights:
     @classmethod
     def build(cls, entries: list[tuple[int, int, float]], n_terms: int, n_queries: int):
         """From (term, query, weight) entries; equal cells add up."""
-        term, query, weight = (np.array(column) for column in zip(*entries))
+        term, query, weight = (np.array(column) for column in zip(*entries)) if entries else (np.zeros(0, np.int64),) * 3
         order = np.argsort(term, kind="stable")
         starts = np.searchsorted(term[order], np.arange(n_terms + 1))
         return cls(starts, query[order].astype(np.int64), weight[order], n_queries)
 
+    def cells(self, rows, terms, values, alive=None, block: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, query and sum of values[i] * weight[terms[i], query], where there is any.
+
+        With `alive` (blocks of `block` rows x queries) only for the cells it allows.
+        """
+        at, counts = spread(self.starts, np.asarray(terms, dtype=np.int64))
+        row, query = np.repeat(np.asarray(rows, dtype=np.int64), counts), self.columns[at]
+        amounts = np.repeat(np.asarray(values, dtype=np.float64), counts) * self.weights[at]
+        if alive is not None:
+            keep = alive[row // block, query]
+            row, query, amounts = row[keep], query[keep], amounts[keep]
+        cells = row * self.n_queries + query
+        cells, place = np.unique(cells, return_inverse=True)
+        row, query = np.divmod(cells, max(1, self.n_queries))
+        return row, query, np.bincount(place, weights=amounts, minlength=len(cells)).astype(np.float64)
+
     def scores(self, rows, terms, values, n_rows: int) -> np.ndarray:
         """rows x queries sums of values[i] * weight[terms[i], query]."""
         at, counts = spread(self.starts, np.asarray(terms, dtype=np.int64))

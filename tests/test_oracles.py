@@ -8,7 +8,7 @@ from compare import oracle_connection, oracle_rows, spark_rows
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry_queries.QUERIES) - set(entry_oracles.ORACLES) == {"dense_lsh_topk"}
+    assert set(entry_queries.QUERIES) == set(entry_oracles.ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(entry_oracles.ORACLES))
@@ -22,7 +22,3 @@ def test_query_equals_oracle(spark, sf, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
-
-
-def test_approximate_search_returns_rows(spark, sf):
-    assert entry.queries()["dense_lsh_topk"](spark, sf).count() > 0

@@ -53,9 +53,56 @@ def test_missing_vectors_are_left_out(spark, case):
 
 def test_lsh_recall(case):
     v, q, *_ = case
-    exact, near = ranked(dense.cosine_top_k(v, q, 10)), ranked(dense.lsh_top_k(v, q, 10))
+    exact, near = ranked(dense.cosine_top_k(v, q, 10)), ranked(dense.lsh_top_k(v, q, 10, oversample=4))
     recall = np.mean([len(set(exact[i]) & set(near.get(i, []))) / 10 for i in exact])
     assert recall >= 0.9
+    everything = ranked(dense.lsh_top_k(v, q, 10, oversample=40))
+    assert everything == exact
+
+
+def test_lsh_recall_where_no_vector_is_near(spark):
+    """Directions without structure, the hardest case: 7.5 % of the pairs are compared."""
+    rng = np.random.default_rng(8)
+    frame = lambda m, key: spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(m)], f"{key} long, vector array<double>")
+    v, q = frame(rng.normal(size=(2000, 64)), "chunk_id"), frame(rng.normal(size=(8, 64)), "query_id")
+    exact, near = ranked(dense.cosine_top_k(v, q, 50)), ranked(dense.lsh_top_k(v, q, 50))
+    assert np.mean([len(set(exact[i]) & set(near[i])) / 50 for i in exact]) >= 0.9
+    assert dense.OVERSAMPLE * 50 < 0.1 * 2000
+
+
+def test_sketches_count_the_planes_between_vectors(case):
+    v, q, vectors, queries = case
+    planes = dense.sign_planes(128, 16)
+    side = lambda m: m.astype(np.float32).astype(float) @ planes.T > 0
+    agree = (side(queries)[:, None] == side(vectors)[None]).sum(2)
+    got = dense.sketch_top_k(dense.sign_sketches(v, 16, 128), q, 5, 128).collect()
+    assert len(got) == 25
+    for i, row in enumerate(agree):
+        want = sorted(range(len(row)), key=lambda j: (-row[j], j))[:5]
+        assert [(r["chunk_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == i] == [(j, row[j]) for j in want]
+
+
+def test_kept_sketches_and_query_blocks(case, monkeypatch):
+    v, q, *_ = case
+    whole = ranked(dense.lsh_top_k(v, q, 10))
+    assert ranked(dense.lsh_top_k(v, q, 10, sketches=dense.sign_sketches(v, 16).cache())) == whole
+    monkeypatch.setattr(dense, "BLOCK_VALUES", 32)
+    assert ranked(dense.lsh_top_k(v.repartition(3), q, 10)) == whole
+
+
+def test_sketches_of_odd_vectors(spark):
+    nan = float("nan")
+    made = [("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 0.0]), ("d", [nan, 1.0]), ("e", [None, 1.0]), ("f", [1.0, 0.1]), ("g", [1.0, 0.0])]
+    vectors = spark.createDataFrame(made, "chunk_id string, vector array<double>")
+    asked = spark.createDataFrame([(0, [2.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [nan, 1.0])], "query_id long, vector array<double>")
+    got = dense.lsh_top_k(vectors, asked, 9).orderBy("rank").collect()
+    assert [(r["query_id"], r["chunk_id"]) for r in got] == [(0, "a"), (0, "g"), (0, "f")]
+    assert dense.lsh_top_k(vectors.where("false"), asked, 9).collect() == []
+    assert dense.lsh_top_k(vectors, asked.where("false"), 9).collect() == []
+    with pytest.raises(ValueError, match="64"):
+        dense.sign_sketches(vectors, 2, 100)
+    with pytest.raises(Exception, match="must have 3 elements"):
+        dense.lsh_top_k(vectors, spark.createDataFrame([(0, [1.0, 0.0, 0.0])], "query_id long, vector array<double>"), 3).collect()
 
 
 def test_maxsim(spark):
