@@ -191,9 +191,11 @@ def attach_patients(
     """Add patient_uid from links keyed by chunk_id, or by note_uid where they have none.
 
     The results are few and materialised, so the link table is filtered by their keys
-    before anything else. Of several links with one key the last in `order` counts (the
-    largest patient uid where no order is given).
+    before anything else. Of several links with one key the last in `order` counts: that of
+    the last `line` where no order is given but the links have one, else the largest uid.
     """
+    if order is None and "line" in links.columns:
+        order = "line"
     key = "chunk_id" if "chunk_id" in links.columns else "note_uid"
     results = stage(results)
     keys = small_or_plain(results.select(key).distinct())

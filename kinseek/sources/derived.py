@@ -67,11 +67,13 @@ BARE_COLUMNS = {
     "raw_text": f"CASE WHEN doc_id % 5 = 1 THEN NULL ELSE {NOTE_COLUMNS['raw_text']} END",
 }
 
-# JSON lines: an array, a broken object, or a note whose unused field has another kind.
+# JSON lines: an array, a broken object, a note whose unused field has another kind, and notes
+# followed by something else.
 LINE_SQL = """CASE doc_id % 6 WHEN 0 THEN concat('[', doc_id, ']')
     WHEN 1 THEN concat('{"uid": "note_', doc_id, '"')
     ELSE concat('{"uid": "note_', doc_id, '", "mrn": ', doc_id, ', "demographics": {"dob": "19', doc_id, '"}',
-      CASE WHEN doc_id % 6 = 2 THEN ', "validation": "ok"' ELSE '' END, '}') END"""
+      CASE WHEN doc_id % 6 = 2 THEN ', "validation": "ok"' ELSE '' END, '}',
+      CASE doc_id % 20 WHEN 3 THEN ' trailing' WHEN 9 THEN ',{"uid": "next"}' WHEN 15 THEN '} {' WHEN 16 THEN '  ' ELSE '' END) END"""
 
 
 def note_lines(spark: SparkSession, folder: str) -> DataFrame:

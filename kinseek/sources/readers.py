@@ -8,20 +8,34 @@ from pyspark.sql.types import StructType
 
 from kinseek import schemas
 
+LINE = "struct<file: string, start: bigint, row: bigint>"
+
 
 def parse_notes(lines: DataFrame, column: str = "value") -> DataFrame:
     """`lines` with the fields of a note in place of `column`, and `parses`.
 
-    A line parses when it is a JSON object. A field of another kind than the schema's is
-    null; it does not cost the line.
+    A line parses when it is one JSON object and nothing else. A field of another kind than
+    the schema's is null; it does not cost the line.
     """
     note = F.from_json(column, schemas.NOTES, {"mode": "PERMISSIVE"})
-    fields = F.from_json(column, "map<string,string>", {"mode": "PERMISSIVE"})
     others = [c for c in lines.columns if c != column]
-    read = lines.select(*others, note.alias("_note"), fields.isNotNull().alias("parses"))
+    read = lines.select(*others, note.alias("_note"), _one_object(F.col(column)).alias("parses"))
+    read = read.withColumn("_note", F.when(F.col("parses"), F.col("_note")))
     return read.select(*others, "_note.*", "parses")
 
 
+def _one_object(line: Column) -> Column:
+    """Whether a line holds a single JSON object.
+
+    The parser stops after the first value, so the line is read as the only element of a
+    list and as the only value of an object: what follows the object breaks one or the other.
+    """
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<map<string,string>>", strict)
+    held = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "map<string,string>", strict)
+    return F.coalesce((F.size(listed) == 1) & F.get(listed, F.lit(0)).isNotNull() & held.isNotNull(), F.lit(False))
+
+
 def line_order() -> Column:
     """The place of a line: its file, its split of the file, its row in the split."""
     return F.struct(
@@ -107,22 +121,37 @@ def chunk_column(chunks: DataFrame, chunk_id: str, column: str = "text") -> str:
     return rows[0][0] or ""
 
 
-def read_chunk_links(spark: SparkSession, path: str | None) -> DataFrame:
-    """Chunk-to-patient links with both keys; no path gives an empty table."""
+def read_chunk_links(spark: SparkSession, path: str | None, with_order: bool = False) -> DataFrame:
+    """Chunk-to-patient links with both keys; no path gives an empty table.
+
+    `with_order` keeps `line`, the order of files and of lines in them, by which
+    `latest_links` and `attach_patients` take the last link of a chunk.
+    """
     if path is None:
-        return spark.createDataFrame([], schemas.CHUNK_LINKS)
+        links = spark.createDataFrame([], schemas.CHUNK_LINKS)
+        return links.withColumn("line", F.lit(None).cast(LINE)) if with_order else links
     links = spark.read.schema(schemas.CHUNK_LINKS).option("mode", "PERMISSIVE").json(path)
-    return complete_links(links)
+    return complete_links(links.select("*", line_order().alias("line")) if with_order else links)
 
 
 def complete_links(links: DataFrame) -> DataFrame:
     return links.where("chunk_id <> '' AND patient_uid <> ''")
 
 
-def latest_links(links: DataFrame, order: str, key: str = "chunk_id") -> DataFrame:
-    """One patient per key: the last in `order`."""
+def latest_links(links: DataFrame, order: str = "line", key: str = "chunk_id") -> DataFrame:
+    """One patient per key: the last in `order`, which is the order of lines unless given."""
     return links.groupBy(key).agg(F.max_by("patient_uid", order).alias("patient_uid"))
 
 
+def read_whole_report(spark: SparkSession, root: str, run_date: str, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
+    """The stored report of a run and all of its conflicts, however many there are.
+
+    The report's own row lists the first few; the run's conflict table has every one.
+    """
+    report = read_report(spark, f"{root}/identity/run_date={run_date}")
+    conflicts = spark.read.schema(schemas.CONFLICTS).format(fmt).load(f"{root}/conflicts/run_date={run_date}")
+    return report, conflicts
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.REPORT).option("multiLine", True).json(path)

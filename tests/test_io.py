@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from kinseek import schemas
 from kinseek.operators import checks
+from kinseek.operators.rerank import attach_patients
 from kinseek.plans.cascade import cascade
 from kinseek.plans.identity import resolve
-from kinseek.plans.report import report_summary
+from kinseek.plans.report import build_report, report_summary
 from kinseek.sources import readers, writers
 from samples import CHUNK_PATIENTS, NOTES, QUERY, chunk_rows
 
@@ -177,3 +178,38 @@ def test_complete_links_and_last_link(spark):
     got = readers.latest_links(readers.complete_links(links), "ord").collect()
     assert {tuple(r) for r in got} == {("a", "p2"), ("c", "p3")}
     assert CHUNK_PATIENTS["chunk_005"] == "patient_789"
+
+
+def test_lines_with_more_than_one_object_do_not_parse(spark):
+    good = ['{"uid":"a"}', ' {"uid":"b","n":{"x":[1,2]}} ', "{}", '{"uid":"c","uid":"d"}']
+    bad = ['{"uid":"t"} trailing', '{"a":1},{"b":2}', '{"a":1}] [{"b":2}', '{"a":1}} {', '{"v":1}, "w":{"a":2}', '{"a":1} {"b":2}', "[1]", "5", "null", '{"a":1', "{'a':1}", ""]
+    rows = readers.parse_notes(spark.createDataFrame([(x,) for x in good + bad], "value string").coalesce(1), "value").collect()
+    assert [r["parses"] for r in rows] == [True] * len(good) + [False] * len(bad)
+    assert [r["uid"] for r in rows[:2]] == ["a", "b"]
+
+
+def test_last_line_of_a_chunk_wins(spark, tmp_path):
+    lines = [("c1", "z"), ("c2", "p"), ("c1", "m"), ("c1", "a"), ("c1", ""), (None, "x")]
+    path = tmp_path / "links.jsonl"
+    path.write_text("".join(json.dumps({"chunk_id": c, "patient_uid": p}) + "\n" for c, p in lines) + "{broken\n")
+    links = readers.read_chunk_links(spark, str(path), with_order=True)
+    assert {r["chunk_id"]: r["patient_uid"] for r in readers.latest_links(links).collect()} == {"c1": "a", "c2": "p"}
+    results = spark.createDataFrame([("c1",), ("c3",)], "chunk_id string")
+    got = {r["chunk_id"]: r["patient_uid"] for r in attach_patients(results, links).collect()}
+    assert got == {"c1": "a", "c3": None}
+    assert readers.latest_links(readers.read_chunk_links(spark, None, with_order=True)).collect() == []
+
+
+def test_whole_report_has_all_conflicts(spark, tmp_path):
+    made = [("mrn_conflict", f"m{i:02}", None, f"P{i}", f"Q{i}", f"n{i}") for i in range(25)]
+    conflicts = spark.createDataFrame(made, schemas.CONFLICTS)
+    totals = "1L AS total_notes, 1L AS total_patients, 0D AS mrn_match_rate, 0D AS triplet_match_rate, 1D AS new_patient_rate"
+    counts = "0L AS mrn_match_count, 0L AS triplet_match_count, 1L AS new_patient_count"
+    report = build_report(spark.sql(f"SELECT {totals}, {counts}"), conflicts, "20240101", "t")
+    writers.write_conflicts(conflicts, str(tmp_path), "20240101")
+    writers.write_report(report, str(tmp_path), "20240101")
+    header, everything = readers.read_whole_report(spark, str(tmp_path), "20240101")
+    assert sorted(map(tuple, everything.collect())) == sorted(map(tuple, conflicts.collect()))
+    assert header.first()["summary"].conflict_count == 25
+    lines = {r["metric"]: r["value"] for r in report_summary(header).collect()}
+    assert lines["conflict_count"] == "25" and lines["more_conflicts"] == "15"
