@@ -20,6 +20,9 @@ separate pieces; an empty table gives no rows; extra columns do not matter; null
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 import sys
@@ -114,9 +117,17 @@ def _worker_words(path: str) -> _Words:
     return held[path]
 
 
+def _release() -> None:
+    """Gives back what earlier stages have left free in this Python worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _pieces(path: str, capacity: int, end: int, keep: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()
+        _release()
         words, tail = _worker_words(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
