@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -97,3 +98,77 @@ def test_terms_that_disclose(spark):
     assert clean[100].endswith("  <EMAIL>  <TERM>") and "Zanzibar" not in clean[100]
     assert all(clean[i] == text[i] for i in (*range(100), 110, 112))
     assert clean[111] == text[111].replace("10.0.0.1", "<IP>")
+
+
+def test_very_many_matches(spark):
+    rng = random.Random(1)
+    parts = [f"x{i}@mail.example é{' ' * rng.randint(0, 30)}" if i % 3 else f"10.0.{i % 256}.1 {'z' * rng.randint(1, 20)}" for i in range(100_000)]
+    docs = spark.createDataFrame([(1, "\U0001f600 ".join(parts)), (2, "none")], "doc_id long, text string")
+    got = check(docs)[1]
+    assert got.n_email + got.n_ip == 100_000
+    want = re.sub(r"x[0-9]+@mail\.example", "<EMAIL>", re.sub(r"10\.0\.[0-9]+\.1", "<IP>", docs.first().text))
+    assert sanitised(docs).where("doc_id = 1").first().text == want
+
+
+def overlapping(text, found):
+    out, at = "", 0
+    for start, _, end, kind in found:
+        if start >= at:
+            out += text[at:start] + f"<{kind.upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_overlapping_spans_and_clashing_names(spark):
+    rng = random.Random(4)
+    signs = ["@", ".", "+", " ", "1", "25", "a", "ab.c", "é", "\U0001f600", "4111 1111 1111 1111", "+4111111111111111", "1.2.3.4"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 2000))) for _ in range(120)]
+    rows = [(i, t, ["mine"], i, "s", t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, terms array<string>, gone long, _spans string, _text string")
+    clean = sanitised(docs, support=10**6)
+    assert clean.columns == docs.columns
+    for r in clean.collect():
+        text = texts[r.doc_id]
+        assert r.text == overlapping(text, base(text)) and (r.terms, r.gone, r["_spans"], r["_text"]) == (["mine"], r.doc_id, "s", text)
+
+
+def test_term_counts_by_brute_force(spark):
+    """Which terms disclose an entity, counted over different texts in plain Python."""
+    rng = random.Random(5)
+    texts = []
+    for i in range(150):
+        body = [rng.choice(["alpha", "beta", "gamma", "delta", "rare", "seldom", "Zeta"][: rng.randint(3, 7)]) for _ in range(12)]
+        if i % 4 == 0:
+            body.insert(3, f"u{i % 3}@corp.example")
+            body.insert(rng.randint(0, 9), f"Office{i % 3}" if rng.random() < 0.8 else "beta")
+        if i % 5 == 0:
+            body.append("10.0.0.7")
+        texts.append(" ".join(body))
+    texts += texts[:40]
+    distinct = set(texts)
+    terms = {t: {w.lower() for w in re.findall(r"[^\W\d_][^\W_]{2,}", t)} for t in distinct}
+    holds = {t: {(k, t[s:e].lower()) for s, _, e, k in base(t)} for t in distinct}
+    own = {}
+    for t in distinct:
+        masked = t
+        for s, _, e, _ in base(t):
+            masked = masked[:s] + " " * (e - s) + masked[e:]
+        own[t] = {w.lower() for w in re.findall(r"[^\W\d_][^\W_]{2,}", masked)}
+    n, want = len(distinct), {t: set() for t in distinct}
+    for e in set().union(*holds.values()):
+        having = [t for t in distinct if e in holds[t]]
+        known = math.log(n / len(having))
+        for w in set().union(*(own[t] for t in having)):
+            both = [t for t in having if w in own[t]]
+            if len(having) < 3 or len(both) < 3 or known <= 0:
+                continue
+            pmi = math.log(len(both) * n / (sum(w in terms[t] for t in distinct) * len(having)))
+            if pmi >= 0.3 * known - 1e-9:
+                for t in both:
+                    want[t].add(w)
+    assert any(want.values())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in find_personal_data(docs, share=0.3).collect():
+        text = texts[r.doc_id]
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term:")]
+        assert {text[int(a) : int(b)].lower() for _, a, b in spans} == want[text]
