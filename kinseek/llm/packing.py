@@ -31,6 +31,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -39,74 +40,111 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinseek.llm import graph
+from kinseek.llm.words import buffers, chunks, word_hashes, word_spans
 from kinseek.runtime import stage
 
 CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # choices looked at behind the first plan before the best plan so far is taken
-CACHED_WORDS, CACHED_BYTES = 250_000, 48
-TEXTS = 512  # texts whose words are looked up together
+CACHED_WORDS = 1_000_000  # in the table of a Python worker, at about 24 bytes each
+GROUP_BYTES = 4 << 20  # of texts whose words are looked up together
 
 
 MARKS = b".,;:!?"
-COMBINING = re.compile(rb"[\xcc\xcd]")
 ENDS = re.compile(rb"(?:[A-Za-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")  # in a letter or digit
+# Visible ASCII and the letters of Latin-1, which the tokenizer's normalizer only lower-cases.
+PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
+# Fixed value: what the tokenizer cuts such a word into before it looks for tokens.
+PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3.)+|[0-9]|[^a-z0-9\xc3]+", re.S)
 BREAK = "\x01"  # a token of its own between words that are coded together
 
 
-class _Words(dict):
-    """Ids of words as little-endian bytes; the tokenizer sees every distinct word once.
+class _Words:
+    """Ids of texts, by way of a table from the 64-bit hash of a word to its ids.
 
-    White space always ends a token of this tokenizer, so a text's ids are its words' ids.
-    Marks after a letter or digit are a token of their own. The tokenizer folds case itself,
-    but before combining marks it matters when, so texts with such marks are not folded here.
+    White space always ends a token of this tokenizer, and so does the end of a run of letters, of
+    a digit, or of a run of marks: a text's ids are those of its words, a plain word's ids
+    those of its parts. The tokenizer sees distinct parts, and words that are not plain or
+    name one of its special tokens. The table is three flat arrays; one that has grown past
+    `CACHED_WORDS` starts anew with the words of the last texts.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        named = [re.escape(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(named) or rb"(?!)")  # tokens that text can name
         self.break_id = self.encode(BREAK, add_special_tokens=False).ids
-
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [(t if COMBINING.search(t) else t.lower()).split() for t in texts]
-        fresh: set[bytes] = set()
-        for words in split:
-            fresh.update(words)
-        fresh = {w for w in fresh if w not in self}
-        self._learn(fresh)
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
-        full = len(self) > CACHED_WORDS  # common words came first, so they stay
-        for w in fresh:
-            if full or len(w) > CACHED_BYTES:
-                del self[w]
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        marked, plain = [], set()
+        self.hashes, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after the other, and where each row's begin (one more than rows)."""
+        found = []
+        for row, end in chunks(offsets):
+            base = offsets[row]
+            starts, ends, counts = word_spans(data[base : offsets[end]], offsets[row : end + 1] - base)
+            found.append((starts + base, ends + base, counts, word_hashes(data[base : offsets[end]], starts, fold=False)))
+        starts, ends, counts, hashed = (np.concatenate(c) for c in zip(*found))
+        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        self._learn(distinct, [data[starts[i] : ends[i]].tobytes() for i in first[~self._holds(distinct)]])
+        at = np.searchsorted(self.hashes, distinct)[which]
+        size = self.size[at].astype(np.int64)
+        past = np.concatenate([[0], np.cumsum(size)])
+        flat = self.flat[np.repeat(self.begin[at] - past[:-1], size) + np.arange(past[-1])]
+        if len(self.hashes) > CACHED_WORDS:
+            self._keep(np.searchsorted(self.hashes, distinct))
+        return flat, past[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _holds(self, distinct: np.ndarray) -> np.ndarray:
+        if len(self.hashes) == 0:
+            return np.zeros(len(distinct), bool)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return self.hashes[at] == distinct
+
+    def _keep(self, at: np.ndarray) -> None:
+        size = self.size[at].astype(np.int64)
+        begin = np.cumsum(size) - size
+        self.flat = self.flat[np.repeat(self.begin[at] - begin, size) + np.arange(size.sum())]
+        self.hashes, self.begin, self.size = self.hashes[at], begin, self.size[at]
+
+    def _learn(self, distinct: np.ndarray, fresh: list[bytes]) -> None:
+        if not fresh:
+            return
+        cut = []
         for w in fresh:
             core = w.rstrip(MARKS)
-            if len(core) < len(w) and ENDS.search(core):
-                marked.append((w, core))
-                plain.update((core, w[len(core) :]))
+            if self.special.search(w):
+                cut.append([w])
+            elif PLAIN.match(w):
+                cut.append(PARTS.findall(w.lower()))
+            elif len(core) < len(w) and ENDS.search(core):
+                cut.append([core, w[len(core) :]])
             else:
-                plain.add(w)
-        own = {w: self[w] for w in plain if w in self}
-        todo = [w for w in plain if w not in own]
+                cut.append([w])
+        todo, parts = list(set(chain.from_iterable(cut))), {}
         for at in range(0, len(todo), 1024):
-            part = todo[at : at + 1024]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            joined = f" {BREAK} ".join(texts)
-            ids = np.array(self.encode(joined, add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.break_id[0])
-            if len(self.break_id) == 1 and len(ends) == len(part) - 1:
-                coded = [c[1:].tobytes() if k else c.tobytes() for k, c in enumerate(np.split(ids, ends))]
-            else:  # a word holds the break itself
-                coded = [np.array(self.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-            own.update(zip(part, coded))
-        self.update((w, own[w]) for w in fresh if w in own)
-        self.update((w, own[core] + own[w[len(core) :]]) for w, core in marked)
+            parts.update(self._encoded(todo[at : at + 1024]))
+        coded = [b"".join(map(parts.__getitem__, own)) for own in cut]
+        size = np.array([len(c) // 4 for c in coded], np.int32)
+        begin = len(self.flat) + np.cumsum(size, dtype=np.int64) - size
+        hashes = np.concatenate([self.hashes, distinct[~self._holds(distinct)]])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.flat = hashes[order], np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<u4")])
+        self.begin, self.size = np.concatenate([self.begin, begin])[order], np.concatenate([self.size, size])[order]
+
+    def _encoded(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        texts = [w.decode("utf-8", "replace") for w in parts]
+        ids = np.array(self.encode(f" {BREAK} ".join(texts), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(ids == self.break_id[0])
+        if len(self.break_id) == 1 and len(ends) == len(parts) - 1:
+            coded = [c[1:].tobytes() if k else c.tobytes() for k, c in enumerate(np.split(ids, ends))]
+        else:  # a word holds the break itself
+            coded = [np.array(self.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        return zip(parts, coded)
 
 
 def _worker_words(path: str) -> _Words:
@@ -128,14 +166,14 @@ def _release() -> None:
 def _pieces(path: str, capacity: int, end: int, keep: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _release()
-        words, tail = _worker_words(path), np.array([end], "<u4").tobytes()
+        words, tail = _worker_words(path), np.array([end], np.uint32)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), TEXTS):
+            ids, (data, offsets) = batch.column("doc_id").to_pylist(), buffers(batch.column("text"))
+            for first, last in chunks(offsets, GROUP_BYTES):
                 rows = []
-                part = [t or b"" for t in texts.slice(at, TEXTS).to_pylist()]
-                for coded, doc in zip(words.ids(part), ids[at : at + TEXTS]):
-                    coded += tail
+                flat, begin = words.ids(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                for n, doc in enumerate(ids[first:last]):
+                    coded = np.concatenate([flat[begin[n] : begin[n + 1]], tail]).astype("<u4").tobytes()
                     for k, start in enumerate(range(0, len(coded), 4 * capacity)):
                         own = coded[start : start + 4 * capacity]
                         rows.append((doc, k, start // 4, len(own) // 4, zlib.crc32(own), own if keep else None))
@@ -403,13 +441,13 @@ def _intervals(patterns: list[Pattern]) -> tuple[np.ndarray, ...]:
     return tuple(np.array(c, np.int64) for c in zip(*rows)) if rows else tuple(np.zeros(0, np.int64) for _ in range(4))
 
 
-def _placer(intervals: tuple[np.ndarray, ...], before: dict[int, int]):
+def _placer(intervals: tuple[np.ndarray, ...], before: np.ndarray):
     key, sequence, uses, offset = intervals
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, row = batch.column("length").to_numpy(), batch.column("_row").to_numpy()
-            rank = row - np.array([before[n] for n in length.tolist()], np.int64)
+            rank = row - before[length]
             at = np.searchsorted(key, (length << 40) + rank, "right") - 1
             k = (length << 40) + rank - key[at]
             yield pa.RecordBatch.from_arrays(
@@ -429,10 +467,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     pieces = stage(token_pieces(docs, tokenizer, capacity, end))
     ordered = graph.with_totals_before(graph.in_order(pieces, ["length", "doc_id", "piece"]))
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, total = {}, 0
-    for length in sorted(histogram):
-        before[length] = total
-        total += histogram[length]
+    before = np.zeros(capacity + 1, np.int64)  # pieces that are shorter
+    for length, n in histogram.items():
+        before[length + 1 :] += n
     intervals = _intervals(plan_patterns(histogram, capacity, nodes))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return ordered.select("doc_id", "piece", "start", "length", "ids_crc32", "_row").mapInArrow(_placer(intervals, before), schema)

@@ -3,10 +3,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from conftest_llm import read, words
 from kinseek.llm.mixing import mix_sources, mixed_documents
+from kinseek.llm import packing
+from kinseek.llm.words import buffers
 from kinseek.llm.packing import pack_documents, plan_patterns, token_pieces
 from kinseek.llm.sharding import shard_documents, write_shards
 from tokenizers import Tokenizer
@@ -143,6 +146,20 @@ def test_ids_are_those_of_the_whole_text(spark, sf):
         assert np.frombuffer(got[doc], "<u4").tolist() == whole_text_ids(text), text[:60]
 
 
+def test_ids_of_random_texts(monkeypatch):
+    rng = random.Random(2)
+    signs = ["'s", "'S", "'re", "'", "a", "B", "Ve", "1", "22", ".", ",", "-", "é", "É", "e\u0301", "İ", "ß", " ", "\n", "\x1c", "\x85", "\U0001f600", "中", "½", "\x01", "<|endoftext|>", "ſ"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    for cached in (10**6, 50):
+        monkeypatch.setattr(packing, "CACHED_WORDS", cached)
+        words = packing._Words(TOKENIZER)
+        for at in range(0, len(texts), 500):
+            part = texts[at : at + 500]
+            ids, begin = words.ids(*buffers(pa.array([t.encode() for t in part], pa.binary())))
+            want = Tokenizer.from_file(TOKENIZER).encode_batch(part, add_special_tokens=False)
+            assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [w.ids for w in want]
+
+
 def check_packed(rows, capacity):
     used = defaultdict(list)
     for r in rows:
