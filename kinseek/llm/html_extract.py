@@ -7,8 +7,10 @@ or not, so a block's label depends on the rest of the page.
 
 There are no labelled pages. The model learns from a bounded sample of pages whose blocks
 are labelled by what their tags and classes are called, in several variants each: containers
-take other usual names, and sidebars, notices, forms and reader comments are put in. Pages are
-parsed and labelled in the tasks that read them; nothing is shuffled, and no page is cut.
+take other usual names, names that tell nothing, or none at all; the main part's paragraphs become
+lists, tables, quotes, captions and unnamed boxes; sidebars, notices, forms, link lists and reader
+comments are put in. Pages are parsed and labelled in the tasks that read them; only hashes are
+shuffled, to choose the sample, and no page is cut.
 
 Defined results: a null or empty page has empty text; so has a page without main text; a page
 that breaks off in a tag or reference keeps the text before it; repeated rows give repeated
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES, SAMPLE_CHARS = 300, 60_000  # pages that training looks at, and the longest of them
-PATH, WORDS, EXTRA = 96, 48, 8  # widths of the input vector's parts
+PATH, WORDS, EXTRA = 512, 48, 8  # widths of the input vector's parts
 INPUT = PATH + WORDS + EXTRA
-HIDDEN = 14
-EPOCHS, BATCH, RATE, SEED = 10, 25, 0.02, 3
+HIDDEN = 20
+EPOCHS, BATCH, RATE, SEED = 24, 25, 0.02, 3
 BATCH_BLOCKS = 20_000  # padded blocks labelled at once
 
 # Names of HTML elements.
@@ -292,30 +294,103 @@ def named_labels(page: list[Block]) -> list[int]:
     return [int(m) for m in main]
 
 
+def _unknown(random: np.random.Generator) -> str:
+    """A container whose name tells nothing."""
+    tag = ("div", "section", "div")[random.integers(3)]
+    if random.random() < 0.5:
+        return tag
+    words = random.integers(1, 4)
+    return ".".join([tag, *("".join(chr(97 + c) for c in random.integers(26, size=random.integers(2, 9))) for _ in range(words))])
+
+
+def _pieces(text: str, most: int, random: np.random.Generator) -> list[str]:
+    """`text` in pieces of 1 to `most` words."""
+    left, out = text.split(" "), []
+    while left:
+        size = int(random.integers(1, most + 1))
+        out.append(" ".join(left[:size]))
+        left = left[size:]
+    return out
+
+
+def _reshaped(b: Block, stem: tuple[str, ...], random: np.random.Generator) -> list[Block]:
+    """A paragraph of the main part as another kind of block, or as several."""
+
+    def cut(above: tuple[str, ...], names: tuple[str, ...], most: int) -> list[Block]:
+        linked = random.random() < 0.15
+        pieces = _pieces(b.text, most, random)
+        return [Block((*stem, *above, names[i % len(names)]), t, len(t) if linked else 0) for i, t in enumerate(pieces)]
+
+    def whole(*names: str) -> list[Block]:
+        return [Block((*stem, *names), b.text, b.linked)]
+
+    kind = random.integers(9)
+    if kind == 0:
+        return cut((("ul", "ol")[random.integers(2)],), ("li",), 25)
+    if kind == 1:
+        return cut(("table", "tbody", "tr")[: 3 if random.random() < 0.5 else 1] + ("tr",) * int(random.random() < 0.5), ("th", "td", "td", "td"), 4)
+    if kind == 2:
+        return whole("blockquote", "p") if random.random() < 0.5 else whole("blockquote")
+    if kind == 3:
+        return cut(("dl",), ("dt", "dd"), 10)
+    if kind == 4:
+        return whole("figure", "figcaption")
+    if kind == 5:
+        return cut((), (("h2", "h3")[random.integers(2)], "p", "p"), 30)
+    if kind == 6:
+        return whole(_unknown(random))
+    if kind == 7:
+        return whole(_unknown(random), "p")
+    return whole("pre")
+
+
 def _variant(page: list[Block], labels: list[int], others: list[Block], random: np.random.Generator) -> tuple[list[Block], list[int]]:
-    """The page with other names for its containers, and with parts that are not main text."""
+    """The page in another layout.
+
+    Containers take other names, names that tell nothing, or none; paragraphs of the main part
+    become lists, tables, quotes and the like; parts that are not main text are put in.
+    """
     swap: dict[str, str] = {}
+    nameless = random.random() < 0.2  # text, links and places must tell
 
     def renamed(name: str) -> str:
         if name not in swap:
             swap[name] = name
             group = next((g for g in OTHER_NAMES if name in g), None)
             if group:
-                swap[name] = group[random.integers(len(group))]
+                swap[name] = "div" if nameless else group[random.integers(len(group))]
             elif name in MAIN_NAMES:
-                swap[name] = MAIN_NAMES[random.integers(len(MAIN_NAMES))]
+                swap[name] = _unknown(random) if nameless or random.random() < 0.4 else MAIN_NAMES[random.integers(len(MAIN_NAMES))]
         return swap[name]
 
-    out = [(Block(tuple(renamed(n) for n in b.path), b.text, b.linked), k) for b, k in zip(page, labels)]
+    share = random.random() * random.integers(2)  # of the main part's paragraphs that are reshaped
+    wrap = tuple(_unknown(random) for _ in range(random.integers(3))) if random.random() < 0.4 else ()
+    out: list[tuple[Block, int]] = []
+    for b, k in zip(page, labels):
+        box = next((i for i, n in enumerate(b.path) if k and n in MAIN_NAMES), None)
+        if box is None:
+            out.append((Block(tuple(map(renamed, b.path)), b.text, b.linked), k))
+            continue
+        stem = (*map(renamed, b.path[: box + 1]), *wrap)
+        inner = b.path[box + 1 :]
+        if inner[:1] == ("p",) and random.random() < share:
+            out += [(piece, 1) for piece in _reshaped(b, stem, random)]
+        else:
+            out.append((Block((*stem, *inner), b.text, b.linked), k))
     inside = random.random() < 0.5
-    for group, most in ((OTHER_NAMES[2], 3), (OTHER_NAMES[3], 6)):
-        if random.random() < 0.6 and others:
+    for group, most in ((OTHER_NAMES[2], 3), (OTHER_NAMES[3], 6), (OTHER_NAMES[2], 5)):
+        if not nameless and random.random() < 0.5 and others:
             box = group[random.integers(len(group))]
             ends = [i for i, (_, k) in enumerate(out) if k]
             at = (ends[-1] + 1) if ends and (most == 6 or random.random() < 0.5) else int(random.integers(len(out) + 1))
-            stem = out[ends[-1]][0].path[:-1] if ends and inside else ("html", "body")
-            extra = [others[random.integers(len(others))] for _ in range(int(random.integers(1, most + 1)))]
-            out[at:at] = [(Block((*stem, box, "p"), b.text, 0), 0) for b in extra]
+            stem = out[ends[-1]][0].path[: 3 + len(wrap)] if ends and inside else ("html", "body")
+            extra = [others[random.integers(len(others))].text for _ in range(int(random.integers(1, most + 1)))]
+            if most == 5:  # a list of links
+                short = [" ".join(t.split(" ")[: random.integers(1, 9)]) for t in extra]
+                out[at:at] = [(Block((*stem, box, "ul", "li", "a"), t, len(t)), 0) for t in short]
+            else:
+                inner = (("p",), ("li",), ("div", "p"), ("div",), ())[random.integers(5)]
+                out[at:at] = [(Block((*stem, box, *inner), t, 0), 0) for t in extra]
     return [b for b, _ in out], [k for _, k in out]
 
 
@@ -333,7 +408,7 @@ def fit(pages: list[str]) -> list[np.ndarray]:
     labels = [named_labels(p) for p in parsed]
     if not parsed:
         return model
-    prose = [b for p, k in zip(parsed, labels) for b, one in zip(p, k) if one][:2000]
+    prose = [b for p, k in zip(parsed, labels) for b, one in zip(p, k) if one]
     m, v = [np.zeros_like(p) for p in model], [np.zeros_like(p) for p in model]
     # As many steps for few pages as for many: the cost of training is fixed.
     for step in range(1, EPOCHS * SAMPLE_PAGES // BATCH + 1):
@@ -393,13 +468,11 @@ def _extractor(model: list[np.ndarray]):
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """`page_id, url, text, n_chars` of every row of `pages` (page_id, url, html)."""
-    sample = (
-        pages.where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS))
-        .orderBy(F.xxhash64("page_id"), "page_id", "html")
-        .limit(SAMPLE_PAGES)
-        .select("html")
-        .collect()
+    fitting = pages.where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).select(
+        F.xxhash64("page_id", "html").alias("draw"), F.col("html").cast("string").alias("html")
     )
+    drawn = fitting.select("draw").distinct().orderBy("draw").limit(SAMPLE_PAGES)
+    sample = fitting.join(F.broadcast(drawn), "draw").groupBy("draw").agg(F.min("html").alias("html")).collect()
     model = fit(sorted(r.html for r in sample))
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return given.mapInArrow(_extractor(model), "page_id long, url string, text string, n_chars long")

@@ -39,17 +39,60 @@ def test_pages(spark, sf):
             assert got.replace(" ", "") == want.replace(" ", "")
 
 
-def test_other_layouts(spark, sf):
-    model = fit(sorted(r.html for r in read(spark, sf, "pages").collect()))
-    prose = "Erouor ingheea ntwhha tiing es theaea from thin erounonou, ingly theaedble nter and the rest of it."
-    page = (
-        f"<html><body><div class='navbar'><a href='/'>Home</a><a href='/x'>News</a></div><div class='cookie'>We use cookies.</div><main><h1>Title of it</h1>"
-        f"<p>{prose}</p><p>{prose}</p><p>{prose}</p></main><aside><p>Read this too</p></aside>"
-        f"<div class='comments'><p>Nice one.</p><p>I agree with it.</p></div><div class='footer'>Legal</div></body></html>"
-    )
-    blocks = blocks_of(page)
-    kept = [b.text for b, k in zip(blocks, label_blocks(model, [blocks])[0]) if k]
-    assert kept == ["Title of it", prose, prose, prose]
+PROSE = "Erouor ingheea ntwhha tiing es theaea from thin erounonou, ingly theaedble nter and the rest of it."
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/x'>News</a></li></ul></nav>"
+FOOT = "<footer>&copy; example.com, all rights</footer>"
+# Each with the blocks of its main text.
+LAYOUTS = {
+    "other names": (
+        f"<div class='navbar'><a href='/'>Home</a><a href='/x'>News</a></div><div class='cookie'>We use cookies.</div><main><h1>Title of it</h1><p>{PROSE}</p>"
+        f"<p>{PROSE}</p><p>{PROSE}</p></main><aside><p>Read this too</p></aside><div class='comments'><p>Nice one.</p><p>I agree with it.</p></div><div class='footer'>Legal</div>",
+        ["Title of it", PROSE, PROSE, PROSE],
+    ),
+    "no names": (
+        f"<div><ul><li><a href='/'>Home</a></li><li><a href='/x'>News</a></li></ul></div><div><h1>Title of it</h1><p>{PROSE}</p><p>{PROSE}</p></div><div>&copy; example.com, all rights</div>",
+        ["Title of it", PROSE, PROSE],
+    ),
+    "unknown name": (f"{MENU}<div class='wrap17'><h1>Title of it</h1><p>{PROSE}</p><p>{PROSE}</p></div>{FOOT}", ["Title of it", PROSE, PROSE]),
+    "lists": (
+        f"{MENU}<article><h1>Title of it</h1><p>{PROSE}</p><ul><li>Flour</li><li>Two eggs from the farm</li></ul><ol><li>Mix it well.</li><li>Bake</li></ol><p>{PROSE}</p></article>{FOOT}",
+        ["Title of it", PROSE, "Flour", "Two eggs from the farm", "Mix it well.", "Bake", PROSE],
+    ),
+    "tables": (
+        f"{MENU}<article><h1>Title of it</h1><p>{PROSE}</p><table><tr><th>Year</th><th>Sum</th></tr><tr><td>1990</td><td>12</td></tr></table><p>{PROSE}</p></article>{FOOT}",
+        ["Title of it", PROSE, "Year", "Sum", "1990", "12", PROSE],
+    ),
+    "quotes": (
+        f"{MENU}<article><h1>Title of it</h1><p>{PROSE}</p><blockquote><p>{PROSE}</p></blockquote><dl><dt>Term</dt><dd>Meaning of it</dd></dl>"
+        f"<figure><figcaption>A picture of it</figcaption></figure><h2>More</h2><p>{PROSE}</p></article>{FOOT}",
+        ["Title of it", PROSE, PROSE, "Term", "Meaning of it", "A picture of it", "More", PROSE],
+    ),
+    "comments inside": (
+        f"{MENU}<article><h1>Title of it</h1><p>{PROSE}</p><p>{PROSE}</p><div class='comments'><p>{PROSE}</p><p>I agree with it.</p></div></article>{FOOT}",
+        ["Title of it", PROSE, PROSE],
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def labeller(spark):
+    return fit(sorted(r.html for r in read(spark, "/root/testdata/sf0.01", "pages").collect()))
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_other_layouts(labeller, layout):
+    page, want = LAYOUTS[layout]
+    blocks = blocks_of(f"<html><body>{page}</body></html>")
+    assert [b.text for b, k in zip(blocks, label_blocks(labeller, [blocks])[0]) if k] == want
+
+
+def test_boxes_of_any_name(labeller):
+    page = LAYOUTS["unknown name"][0]
+    random = np.random.default_rng(1)
+    names = ["".join(chr(97 + c) for c in random.integers(26, size=random.integers(3, 10))) for _ in range(200)]
+    pages = [blocks_of(page.replace("wrap17", n)) for n in names]
+    kept = [[b.text for b, k in zip(p, keep) if k] for p, keep in zip(pages, label_blocks(labeller, pages))]
+    assert np.mean([k == LAYOUTS["unknown name"][1] for k in kept]) > 0.85
 
 
 def test_odd_pages(spark, sf):
