@@ -32,11 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES, SAMPLE_CHARS = 300, 60_000  # pages that training looks at, and the longest of them
-PATH, WORDS, EXTRA = 512, 48, 8  # widths of the input vector's parts
+PATH, WORDS, EXTRA = 256, 48, 8  # widths of the input vector's parts
 INPUT = PATH + WORDS + EXTRA
 HIDDEN = 20
 EPOCHS, BATCH, RATE, SEED = 24, 25, 0.02, 3
 BATCH_BLOCKS = 20_000  # padded blocks labelled at once
+STEP_BLOCKS = 4_000  # padded blocks of a training step
 
 # Names of HTML elements.
 BLOCK = frozenset(
@@ -235,12 +236,11 @@ def _reversed(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.take_along_axis(x, at[:, :, None], 1)
 
 
-def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
+def _run(inner: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, list]:
     """Hidden states (batch, step, HIDDEN) of one direction, and what its gradient needs."""
-    inner = x @ w + b
-    h = c = np.zeros((len(x), HIDDEN), x.dtype)
-    out, kept = np.empty((*x.shape[:2], HIDDEN), x.dtype), []
-    for t in range(x.shape[1]):
+    h = c = np.zeros((len(inner), HIDDEN), inner.dtype)
+    out, kept = np.empty((*inner.shape[:2], HIDDEN), inner.dtype), []
+    for t in range(inner.shape[1]):
         z = inner[:, t] + h @ u
         gate = _sigmoid(z[:, : 3 * HIDDEN])
         i, f, o = gate[:, :HIDDEN], gate[:, HIDDEN : 2 * HIDDEN], gate[:, 2 * HIDDEN :]
@@ -253,7 +253,8 @@ def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray) -> tuple[np
     return out, kept
 
 
-def _back(x: np.ndarray, u: np.ndarray, kept: list, dout: np.ndarray) -> tuple[np.ndarray, ...]:
+def _back(u: np.ndarray, kept: list, dout: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the gates' inputs and of `u`."""
     dh, dc = np.zeros_like(dout[:, 0]), np.zeros_like(dout[:, 0])
     dz = np.empty((*dout.shape[:2], 4 * HIDDEN), dout.dtype)
     du = np.zeros_like(u)
@@ -265,17 +266,16 @@ def _back(x: np.ndarray, u: np.ndarray, kept: list, dout: np.ndarray) -> tuple[n
         dz[:, t] = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], 1)
         du += h0.T @ dz[:, t]
         dh, dc = dz[:, t] @ u.T, dc * f
-    flat = dz.reshape(-1, 4 * HIDDEN)
-    return x.reshape(-1, x.shape[2]).T @ flat, du, flat.sum(0)
+    return dz, du
 
 
 def _logits(model: list[np.ndarray], x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list]:
+    """Logits (page, step) of pages whose blocks `x` holds one after another."""
     wf, uf, bf, wb, ub, bb, v, c = model
-    xr = _reversed(x, sizes)
-    hf, kf = _run(x, wf, uf, bf)
-    hb, kb = _run(xr, wb, ub, bb)
+    hf, kf = _run(_padded(x @ wf + bf, sizes), uf)
+    hb, kb = _run(_reversed(_padded(x @ wb + bb, sizes), sizes), ub)
     both = np.concatenate([hf, _reversed(hb, sizes)], 2)
-    return both @ v + c, [xr, kf, kb, both]
+    return both @ v + c, [kf, kb, both]
 
 
 def _padded(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -414,16 +414,18 @@ def fit(pages: list[str]) -> list[np.ndarray]:
     for step in range(1, EPOCHS * SAMPLE_PAGES // BATCH + 1):
         pick = random.integers(len(parsed), size=BATCH)
         batch = [_variant(parsed[i], labels[i], prose, random) if random.random() < 0.7 else (parsed[i], labels[i]) for i in pick]
+        batch = batch[: max(1, STEP_BLOCKS // max(len(b) for b, _ in batch))]
         sizes = np.array([len(b) for b, _ in batch])
-        x = _padded(_vectors([b for b, _ in batch]), sizes)
+        x = _vectors([b for b, _ in batch])
         y = _padded(np.array([k for _, ks in batch for k in ks], np.float32)[:, None], sizes)[:, :, 0]
-        mask = np.arange(x.shape[1]) < sizes[:, None]
-        z, (xr, kf, kb, both) = _logits(model, x, sizes)
+        mask = np.arange(y.shape[1]) < sizes[:, None]
+        z, (kf, kb, both) = _logits(model, x, sizes)
         d = ((_sigmoid(z) - y) * mask / mask.sum()).astype(np.float32)
         dboth = d[:, :, None] * model[6]
-        gf = _back(x, model[1], kf, dboth[:, :, :HIDDEN])
-        gb = _back(xr, model[4], kb, _reversed(dboth[:, :, HIDDEN:], sizes))
-        grads = [*gf, *gb, (both * d[:, :, None]).sum((0, 1)), d.sum(keepdims=True)[0]]
+        zf, uf = _back(model[1], kf, dboth[:, :, :HIDDEN])
+        zb, ub = _back(model[4], kb, _reversed(dboth[:, :, HIDDEN:], sizes))
+        zf, zb = zf[mask], _reversed(zb, sizes)[mask]
+        grads = [x.T @ zf, uf, zf.sum(0), x.T @ zb, ub, zb.sum(0), (both * d[:, :, None]).sum((0, 1)), d.sum(keepdims=True)[0]]
         rate = RATE * min(1, 3 * (1 - step / (EPOCHS * SAMPLE_PAGES // BATCH + 1)))
         for k, g in enumerate(grads):
             m[k] = 0.9 * m[k] + 0.1 * g
@@ -444,7 +446,7 @@ def label_blocks(model: list[np.ndarray], pages: list[list[Block]]) -> list[np.n
             end += 1
         pick = order[at:end]
         own = sizes[pick]
-        z, _ = _logits(model, _padded(_vectors([pages[i] for i in pick]), own), own)
+        z, _ = _logits(model, _vectors([pages[i] for i in pick]), own)
         for k, i in enumerate(pick):
             out[i] = z[k, : sizes[i]] > 0
         at = end
