@@ -19,7 +19,8 @@ sent on that joins what is joined already, so copies never become pairs.
 
 Defined results: a null or wordless text has an empty set and links with nothing; texts with
 fewer words than a shingle have one shingle; a null id keeps its row, with a null component
-of its own; repeated ids are one node; extra columns do not matter.
+of its own; repeated ids are one node, which has the links of all its texts (there, different texts
+are told apart by a 64-bit hash); extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -403,6 +404,24 @@ def jaccard_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     """
     limit = Threshold(size, num, den)
     texts = _texts(docs)
+    if texts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _text_groups(texts, limit, group_rows, block_shingles)
+    # Every text of an id is a node of its own, linked with the id's least node.
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit(b""))))
+    numbered = texts.withColumn("_id", F.col("doc_id")).withColumn("doc_id", node)
+    groups = stage(_text_groups(numbered.select("doc_id", "text"), limit, group_rows, block_shingles))
+    ids = stage(numbered.where("doc_id is not null").select("_id", F.col("doc_id").alias("node")).distinct())
+    same = ids.join(ids.groupBy("_id").agg(F.min("node").alias("b")), "_id").select(F.col("node").alias("a"), "b")
+    linked = groups.where("doc_id is not null").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    found = graph.components(same.union(linked).where("a <> b").distinct())
+    placed = stage(ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "_id"))
+    least = placed.groupBy("component").agg(F.min("_id").alias("component_id"))
+    named = placed.join(least, "component").select(F.col("node").alias("doc_id"), "_id", "component_id")
+    return groups.drop("component_id").join(named, "doc_id", "left").select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def _text_groups(texts: DataFrame, limit: Threshold, group_rows: int, block_shingles: int) -> DataFrame:
+    """The groups of `texts` (doc_id, text) in which rows of one id have equal texts."""
     profiled = stage(texts.mapInArrow(_profiler(limit), "doc_id long, n long, sig binary, hist binary, bucket int, seen long"))
     slim = profiled.where("bucket is null").select("doc_id", "n", "sig", "hist")
     seen = np.zeros(BUCKETS, np.int64)
@@ -431,8 +450,8 @@ def jaccard_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
         .select("rep", "n", "component", F.col("rep").alias("home"))
         .join(coarse.withColumnRenamed("node", "rep").join(sizes, "rep").groupBy("component").agg(F.sum("n").alias("_weight")), "component")
     )
-    links = stage(_linked(docs, _blocks(members.drop("n"), "_weight", "rep", block_shingles, pairs=False), limit))
-    links = _join_blocks(docs, members, links, limit, block_shingles)
+    links = stage(_linked(texts, _blocks(members.drop("n"), "_weight", "rep", block_shingles, pairs=False), limit))
+    links = _join_blocks(texts, members, links, limit, block_shingles)
     found = graph.components(links).select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     ids = named.select("doc_id", "rep").dropDuplicates(["doc_id"]).join(found, "rep", "left").select("doc_id", F.coalesce("component_id", "rep").alias("component_id"))
     return slim.join(ids, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

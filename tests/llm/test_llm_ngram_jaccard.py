@@ -85,6 +85,28 @@ def test_odd_rows(spark, odd_docs):
     assert [r.component_id for r in got if r.doc_id is None] == [None, None]
 
 
+def test_repeated_ids_with_different_texts(spark):
+    """An id has the links of all its texts, so it can join what its texts alone do not."""
+    rows = near_copies(12, 60)
+    rng = random.Random(2)
+    rows = [(rng.randrange(len(rows) // 2), text) for _, text in rows] + [(3, None), (3, ""), (3, rows[0][1]), (3, rows[0][1])]
+    up = {d: d for d, _ in rows}
+
+    def root(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    alone = brute(list(enumerate(t for _, t in rows)), 4, 85, 100)
+    for i, (_, j) in alone.items():
+        a, b = root(rows[i][0]), root(rows[j][0])
+        up[max(a, b)] = min(a, b)
+    want = sorted((d, alone[i][0], root(d)) for i, (d, _) in enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, jaccard_groups(docs, 4, 85, 100).collect())) == want
+    assert len({r.doc_id for r in one_of_each_group(docs, 4, 85, 100).collect()}) == len({r for _, _, r in want})
+
+
 def test_empty_table(no_docs):
     assert jaccard_groups(no_docs).collect() == []
     assert one_of_each_group(no_docs).collect() == []
