@@ -8,8 +8,8 @@ or not, so a block's label depends on the rest of the page.
 There are no labelled pages. The model learns from a bounded sample of pages whose blocks
 are labelled by what their tags and classes are called, in several variants each: containers
 take other usual names, names that tell nothing, or none at all; the main part's paragraphs become
-lists, tables, quotes, captions and unnamed boxes; sidebars, notices, forms, link lists and reader
-comments are put in. Pages are parsed and labelled in the tasks that read them; only hashes are
+lists, tables, quotes, captions and unnamed boxes; headings, menus and footers are left out; sidebars, notices,
+forms, link lists and reader comments are put in. Pages are parsed and labelled in the tasks that read them; only hashes are
 shuffled, to choose the sample, and no page is cut.
 
 Defined results: a null or empty page has empty text; so has a page without main text; a page
@@ -377,6 +377,13 @@ def _variant(page: list[Block], labels: list[int], others: list[Block], random:
             out += [(piece, 1) for piece in _reshaped(b, stem, random)]
         else:
             out.append((Block((*stem, *inner), b.text, b.linked), k))
+    first = next((i for i, (_, k) in enumerate(out) if k), 0)
+    if random.random() < 0.25:  # no heading
+        del out[first : first + 1]
+    if random.random() < 0.25:  # nothing before the main part
+        del out[:first]
+    if random.random() < 0.25:  # nothing after it
+        del out[max((i + 1 for i, (_, k) in enumerate(out) if k), default=0) :]
     inside = random.random() < 0.5
     for group, most in ((OTHER_NAMES[2], 3), (OTHER_NAMES[3], 6), (OTHER_NAMES[2], 5)):
         if not nameless and random.random() < 0.5 and others:
@@ -391,6 +398,10 @@ def _variant(page: list[Block], labels: list[int], others: list[Block], random:
             else:
                 inner = (("p",), ("li",), ("div", "p"), ("div",), ())[random.integers(5)]
                 out[at:at] = [(Block((*stem, box, *inner), t, 0), 0) for t in extra]
+    if not nameless and others and random.random() < 0.3:  # a header without links
+        words = others[random.integers(len(others))].text.split(" ")[: random.integers(1, 9)]
+        box = ("header", "div.header", "div.masthead")[random.integers(3)]
+        out.insert(0, (Block(("html", "body", box, *((), ("p",), ("h1",), ("div",))[random.integers(4)]), " ".join(words), 0), 0))
     return [b for b, _ in out], [k for _, k in out]
 
 
@@ -414,6 +425,7 @@ def fit(pages: list[str]) -> list[np.ndarray]:
     for step in range(1, EPOCHS * SAMPLE_PAGES // BATCH + 1):
         pick = random.integers(len(parsed), size=BATCH)
         batch = [_variant(parsed[i], labels[i], prose, random) if random.random() < 0.7 else (parsed[i], labels[i]) for i in pick]
+        batch = [(b, k) for b, k in batch if b] or [(parsed[0], labels[0])]
         batch = batch[: max(1, STEP_BLOCKS // max(len(b) for b, _ in batch))]
         sizes = np.array([len(b) for b, _ in batch])
         x = _vectors([b for b, _ in batch])
