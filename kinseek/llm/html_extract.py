@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES, SAMPLE_CHARS = 300, 60_000  # pages that training looks at, and the longest of them
-PATH, WORDS, EXTRA = 256, 48, 8  # widths of the input vector's parts
+PATH, WORDS, EXTRA = 1024, 48, 8  # widths of the input vector's parts
 INPUT = PATH + WORDS + EXTRA
 HIDDEN = 20
 EPOCHS, BATCH, RATE, SEED = 24, 25, 0.02, 3
-BATCH_BLOCKS = 20_000  # padded blocks labelled at once
+BATCH_BLOCKS = 10_000  # padded blocks labelled at once
 STEP_BLOCKS = 4_000  # padded blocks of a training step
 
 # Names of HTML elements.
