@@ -397,6 +397,10 @@ ORACLES = {
         SELECT chunk_id, patient_uid FROM chunks LEFT JOIN linked USING (note_uid)""",
     "link_conflicts": f"WITH RECURSIVE {LINKED}, {CONFLICTS} SELECT * FROM conflicts",
     "patient_conflict_sets": f"WITH RECURSIVE {LINKED}, {CONFLICTS} SELECT * FROM conflict_sets",
+    "patient_mrns": f"WITH RECURSIVE {LINKED} SELECT DISTINCT patient_uid, mrn FROM linked WHERE mrn <> ''",
+    "patient_conflict_pairs": f"""WITH RECURSIVE {LINKED}, {CONFLICTS}
+        SELECT patient_1 AS patient_uid, patient_2 AS other FROM conflicts
+        UNION SELECT patient_2, patient_1 FROM conflicts""",
     "report_summary": _REPORT,
     "link_schema_check": f"""WITH {NOTES} SELECT 'note_links' AS "table", note_uid AS key,
         'mrn' AS field, 'missing' AS problem FROM keyed WHERE mrn = ''""",
@@ -494,6 +498,12 @@ ORACLES = {
         FROM queries q, total""",
 }
 
+# The other name of the weighted sum, and isotonic calibration without labels, change no row.
+ORACLES |= {
+    "fused_ranked_logit": ORACLES["fused_candidates"],
+    "calibrated_without_labels": ORACLES["calibrated_minmax"],
+}
+
 # Searches through a kept index find what the searches by scan find.
 ORACLES |= {
     "lexical_topk_indexed": ORACLES["lexical_topk_batch"],

@@ -153,6 +153,14 @@ def patient_conflict_sets(spark, folder):
     )
 
 
+def patient_mrns(spark, folder):
+    return records.patient_mrns(_linked(spark, folder))
+
+
+def patient_conflict_pairs(spark, folder):
+    return records.patient_conflict_pairs(records.link_conflicts(_linked(spark, folder)))
+
+
 def report(spark, folder):
     run = resolve(
         derived.notes(spark, folder), ORDER, run_date="20240101", timestamp="2024-01-01T00:00:00"
@@ -312,6 +320,10 @@ def fused_rank_logit(spark, folder):
     return _flat_candidates(retrieval.candidates(*_inputs(spark, folder), method="rank_logit"))
 
 
+def fused_ranked_logit(spark, folder):
+    return _flat_candidates(retrieval.candidates(*_inputs(spark, folder), method="ranked_logit"))
+
+
 def fused_bm25_presence(spark, folder):
     """Two separate result lists, BM25 and term presence, merged by the outer join."""
     chunks, queries = _inputs(spark, folder)
@@ -369,7 +381,16 @@ def cross_scores(spark, folder):
 
 
 def calibrated_minmax(spark, folder):
-    return _judged(spark, folder).select(
+    return _flat_results(_judged(spark, folder))
+
+
+def calibrated_without_labels(spark, folder):
+    """Isotonic calibration with nothing to fit to: min-max."""
+    return _flat_results(_judged(spark, folder, calibration="isotonic"))
+
+
+def _flat_results(judged: DataFrame) -> DataFrame:
+    return judged.select(
         "query_id",
         "chunk_id",
         _round("raw_xenc_score"),
@@ -442,6 +463,8 @@ QUERIES = {
     "chunk_patients": chunk_patients,
     "link_conflicts": link_conflicts,
     "patient_conflict_sets": patient_conflict_sets,
+    "patient_mrns": patient_mrns,
+    "patient_conflict_pairs": patient_conflict_pairs,
     "report_summary": report,
     "link_schema_check": link_schema_check,
     "patient_schema_check": patient_schema_check,
@@ -460,6 +483,7 @@ QUERIES = {
     "maxsim_rescore": maxsim_rescore,
     "fused_candidates": fused_candidates,
     "fused_rank_logit": fused_rank_logit,
+    "fused_ranked_logit": fused_ranked_logit,
     "fused_bm25_presence": fused_bm25_presence,
     "normalized_scores": normalized_scores,
     "late_interaction": late_interaction,
@@ -467,6 +491,7 @@ QUERIES = {
     "li_evidence": li_evidence,
     "cross_scores": cross_scores,
     "calibrated_minmax": calibrated_minmax,
+    "calibrated_without_labels": calibrated_without_labels,
     "calibrated_isotonic": calibrated_isotonic,
     "calibrated_platt": calibrated_platt,
     "final_with_patient": final_with_patient,

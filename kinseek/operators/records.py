@@ -115,8 +115,18 @@ def link_conflicts(linked: DataFrame) -> DataFrame:
     )
 
 
-def patient_conflict_sets(conflicts: DataFrame) -> DataFrame:
-    """The other patients each patient is in conflict with."""
+def patient_mrns(linked: DataFrame, founder_only: bool = False) -> DataFrame:
+    """One row per patient and record number: the long form of `mrn_set`, without its bound.
+
+    Nothing but distinct pairs is grouped, so a patient's number of values has no limit.
+    """
+    members = patient_members(linked, founder_only)
+    return members.where("mrn <> ''").select("patient_uid", "mrn").distinct()
+
+
+def patient_conflict_pairs(conflicts: DataFrame) -> DataFrame:
+    """One row per patient and other patient in conflict with it: the long form of
+    `patient_conflict_sets`, which holds all others of one patient in one row."""
     both_ways = conflicts.select(
         F.explode(
             F.array(
@@ -125,8 +135,13 @@ def patient_conflict_sets(conflicts: DataFrame) -> DataFrame:
             )
         ).alias("p")
     ).select("p.*")
+    return both_ways.distinct()
+
+
+def patient_conflict_sets(conflicts: DataFrame) -> DataFrame:
+    """The other patients each patient is in conflict with."""
     return (
-        both_ways.distinct()
+        patient_conflict_pairs(conflicts)
         .groupBy("patient_uid")
         .agg(F.sort_array(F.collect_list("other")).alias("conflict_set"))
     )
