@@ -63,13 +63,24 @@ def shard_documents(docs: DataFrame, shards: int = 24, together: float = 0.01) -
 def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
     """Writes whole documents as Parquet, one folder `shard=K` for each shard, in slot order.
 
-    A shard is written by as many tasks as its rows' slots ask for, so none holds a shard.
+    A shard is written by as many tasks as its rows' slots ask for, so none holds a shard. Rows
+    with a null id are kept; columns of `docs` called shard and slot are written as given_shard
+    and given_slot.
     """
-    placed = shard_documents(docs, shards).select("doc_id", "shard", "slot").dropDuplicates(["doc_id"])
+    placed = shard_documents(docs, shards).groupBy("doc_id", "size", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("_place"))
+    data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`").alias(f"given_{c}" if c in ("shard", "slot") else c) for c in docs.columns]).alias("_all"),
+        F.col("doc_id").alias("_id"),
+        (F.length(data) + OVERHEAD).cast("long").alias("_size"),
+        F.crc32(data).alias("_crc"),
+    )
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_size") == F.col("size")) & (F.col("_crc") == F.col("text_crc32"))
     (
-        docs.join(placed, "doc_id")
-        .repartitionByRange("shard", "slot")
-        .sortWithinPartitions("shard", "slot")
+        given.join(placed, same)
+        .repartitionByRange("_place")
+        .sortWithinPartitions("_place")
+        .select("_all.*", "_place.shard", "_place.slot")
         .write.partitionBy("shard")
         .parquet(path)
     )

@@ -70,6 +70,14 @@ def test_written_shards(spark, sf, tmp_path):
     assert {r.doc_id: r.shard for r in back.collect()} == want
 
 
+def test_written_shards_of_odd_rows(spark, odd_docs, tmp_path):
+    docs = odd_docs.selectExpr("*", "'s' as shard", "'t' as slot", "1 as size", "2 as _all")
+    write_shards(docs, str(tmp_path / "out"), 5)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == sorted([*odd_docs.columns, "given_shard", "given_slot", "size", "_all", "shard", "slot"])
+    assert Counter((r.doc_id, r.text, r.given_shard, r.given_slot) for r in back.collect()) == Counter((r.doc_id, r.text, "s", "t") for r in odd_docs.collect())
+
+
 def targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
     """Fills sources by weight, fixing those that reach their cap."""
     names = sorted((n for n in sizes if n is not None)) + ([None] if None in sizes else [])
