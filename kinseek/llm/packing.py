@@ -27,11 +27,12 @@ import os
 import re
 import sys
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 from types import ModuleType
 
 import numpy as np
@@ -47,37 +48,64 @@ CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # choices looked at behind the first plan before the best plan so far is taken
 CACHED_WORDS = 1_000_000  # in the table of a Python worker, at about 24 bytes each
-GROUP_BYTES = 4 << 20  # of texts whose words are looked up together
+GROUP_BYTES = 1 << 20  # of texts whose words are looked up together
 
 
 MARKS = b".,;:!?"
 ENDS = re.compile(rb"(?:[A-Za-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")  # in a letter or digit
-# Visible ASCII and the letters of Latin-1, which the tokenizer's normalizer only lower-cases.
-PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
-# Fixed value: what the tokenizer cuts such a word into before it looks for tokens.
-PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3.)+|[0-9]|[^a-z0-9\xc3]+", re.S)
+# Fixed value: what the tokenizer cuts a lower-cased plain word into before it looks for tokens; and spaces.
+PARTS = re.compile(rb"\x20|'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3.)+|[0-9]|[^a-z0-9\xc3\x20]+", re.S)
+LETTERS = "".join(map(chr, range(0xC0, 0x100)))  # of Latin-1: two bytes each, the first one 0xC3
 BREAK = "\x01"  # a token of its own between words that are coded together
 
 
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words one after the other, a space behind each, and where each begins."""
+    size = ends - starts
+    begin = np.cumsum(size + 1) - size - 1
+    out = np.full(int(size.sum()) + len(size), 0x20, np.uint8)
+    to = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+    out[to] = data[to + np.repeat(starts - begin, size)]
+    return out, begin
+
+
+def _lowered(words: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Joined words in lower case, and which of them are plain.
+
+    Plain are visible ASCII and the letters of Latin-1, which the tokenizer's normalizer only lower-cases.
+    """
+    lead = words == 0xC3
+    second = np.zeros(len(words), bool)  # of a letter of two bytes
+    second[1:] = lead[:-1] & (words[1:] >= 0x80) & (words[1:] <= 0xBF) & (words[1:] != 0x97) & (words[1:] != 0xB7)
+    good = (words >= 0x20) & (words <= 0x7E) | second
+    good[:-1] |= lead[:-1] & second[1:]
+    low = words.copy()
+    low[(words >= ord("A")) & (words <= ord("Z")) | second & (words <= 0x9E)] += 0x20
+    return low, np.logical_and.reduceat(good, begin)
+
+
 class _Words:
     """Ids of texts, by way of a table from the 64-bit hash of a word to its ids.
 
     White space always ends a token of this tokenizer, and so does the end of a run of letters, of
     a digit, or of a run of marks: a text's ids are those of its words, a plain word's ids
-    those of its parts. The tokenizer sees distinct parts, and words that are not plain or
-    name one of its special tokens. The table is three flat arrays; one that has grown past
+    those of its parts, which stand in the table like words. The tokenizer's model sees parts
+    that are not there yet; the whole tokenizer sees words that are not plain or name one of
+    its special tokens. The table is three flat arrays; one that has grown past
     `CACHED_WORDS` starts anew with the words of the last texts.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(path)
-        self.encode = tokenizer.encode
+        self.encode, self.model = tokenizer.encode, tokenizer.model
         named = [re.escape(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(named) or rb"(?!)")  # tokens that text can name
         self.break_id = self.encode(BREAK, add_special_tokens=False).ids
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(LETTERS)[0][0]
+        self.spelling = {0x80 + k: c for k, c in enumerate(spelled[1::2])} | {0xC3: spelled[0]}
         self.hashes, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -90,15 +118,20 @@ class _Words:
             found.append((starts + base, ends + base, counts, word_hashes(data[base : offsets[end]], starts, fold=False)))
         starts, ends, counts, hashed = (np.concatenate(c) for c in zip(*found))
         distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
-        self._learn(distinct, [data[starts[i] : ends[i]].tobytes() for i in first[~self._holds(distinct)]])
-        at = np.searchsorted(self.hashes, distinct)[which]
-        size = self.size[at].astype(np.int64)
-        past = np.concatenate([[0], np.cumsum(size)])
-        flat = self.flat[np.repeat(self.begin[at] - past[:-1], size) + np.arange(past[-1])]
+        fresh = ~self._holds(distinct)
+        if fresh.any():
+            self._learn(distinct[fresh], *_joined(data, starts[first[fresh]], ends[first[fresh]]))
+        flat, past = self._flat(np.searchsorted(self.hashes, distinct)[which])
         if len(self.hashes) > CACHED_WORDS:
             self._keep(np.searchsorted(self.hashes, distinct))
         return flat, past[np.concatenate([[0], np.cumsum(counts)])]
 
+    def _flat(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these places of the table, and where each word's begin (one more)."""
+        size = self.size[at].astype(np.int64)
+        past = np.concatenate([[0], np.cumsum(size)])
+        return self.flat[np.repeat(self.begin[at] - past[:-1], size) + np.arange(past[-1])], past
+
     def _holds(self, distinct: np.ndarray) -> np.ndarray:
         if len(self.hashes) == 0:
             return np.zeros(len(distinct), bool)
@@ -106,22 +139,60 @@ class _Words:
         return self.hashes[at] == distinct
 
     def _keep(self, at: np.ndarray) -> None:
-        size = self.size[at].astype(np.int64)
-        begin = np.cumsum(size) - size
-        self.flat = self.flat[np.repeat(self.begin[at] - begin, size) + np.arange(size.sum())]
-        self.hashes, self.begin, self.size = self.hashes[at], begin, self.size[at]
+        self.flat, past = self._flat(at)
+        self.hashes, self.begin, self.size = self.hashes[at], past[:-1], self.size[at]
 
-    def _learn(self, distinct: np.ndarray, fresh: list[bytes]) -> None:
-        if not fresh:
+    def _add(self, hashes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        """Takes in words by their hashes, with the ids of all of them and how many each has."""
+        order = np.argsort(hashes, kind="stable")
+        begin = len(self.flat) + np.cumsum(size, dtype=np.int64) - size
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.begin, self.size = np.insert(self.begin, at, begin[order]), np.insert(self.size, at, size[order])
+        self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
+
+    def _learn(self, hashes: np.ndarray, words: np.ndarray, begin: np.ndarray) -> None:
+        """Takes in words, joined, that the table does not hold."""
+        low, plain = _lowered(words, begin)
+        named = [m.start() for m in self.special.finditer(words.tobytes())]
+        plain[np.searchsorted(begin, named, "right") - 1] = False
+        end = np.append(begin[1:], len(words)) - 1
+        if not plain.all():
+            self._add(hashes[~plain], *self._whole([words[i:k].tobytes() for i, k in zip(begin[~plain], end[~plain])]))
+        number = {b" ": 0}
+        cut = PARTS.findall(_joined(low, begin[plain], end[plain])[0].tobytes())
+        which = np.fromiter((number.setdefault(p, len(number)) for p in cut), np.int64, len(cut))
+        del number[b" "], cut
+        if not number:
             return
+        parts = b" ".join(number)
+        starts = np.cumsum([0, *(len(p) + 1 for p in number)])[:-1]
+        hashed = word_hashes(np.frombuffer(parts, np.uint8), starts, fold=False)
+        fresh = ~self._holds(hashed)
+        if fresh.any():
+            self._add(hashed[fresh], *self._modelled(list(compress(number, fresh))))
+        flat, past = self._flat(np.searchsorted(self.hashes, hashed)[which[which > 0] - 1])
+        ends = np.flatnonzero(which == 0)
+        past = past[np.append(0, ends - np.arange(len(ends)))]  # where each word's ids begin
+        size = np.diff(past).astype(np.int32)
+        new = ~self._holds(hashes[plain])  # others are parts that came in just now
+        self._add(hashes[plain][new], flat[np.repeat(new, size)], size[new])
+
+    def _modelled(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of plain words, all in lower case, and the number of each one's."""
+        tokens, spelling = self.model.tokenize, self.spelling
+        ids, ends = array("I"), []
+        for p in parts:
+            ids.extend([t.id for t in tokens(p.decode("latin-1").translate(spelling))])
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(ends, prepend=0).astype(np.int32)
+
+    def _whole(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words by the whole tokenizer, and the number of each one's."""
         cut = []
-        for w in fresh:
+        for w in words:
             core = w.rstrip(MARKS)
-            if self.special.search(w):
-                cut.append([w])
-            elif PLAIN.match(w):
-                cut.append(PARTS.findall(w.lower()))
-            elif len(core) < len(w) and ENDS.search(core):
+            if not self.special.search(w) and len(core) < len(w) and ENDS.search(core):
                 cut.append([core, w[len(core) :]])
             else:
                 cut.append([w])
@@ -129,12 +200,7 @@ class _Words:
         for at in range(0, len(todo), 1024):
             parts.update(self._encoded(todo[at : at + 1024]))
         coded = [b"".join(map(parts.__getitem__, own)) for own in cut]
-        size = np.array([len(c) // 4 for c in coded], np.int32)
-        begin = len(self.flat) + np.cumsum(size, dtype=np.int64) - size
-        hashes = np.concatenate([self.hashes, distinct[~self._holds(distinct)]])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.flat = hashes[order], np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<u4")])
-        self.begin, self.size = np.concatenate([self.begin, begin])[order], np.concatenate([self.size, size])[order]
+        return np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], np.int32)
 
     def _encoded(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         texts = [w.decode("utf-8", "replace") for w in parts]
@@ -156,7 +222,7 @@ def _worker_words(path: str) -> _Words:
 
 
 def _release() -> None:
-    """Gives back what earlier stages have left free in this Python worker."""
+    """Gives back what earlier stages and batches have left free in this Python worker."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library can
@@ -182,6 +248,7 @@ def _pieces(path: str, capacity: int, end: int, keep: bool):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(types)]
                 )
+            _release()
 
     return cut
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -168,6 +169,42 @@ def test_ids_of_random_texts(monkeypatch):
             assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [w.ids for w in want]
 
 
+class _Counted:
+    def __init__(self, model):
+        self.model, self.seen = model, []
+
+    def tokenize(self, part):
+        self.seen.append(part)
+        return self.model.tokenize(part)
+
+
+def test_parts_that_words_share_are_coded_once():
+    words = packing._Words(TOKENIZER)
+    words.model = _Counted(words.model)
+    for text in ("\u00c9tude, Alpha's beta", "alpha. (BETA) \u00e9tude \u00c9TUDE's", "alpha 'beta'"):
+        ids, _ = words.ids(*buffers(pa.array([text.encode()], pa.binary())))
+        assert ids.tolist() == whole_text_ids(text)[:-1]
+    # The model is given bytes as letters, of which the tokenizer's have two for each of \u00e9.
+    assert len(words.model.seen) == len(set(words.model.seen)) == 9
+    assert {"alpha", "beta", "'s", ",", ".", "(", ")", "'"} >= {p for p in words.model.seen if "tude" not in p}
+
+
+def test_new_words_take_little_memory():
+    """Peak memory of Python and NumPy over a batch in which every word is new."""
+    texts = [" ".join(f"w{chr(97 + n % 26)}x{n * 64 + k:x}" for k in range(64)) for n in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array([t.encode() for t in texts], pa.binary())], ["doc_id", "text"])
+    size = batch.column("text").nbytes
+    for _ in packing._pieces(TOKENIZER, 64, 1, False)(iter([batch.slice(0, 1)])):
+        pass  # loads the tokenizer
+    tracemalloc.start()
+    try:
+        for _ in packing._pieces(TOKENIZER, 64, 1, False)(iter([batch])):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 36 * size
+    finally:
+        tracemalloc.stop()
+
+
 def check_packed(rows, capacity):
     used = defaultdict(list)
     for r in rows:
