@@ -1,8 +1,8 @@
 """A kept inverted index of chunks, in segments, and searches that skip segments by score bounds.
 
 A segment is some thousand chunks of one scan task. For each of its words a posting row holds
-the chunks (by place in the segment), how often each has the word, and the chunks' lengths,
-next to bounds: how many chunks, and the shortest chunk for each count. Rows lie in their files
+the chunks (by place in the segment) and how often each has the word, next to bounds: how many
+chunks, and the shortest chunk for each count. Lengths of chunks stand in the segment's own row. Rows lie in their files
 in the order of words, so that a search reads the words it asks for. Building shuffles
 nothing, a frequent word has a row in every segment and so is spread over all tasks, and
 there is no row per chunk.
@@ -11,7 +11,9 @@ A search first reads the bounds only and adds them up to the best score that eac
 reach in each segment. The segments of the best bounds that surely hold `k` chunks are scored
 first; the k-th score found is a floor, and segments that cannot reach it are left out. In
 those that can, so are the blocks of `BLOCK_ROWS` chunks whose terms' greatest values do not
-add up to it. What is left is scored too, so results are exact.
+add up to it. What is left is scored too, so results are exact. A task lets through only what is
+among the `k` best of a query that it has seen so far, so that the rows it hands on grow with the
+logarithm of its segments, also where scores tie.
 
 Words are matched to query terms once for the whole corpus, through its distinct words: a term
 is a word (BM25) or any part of one (lexical and presence scores).
@@ -115,7 +117,7 @@ def _segment(part: pa.RecordBatch, number: int, carry: Sequence[str]) -> list[pa
         pa.concat_arrays([coded.dictionary.take(pa.array(code[heads])).cast(pa.string()), pa.nulls(1, pa.string())]),
         with_null(_lists(row, heads)),
         with_null(_lists(counts, heads)),
-        pa.concat_arrays([_lists(lengths[row], heads), _lists(lengths, np.zeros(1, np.int64))]),
+        pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), _lists(lengths, np.zeros(1, np.int64))]),
         with_null(_lists(counts[peak], peak_heads)),
         with_null(_lists(lengths[row][peak], peak_heads)),
         *[end(part.column(c).cast(pa.string())) for c in ("chunk_id", *carry)],
@@ -249,9 +251,44 @@ def _best_cells(row, query, score, ids: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
+class _BestSoFar:
+    """Each query's `k` best cells by score and id, among those that a task has seen."""
+
+    def __init__(self, n_queries: int, k: int) -> None:
+        self.k = k
+        self.query, self.score, self.ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, "U1")
+        self.floor = np.full(n_queries, -np.inf)  # the k-th score, once there are k
+        self.last = np.full(n_queries, "", object)  # and its id
+
+    def new(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Places of the cells that can be among the best; they count from now on."""
+        # Nulls sort first, as empty ids do; what ties with the last one is let through.
+        ids = np.array(["" if i is None else i for i in ids], str) if len(ids) else np.zeros(0, "U1")
+        floor = self.floor[query]
+        found = np.flatnonzero((score > floor) | (score == floor) & (ids.astype(object) <= self.last[query]))
+        if len(found):
+            columns = zip((self.query, self.score, self.ids), (query[found], score[found], ids[found]))
+            query, score, ids = (np.concatenate(c) for c in columns)
+            order = np.lexsort((ids, -score, query))
+            place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+            kept = order[place < self.k]
+            self.query, self.score, self.ids = query[kept], score[kept], ids[kept]
+            full = order[place == self.k - 1]
+            self.floor[query[full]], self.last[query[full]] = score[full], ids[full]
+        return found
+
+
 def _scorer(weights: TermWeights, n_terms: int, query_ids: np.ndarray, scoring: Scoring, k: int, carry):
     names = ["query_id", "chunk_id", *carry, "score"]
     place_of = np.argsort(query_ids, kind="stable")
+    held: dict = {}  # of the task that runs
+
+    def best_so_far() -> _BestSoFar:
+        attempt = TaskContext.get().taskAttemptId()
+        if attempt not in held:
+            held.clear()
+            held[attempt] = _BestSoFar(len(query_ids), k)
+        return held[attempt]
 
     def run(postings: pa.Table, segment: pa.Table) -> pa.Table:
         none = pa.table([pa.array([], pa.int64()), *[pa.array([], pa.string()) for _ in names[1:-1]], pa.array([], pa.float64())], names)
@@ -260,7 +297,8 @@ def _scorer(weights: TermWeights, n_terms: int, query_ids: np.ndarray, scoring:
         length = _flat(segment.column("lengths"))[0].astype(np.float64)
         asked = place_of[np.searchsorted(query_ids, _flat(segment.column("queries"))[0], sorter=place_of)]
         floor = np.full(len(query_ids), np.inf)  # queries that do not look at this segment
-        floor[asked] = _flat(segment.column("floors"))[0]
+        seen = best_so_far()
+        floor[asked] = np.maximum(_flat(segment.column("floors"))[0], seen.floor[asked])
         rows, starts = _flat(postings.column("rows"))
         counts, _ = _flat(postings.column("counts"))
         terms, heads = _flat(postings.column("terms"))
@@ -278,6 +316,7 @@ def _scorer(weights: TermWeights, n_terms: int, query_ids: np.ndarray, scoring:
         row, query, score = row[keep], query[keep], score[keep]
         ids = np.asarray(_flat(segment.column("ids"))[0], object)
         best = _best_cells(row, query, score, ids, k)
+        best = best[seen.new(query[best], score[best], ids[row[best]])]
         texts = [pa.array(np.asarray(_flat(segment.column(c))[0], object)[row[best]], pa.string()) for c in ("ids", *carry)]
         return pa.table([pa.array(query_ids[query[best]], pa.int64()), *texts, pa.array(score[best], pa.float64())], names)
 

@@ -72,6 +72,28 @@ def test_blocks_that_cannot_reach_the_floor_are_left_out():
     assert alive.tolist() == [[True, False], [True, False], [False, True]]
 
 
+@pytest.mark.parametrize("kind", [BM25, LEXICAL, PRESENCE])
+def test_a_task_hands_on_only_what_is_best_so_far(spark, kind):
+    """All chunks tie: 50 segments of which each has `k` chunks that reach the floor."""
+    made = [(f"c{(i * 7) % 1000:04}", "hay straw", "s", "n", i, "f") for i in range(1000)]
+    chunks, queries = spark.createDataFrame(made, schemas.CHUNKS).coalesce(1), ask(spark, "hay")
+    index = build_index(chunks, segment_rows=20)
+    handed, _ = word_index._block_top_k(index, [(0, ["hay"])], kind, 5, 0.9, 0.4)
+    assert handed.count() < 150  # 250 if each segment hands on its own best
+    assert rows(search_index(index, queries, kind, 5)) == rows(SEARCH[kind](chunks, queries, 5))
+
+
+def test_best_so_far():
+    best = word_index._BestSoFar(2, 2)
+    ids = np.array(["c", "a", None, "b"], object)
+    assert best.new(np.array([0, 0, 1, 0]), np.array([1.0, 2.0, 1.0, 1.0]), ids).tolist() == [0, 1, 2, 3]
+    assert best.floor.tolist() == [1.0, -np.inf] and best.last[0] == "b"
+    assert best.new(np.array([0, 0, 1]), np.array([1.0, 1.0, 0.5]), np.array(["bb", "b", "z"], object)).tolist() == [1, 2]
+    assert best.new(np.array([0, 1]), np.array([0.5, 3.0]), np.array(["a", "y"], object)).tolist() == [1]
+    assert best.floor.tolist() == [1.0, 1.0] and best.last.tolist() == ["b", ""]
+    assert best.new(np.zeros(0, int), np.zeros(0), np.zeros(0, object)).tolist() == []
+
+
 def test_ties_of_the_last_place_go_by_id():
     ids = np.array(["d", "b", "c", "a"], object)
     row, query, score = np.array([0, 1, 2, 3, 0]), np.array([0, 0, 0, 0, 1]), np.array([1.0, 2.0, 1.0, 1.0, 5.0])
