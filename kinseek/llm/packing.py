@@ -42,13 +42,14 @@ from pyspark.sql import functions as F
 
 from kinseek.llm import graph
 from kinseek.llm.words import buffers, chunks, word_hashes, word_spans
-from kinseek.runtime import stage
+from kinseek.runtime import arrow_batches, stage
 
 CAPACITY = 4096
 END_TOKEN = 1
 SEARCH_NODES = 4000  # choices looked at behind the first plan before the best plan so far is taken
-CACHED_WORDS = 1_000_000  # in the table of a Python worker, at about 24 bytes each
-GROUP_BYTES = 1 << 20  # of texts whose words are looked up together
+CACHED_WORDS = 200_000  # in the table of a Python worker, at about 36 bytes each and as much while it grows
+GROUP_BYTES = 256 << 10  # of texts whose words are looked up together
+BATCH_BYTES = 4 << 20  # of texts that an executor hands to a Python worker at once
 
 
 MARKS = b".,;:!?"
@@ -223,7 +224,6 @@ def _worker_words(path: str) -> _Words:
 
 def _release() -> None:
     """Gives back what earlier stages and batches have left free in this Python worker."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library can
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -231,6 +231,7 @@ def _release() -> None:
 
 def _pieces(path: str, capacity: int, end: int, keep: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()
         _release()
         words, tail = _worker_words(path), np.array([end], np.uint32)
         for batch in batches:
@@ -531,7 +532,8 @@ def _placer(intervals: tuple[np.ndarray, ...], before: np.ndarray):
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END_TOKEN, nodes: int = SEARCH_NODES) -> DataFrame:
     """`doc_id, piece, start, length, ids_crc32, sequence_id, offset` of all pieces of `docs`."""
-    pieces = stage(token_pieces(docs, tokenizer, capacity, end))
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        pieces = stage(token_pieces(docs, tokenizer, capacity, end))
     ordered = graph.with_totals_before(graph.in_order(pieces, ["length", "doc_id", "piece"]))
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     before = np.zeros(capacity + 1, np.int64)  # pieces that are shorter

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +59,18 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs run meanwhile hand Arrow batches of about `size` bytes at most to Python; a larger row is alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete all tables staged so far; no frame that reads them may be in use."""
     while _staged(spark):

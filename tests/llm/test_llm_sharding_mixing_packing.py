@@ -277,3 +277,31 @@ def test_many_empty_texts(spark):
 def test_plans_meet_the_bound(lengths, capacity):
     # The fillings that waste least around the largest length need one sequence more.
     assert sum(p.times for p in plan_patterns(Counter(lengths), capacity)) == -(-sum(lengths) // capacity)
+
+
+def test_packing_hands_out_small_batches(spark, monkeypatch):
+    """A Python worker gets a few MB of texts at a time, however many rows a batch may have."""
+    rows = [(i, "ab cd " * 20_000) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, sizes = spark.conf.get(key), []
+
+    def staged(df):
+        own = docs.select("text").mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches), "size long")
+        sizes.extend(r.size for r in own.collect())
+        return packing_stage(df)
+
+    packing_stage = packing.stage
+    monkeypatch.setattr(packing, "stage", staged)
+    assert packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).count() >= 60
+    assert sum(sizes) > 60 * 120_000 > packing.BATCH_BYTES and max(sizes) < packing.BATCH_BYTES + 200_000
+    assert spark.conf.get(key) == before
+
+
+def test_word_table_stays_small():
+    """Texts of ever new words do not make the table grow past its bound and one group of texts."""
+    words = packing._Words(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(12):
+        text = " ".join(f"w{i}" for i in range(k * 30_000, (k + 1) * 30_000)).encode()
+        words.ids(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert len(words.hashes) < 240_000 and words.flat.nbytes < 8 << 20
