@@ -8,6 +8,7 @@ from fractions import Fraction
 from random import Random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import DOCS, FOLD, read, words
 from kinseek.llm import license_scan, periodic_runs, source_divergence
@@ -100,6 +101,45 @@ def test_divergence_odd_and_empty(spark, odd_docs, no_docs):
     assert {tuple(r) for r in source_divergence.divergence(odd_docs, 2, 50).collect()} == plain_divergence(odd_docs.collect(), 2, 50)
 
 
+def test_divergence_counts_texts_of_a_group_together(spark, monkeypatch):
+    """However scattered the texts, a task meets few groups, and a chunk's counts are few rows."""
+    count, rows = source_divergence._count_chunks, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for out in count(batches):
+            rows.add(out.num_rows)
+            yield out
+
+    monkeypatch.setattr(source_divergence, "_count_chunks", counted)
+    text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100))
+    docs = spark.createDataFrame([(i, text, "en", f"s{i % 8}", 0, "", 0.0) for i in range(640)], DOCS).repartition(40)
+    groups, uses = source_divergence.term_counts(docs, 30)
+    assert {(r.total, r.terms) for r in groups.collect()} == {(8000, 100)}
+    assert {(r["count"], r.lang_count) for r in uses.collect()} == {(80, 640)} and uses.count() == 800
+    # 100 chunks for each group of each task; 40 tasks of 8 groups would hand on 32,000.
+    assert 800 <= rows.value <= 100 * (8 + int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def test_divergence_spells_a_chunk_of_several_batches_once():
+    names = ["chunk", "gid", "n", "docs"]
+    rows = [("A,a", 1, 2, 1), ("A,a", 1, 3, 2), ("A,a", 4, 1, 1), ("b", 2, 5, 5), ("c-Éa", 1, 1, 1), ("c-Éa", 1, 1, 1), ("c-Éa", 9, 2, 2), ("--", 3, 7, 7)]
+    found = [(1, "A,a", "a", 10, 3), (4, "A,a", "a", 2, 1), (2, "b", "b", 5, 5)]
+    found += [(g, "c-Éa", t, n, n) for g, n in ((1, 2), (9, 2)) for t in ("c", "Éa")]
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names) for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in source_divergence._spell(iter([b for x in batches for b in (x.slice(0, 0), x)])) for r in b.to_pylist()]
+        assert sorted(got) == sorted(found)
+    assert list(source_divergence._spell(iter([]))) == []
+
+
+def test_divergence_terms_of_chunks():
+    """Bytes give the terms that the expression finds."""
+    chunks = ["", "Ab,ab\x00AB", "élan-ÉLAN", "1234", "naïve1Naïve", "日本,日本", "x" * 70, "\x7fZ[z`@", "a\u0085b\u00a0c"]
+    at, code, times, terms = source_divergence._terms(pa.array(["skipped", *chunks]).slice(1))
+    got = {(chunks[a], terms[c].as_py(), n) for a, c, n in zip(at, code.tolist(), times.tolist())}
+    assert got == {(c, t, n) for c in chunks for t, n in Counter(TERM.findall(c.translate(FOLD))).items()}
+
+
 # --- periodic runs ------------------------------------------------------------
 
 
