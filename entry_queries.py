@@ -255,7 +255,7 @@ def bm25_topk_batch(spark, folder):
 
 
 def lexical_topk_indexed(spark, folder):
-    """Through a kept index: words of the corpus matched once, segments skipped by bounds."""
+    """Through a kept index: the words of each volume matched once, segments skipped by bounds."""
     index = word_index.build_index(derived.chunks(spark, folder))
     return _ranked(word_index.search_index(index, derived.benchmark_queries(spark, folder), word_index.LEXICAL))
 

@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, **options: str) -> DataFrame:
     """Write `df` as Parquet below the shared folder and go on from the written table.
 
     Later reads of it prune columns and rows. Its files go when the driver's Python ends,
@@ -55,7 +55,7 @@ def stage(df: DataFrame) -> DataFrame:
     if not _staged(spark):
         atexit.register(drop_staged, spark)
     _staged(spark).append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

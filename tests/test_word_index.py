@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from kinseek import schemas
+from kinseek import runtime, schemas
 from kinseek.operators import bm25, lexical, word_index
 from kinseek.operators.word_index import BM25, LEXICAL, PRESENCE, build_index, load_index, search_index
 
@@ -132,3 +132,50 @@ def test_terms_are_found_without_an_automaton(spark, corpus, monkeypatch):
     got = word_index._parts_of_words(["ab", "zz", "b"])
     words = word_index.pa.RecordBatch.from_pydict({"word": sorted({r.word for r in index.postings.select("word").distinct().collect()})})
     assert sorted(tuple(r.values()) for b in got([words]) for r in b.to_pylist()) == [(w, list(t), list(n)) for w, t, n in want]
+
+
+def test_a_search_for_parts_writes_no_row_per_word(spark):
+    """Every word occurs once: what is written for an index and a search does not have 6000 rows."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(300)]
+    made = [(f"c{i:04}", t, "s", "n", i, "f") for i, t in enumerate(texts)]
+    chunks, queries = spark.createDataFrame(made, schemas.CHUNKS).coalesce(1), ask(spark, "w1 x1", "x19 9x w")
+    before = len(runtime._staged(spark))
+    index = build_index(chunks, segment_rows=50)
+    assert rows(search_index(index, queries, LEXICAL, 5)) == rows(lexical.lexical_top_k(chunks, queries, 5))
+    written = [spark.read.parquet(path).count() for path in runtime._staged(spark)[before:]]
+    assert len(written) > 3 and max(written) < 100
+
+
+@pytest.mark.parametrize("kind", [BM25, LEXICAL, PRESENCE])
+def test_all_white_space_and_letters_of_any_width(spark, kind):
+    spaces = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    texts = [f"{c}ab{c}{c}ca{i % 3}{c}" for i, c in enumerate(spaces)]
+    texts += ["aaaa AAA aa", "abababa aba", "\u0130x \u03a3\u0391\u03a3", "\U0001f600ab ab\U0001f600\U0001f600", "ab\u200bca \u180e", "\ufeffab"]
+    made = [(f"c{i:03}", t, "s", "n", i, "f") for i, t in enumerate(texts)]
+    chunks = spark.createDataFrame(made, schemas.CHUNKS).repartition(2)
+    queries = ask(spark, "ab", "ca1 aa aba", "\U0001f600 i \u03c3", "\u200b \u180e \ufeffab", "aaa a")
+    assert rows(search_index(build_index(chunks, segment_rows=4), queries, kind, 9)) == rows(SEARCH[kind](chunks, queries, 9))
+
+
+def test_terms_that_overlap_count_as_in_the_scan(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aab") for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    terms = ["a", "aa", "aba", "abab", "b", "bb", "aaaa", "zz"]
+    monkeypatch.setattr(word_index, "MATCHED_WORDS", 70)
+    sizes, held, times = word_index._matcher(terms)(words)
+    want = [[(i, w.count(t)) for i, t in enumerate(terms) if t in w] for w in words]
+    assert sizes.tolist() == [len(x) for x in want]
+    assert list(zip(held.tolist(), times.tolist())) == [x for found in want for x in found]
+    assert [len(x) for x in word_index._matcher(terms)([])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("limit", ["VOLUME_ROWS", "VOLUME_WORDS"])
+def test_tasks_of_several_volumes(spark, corpus, monkeypatch, tmp_path, limit):
+    monkeypatch.setattr(word_index, limit, 60)
+    index, queries = build_index(corpus, segment_rows=20), ask(spark, *QUERIES)
+    assert index.volumes.count() > 10
+    assert index.segments.select("segment").distinct().count() == index.segments.count()
+    index.write(str(tmp_path / "index"))
+    for made in (index, load_index(spark, str(tmp_path / "index"))):
+        for kind in (BM25, LEXICAL, PRESENCE):
+            assert rows(search_index(made, queries, kind, 7)) == rows(SEARCH[kind](corpus, queries, 7))
